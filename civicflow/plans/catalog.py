@@ -1,164 +1,12 @@
-"""Registered queries: a Spark plan and its independent SQL oracle.
+"""All registered queries: ``SPARK[name](spark, sf_dir)`` and ``SQL[name]``.
 
-Every entry reads the whole fixture tables of ``sf_dir`` (through a binding)
-and runs one operator of the library over all of it.  ``SQL`` holds the
-DuckDB statement computing the same result; entries without SQL get the
-weaker row-count check.
+Every entry reads the whole fixture tables of ``sf_dir`` through a binding and
+runs one operator of the library over all of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-from ..operators import cleaning as C
-from ..sources.bindings import requests_ev, requests_ord
-from . import oracle_sql as O
-from . import performance as P
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-SPARK: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        SPARK[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
-
-
-def ev_clean(spark: SparkSession, d: str, max_days: float = 90) -> DataFrame:
-    return C.clean_pipeline(requests_ev(spark, d), max_days)
-
-
-def ord_clean(spark: SparkSession, d: str, max_days: float = 90) -> DataFrame:
-    return C.clean_pipeline(requests_ord(spark, d), max_days)
-
-
-R = O.DAYS
-CK = O.CLOSED_KNOWN
-
-# ---------------------------------------------------------------- Q1-Q6 ----
-
-_Q1 = """
-SELECT complaint_type, COUNT(*) AS total_complaints,
-       ROUND(AVG({r}), 2) AS avg_response_days,
-       ROUND(MEDIAN({r}), 2) AS median_response_days,
-       ROUND(MAX({r}), 2) AS max_response_days
-FROM clean WHERE {ck}
-GROUP BY complaint_type HAVING COUNT(*) >= {m}
-ORDER BY avg_response_days DESC NULLS LAST, complaint_type ASC
-LIMIT 10"""
-
-register("Q1_slowest_types", O.with_ev_clean(_Q1.format(r=R, ck=CK, m=50)))(
-    lambda s, d: P.slowest_types(ev_clean(s, d)))
-register("Q1b_slowest_types_dashboard", O.with_ev_clean(_Q1.format(r=R, ck=CK, m=20)))(
-    lambda s, d: P.slowest_types(ev_clean(s, d), min_cases=20))
-
-_Q2 = """, daily AS (
-  SELECT CAST(created_date AS DATE) AS date, AVG({r}) AS daily_avg_response
-  FROM clean WHERE {ck} GROUP BY CAST(created_date AS DATE)
-)
-SELECT date, ROUND(daily_avg_response, 6) AS daily_avg_response,
-       ROUND(AVG(daily_avg_response) OVER (ORDER BY date
-             RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW), 6) AS moving_avg_7d
-FROM daily ORDER BY date"""
-
-def _cont(sql: str) -> str:
-    """Join a body that starts with more CTEs onto the CTE prefix."""
-    return sql.replace("\n, ", ",\n", 1)
-
-
-register("Q2_moving_average_ev", _cont(O.with_ev_clean(_Q2.format(r=R, ck=CK))))(
-    lambda s, d: P.moving_average(ev_clean(s, d), digits=6))
-register("Q2_moving_average_ord", _cont(O.with_ord_clean(_Q2.format(r=R, ck=CK))))(
-    lambda s, d: P.moving_average(ord_clean(s, d), digits=6))
-
-_Q3 = """, resolution_times AS (
-  SELECT complaint_category, {r},
-         CASE WHEN {r} IS NULL THEN NULL
-              WHEN {r} <= 1 THEN '24h' WHEN {r} <= 2 THEN '48h'
-              WHEN {r} <= 7 THEN '7d' WHEN {r} <= 30 THEN '30d' ELSE '30d+' END AS resolution_period
-  FROM clean WHERE {where}
-)
-SELECT complaint_category, COUNT(*) AS total_closed,
-       ROUND(COUNT(CASE WHEN resolution_period = '24h' THEN 1 END) * 100.0::DOUBLE / COUNT(*), 2)
-         AS pct_resolved_24h,
-       ROUND(COUNT(CASE WHEN resolution_period IN ('24h', '48h') THEN 1 END) * 100.0::DOUBLE / COUNT(*), 2)
-         AS pct_resolved_48h,
-       ROUND(COUNT(CASE WHEN resolution_period IN ('24h', '48h', '7d') THEN 1 END) * 100.0::DOUBLE
-             / COUNT(*), 2) AS pct_resolved_7d
-FROM resolution_times
-GROUP BY complaint_category HAVING COUNT(*) >= {m}
-ORDER BY pct_resolved_24h DESC NULLS LAST, complaint_category"""
-
-
-register("Q3_resolution_percentages",
-         _cont(O.with_ev_clean(_Q3.format(r=R, where=CK, m=100))))(
-    lambda s, d: P.resolution_percentages(ev_clean(s, d)))
-register("Q3b_resolution_percentages_dashboard",
-         _cont(O.with_ev_clean(_Q3.format(r=R, where=O.CLOSED, m=30))))(
-    lambda s, d: P.resolution_percentages(ev_clean(s, d), min_cases=30, null_times="unresolved"))
-
-_Q4 = f""", borough_stats AS (
-  SELECT borough, COUNT(*) AS total_complaints,
-         COUNT(CASE WHEN {O.CLOSED} THEN 1 END) AS closed_complaints,
-         ROUND(COUNT(CASE WHEN {O.CLOSED} THEN 1 END) * 100.0::DOUBLE / COUNT(*), 2) AS closure_rate_pct,
-         ROUND(AVG(CASE WHEN {O.CLOSED} THEN {R} END), 2) AS avg_response_days
-  FROM clean GROUP BY borough
-)
-SELECT *, ROW_NUMBER() OVER (ORDER BY avg_response_days ASC NULLS FIRST, borough ASC NULLS FIRST)
-         AS performance_rank
-FROM borough_stats ORDER BY performance_rank"""
-register("Q4_borough_performance", _cont(O.with_ev_clean(_Q4)))(
-    lambda s, d: P.borough_performance(ev_clean(s, d)))
-
-_Q4B = f""", borough_stats AS (
-  SELECT borough, COUNT(unique_key) AS total_complaints,
-         COUNT(CASE WHEN {O.CLOSED} THEN 1 END) AS closed_complaints,
-         ROUND(AVG({R}), 2) AS avg_response_days,
-         ROUND(COUNT(CASE WHEN {O.CLOSED} THEN 1 END) * 100.0::DOUBLE / COUNT(unique_key), 2)
-           AS closure_rate_pct
-  FROM clean GROUP BY borough
-)
-SELECT *, CASE WHEN avg_response_days IS NULL THEN NULL ELSE
-          CAST(RANK() OVER (ORDER BY avg_response_days ASC NULLS LAST) AS DOUBLE)
-          + CAST(COUNT(*) OVER (PARTITION BY avg_response_days) - 1 AS DOUBLE) / 2.0::DOUBLE END
-         AS performance_rank
-FROM borough_stats"""
-register("Q4b_borough_performance_dashboard", _cont(O.with_ev_clean(_Q4B)))(
-    lambda s, d: P.borough_performance_dashboard(ev_clean(s, d)))
-
-_Q5 = f""", monthly_stats AS (
-  SELECT strftime(created_date, '%Y') AS year, strftime(created_date, '%m') AS month,
-         COUNT(*) AS monthly_complaints,
-         AVG(CASE WHEN {O.CLOSED} THEN {R} END) AS avg_response_days
-  FROM clean GROUP BY 1, 2
-)
-SELECT year, month, monthly_complaints, ROUND(avg_response_days, 2) AS avg_response_days,
-       LAG(monthly_complaints, 1) OVER (ORDER BY year, month) AS prev_month_complaints,
-       ROUND((monthly_complaints - LAG(monthly_complaints, 1) OVER (ORDER BY year, month)) * 100.0::DOUBLE
-             / NULLIF(LAG(monthly_complaints, 1) OVER (ORDER BY year, month), 0), 2)
-         AS complaints_growth_pct
-FROM monthly_stats ORDER BY year, month"""
-register("Q5_monthly_trend_ord", _cont(O.with_ord_clean(_Q5)))(
-    lambda s, d: P.monthly_trend(ord_clean(s, d)))
-register("Q5_monthly_trend_ev", _cont(O.with_ev_clean(_Q5)))(
-    lambda s, d: P.monthly_trend(ev_clean(s, d)))
-
-_Q6 = f"""
-SELECT is_priority, is_business_hours, COUNT(*) AS total_complaints,
-       ROUND(AVG({R}), 2) AS avg_response_days,
-       MAX({R}) AS max_response_days,
-       ROUND(MEDIAN({R}), 2) AS median_response_days,
-       ROUND(QUANTILE_CONT({R}, 0.9), 2) AS p90_response_days
-FROM clean WHERE {CK}
-GROUP BY is_priority, is_business_hours
-ORDER BY is_priority DESC, is_business_hours DESC"""
-register("Q6_priority_analysis", O.with_ev_clean(_Q6))(
-    lambda s, d: P.priority_analysis(ev_clean(s, d)))
+from . import reg_queries  # noqa: F401  (Q1-Q7)
+from .registry import SPARK, SQL  # noqa: F401
+from . import reg_cleaning  # noqa: F401,E402  (P1-P23, IO6, IO7)
+from . import reg_explore  # noqa: F401,E402  (A1-A19)

@@ -28,6 +28,13 @@ def in_list(values) -> str:
     return "(" + ", ".join(q(v) for v in values) + ")"
 
 
+def rnd(x: str, d: int) -> str:
+    """Round like Spark: HALF_UP on the shortest decimal text of the double."""
+    return (f"(CASE WHEN abs({x}) < 1e15 THEN "
+            f"ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {d})::DOUBLE "
+            f"ELSE ROUND({x}, {d}) END)")
+
+
 CLOSED = f"status IN {in_list(S.CLOSED_STATUSES)}"
 DAYS = "response_time_days"
 
