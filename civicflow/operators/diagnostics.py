@@ -112,15 +112,15 @@ def recommendations(df: DataFrame, closure_goal: float = 75.0, time_goal: float
         F.when(F.sum("c") == 0, F.lit(0.0)).otherwise(F.try_divide(F.sum("s"), F.sum("k"))).alias("avg_days"),
         F.min(F.struct("rate", "borough")).alias("worst"),
     )
+    def rule(no, rid, subject, fire):
+        return F.struct(F.lit(no).alias("rule_no"), F.lit(rid).alias("rule_id"),
+                        subject.cast("string").alias("subject"), fire.alias("fire"))
+    none = F.lit(None)
     rules = glob.select(F.explode(F.array(
-        F.struct(F.lit(1).alias("rule_no"), F.lit("closure_followup").alias("rule_id"),
-                 F.lit(None).cast("string").alias("subject"),
-                 (F.col("closure_rate") < closure_goal).alias("fire")),
-        F.struct(F.lit(2), F.lit("time_taskforce"), F.lit(None).cast("string"),
-                 F.col("avg_days") > time_goal),
-        F.struct(F.lit(3), F.lit("borough_focus"), F.col("worst.borough"),
-                 F.col("worst.rate") < borough_floor),
-        F.struct(F.lit(5), F.lit("ml_triage"), F.lit(None).cast("string"), F.lit(True)),
+        rule(1, "closure_followup", none, F.col("closure_rate") < closure_goal),
+        rule(2, "time_taskforce", none, F.col("avg_days") > time_goal),
+        rule(3, "borough_focus", F.col("worst.borough"), F.col("worst.rate") < borough_floor),
+        rule(5, "ml_triage", none, F.lit(True)),
     )).alias("r")).select("r.*")
     worst_cat = category_attention(df, **attention).limit(1).select(
         F.lit(4).alias("rule_no"), F.lit("critical_category").alias("rule_id"),
