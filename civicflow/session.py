@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app: str = "civicflow",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    # Local mode runs every task inside the driver JVM.
+    conf.setdefault("spark.driver.memory", os.environ.get("CIVICFLOW_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
