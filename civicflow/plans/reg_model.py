@@ -109,7 +109,18 @@ pred AS (SELECT {R} AS y, a + b * created_hour AS p FROM mx, fit WHERE is_test)
 _FOREST_CACHE: dict = {}
 
 
+MIN_HEAP_BYTES = 3 * 1024 ** 3
+
+
 def _forest(s, d):
+    """Fit (once) the 100-tree forest.  In local mode an out-of-memory task
+    kills the JVM every later query shares, so a heap too small for a
+    depth-15 forest fails this query up front instead."""
+    heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    if s.sparkContext.master.startswith("local") and heap < MIN_HEAP_BYTES:
+        raise MemoryError(f"driver heap {heap >> 20} MB is below the "
+                          f"{MIN_HEAP_BYTES >> 20} MB a local forest fit needs; "
+                          "raise spark.driver.memory")
     key = (s.sparkContext.applicationId, d)
     if key not in _FOREST_CACHE:
         _FOREST_CACHE[key] = M.train_random_forest(ev_clean(s, d), cv_folds=0)
