@@ -56,25 +56,25 @@ register("D2_borough_scorecard_ev", cont(O.with_ev_clean(_rates_cte("borough") +
     ["avg_response_days", "closure_rate"]))))(
     lambda s, d: round_doubles(D.borough_scorecard(ev_clean(s, d))))
 
-_ATTN = (f"SELECT *, CASE WHEN closure_rate < 60 OR avg_response_days > 5.0 THEN {Q(S.URGENCY_HIGH)} "
-         f"ELSE {Q(S.URGENCY_MEDIUM)} END AS urgency, "
-         f"CASE WHEN closure_rate < 60 OR avg_response_days > 5.0 THEN 2 ELSE 1 END AS severity, "
-         f"CASE WHEN closure_rate < 70 THEN {Q(S.PROBLEM_LOW_RATE)} ELSE {Q(S.PROBLEM_HIGH_TIME)} END "
-         f"AS main_problem FROM r WHERE total_calls >= {{m}} "
-         f"AND (closure_rate < 70 OR avg_response_days > 3.0)")
+def _attn(m: int = 50, ct: float = 70.0, tt: float = 3.0, hc: float = 60.0, ht: float = 5.0) -> str:
+    """D3 body over the per-category rates ``r``."""
+    high = f"closure_rate < {hc} OR avg_response_days > {ht}"
+    return (f"SELECT *, CASE WHEN {high} THEN {Q(S.URGENCY_HIGH)} ELSE {Q(S.URGENCY_MEDIUM)} END "
+            f"AS urgency, CASE WHEN {high} THEN 2 ELSE 1 END AS severity, "
+            f"CASE WHEN closure_rate < {ct} THEN {Q(S.PROBLEM_LOW_RATE)} "
+            f"ELSE {Q(S.PROBLEM_HIGH_TIME)} END AS main_problem FROM r "
+            f"WHERE total_calls >= {m} AND (closure_rate < {ct} OR avg_response_days > {tt})")
+
+
+_ORDER = " ORDER BY severity DESC, closure_rate, complaint_category"
 register("D3_category_attention_ev", cont(O.with_ev_clean(
     _rates_cte("complaint_category") + "\n" + sql_round(
-        _ATTN.format(m=50) + " ORDER BY severity DESC, closure_rate, complaint_category",
-        ["avg_response_days", "closure_rate"]))))(
+        _attn() + _ORDER, ["avg_response_days", "closure_rate"]))))(
     lambda s, d: round_doubles(D.category_attention(ev_clean(s, d))))
 # With stricter targets the attention list is not empty on the fixture data.
 register("D3_category_attention_strict_ev", cont(O.with_ev_clean(
     _rates_cte("complaint_category") + "\n" + sql_round(
-        _ATTN.format(m=50).replace("closure_rate < 70 OR avg_response_days > 3.0",
-                                   "closure_rate < 76 OR avg_response_days > 2.0")
-        .replace("WHEN closure_rate < 70 THEN", "WHEN closure_rate < 76 THEN")
-        + " ORDER BY severity DESC, closure_rate, complaint_category",
-        ["avg_response_days", "closure_rate"]))))(
+        _attn(ct=76.0, tt=2.0) + _ORDER, ["avg_response_days", "closure_rate"]))))(
     lambda s, d: round_doubles(D.category_attention(ev_clean(s, d), closure_target=76.0,
                                                     time_target=2.0)))
 
@@ -101,12 +101,10 @@ rules AS (
 )
 SELECT rule_no, rule_id, subject FROM rules WHERE COALESCE(fire, false) ORDER BY rule_no"""
 register("D4_recommendations_ev", cont(O.with_ev_clean(
-    _REC.replace(_rates_cte('complaint_category'), ",\n" + _rates_cte('complaint_category')[2:])
-    .format(attn=_ATTN.format(m=50), cg="75.0", tg="2.5"))))(
+    _REC.format(attn=_attn(), cg="75.0", tg="2.5"))))(
     lambda s, d: D.recommendations(ev_clean(s, d)))
 register("D4_recommendations_strict_ev", cont(O.with_ev_clean(
-    _REC.replace(_rates_cte('complaint_category'), ",\n" + _rates_cte('complaint_category')[2:])
-    .format(attn=_ATTN.format(m=50), cg="80.0", tg="2.0"))))(
+    _REC.format(attn=_attn(), cg="80.0", tg="2.0"))))(
     lambda s, d: D.recommendations(ev_clean(s, d), closure_goal=80.0, time_goal=2.0))
 
 register("D5_system_score_ev", cont(O.with_ev_clean(_KPI + "\n" + f""", pts AS (
@@ -122,7 +120,7 @@ register("D5_system_score_ev", cont(O.with_ev_clean(_KPI + "\n" + f""", pts AS (
               WHEN priority_rate >= 60 THEN 15 ELSE 0 END AS priority_points
   FROM kpi
 )
-""".replace("\n, pts", ", pts", 0) + sql_round(
+""" + sql_round(
     f"SELECT *, closure_points + time_points + volume_points + priority_points AS score, "
     f"CASE WHEN closure_points + time_points + volume_points + priority_points >= 90 "
     f"THEN {Q(S.SYSTEM_EXCELLENT)} "

@@ -27,10 +27,6 @@ for _c in ("borough", "status", "complaint_category"):
         lambda s, d, _k=_c: round_doubles(X.distribution(ev_clean(s, d), _k)))
 
 # A3: box-plot summary per category (EV) and per type (OR).
-_BOX_DOUBLES = ["min", "q1", "median", "q3", "max", "lower_fence", "upper_fence",
-                "lower_whisker", "upper_whisker"]
-
-
 def _box_sql(by: str) -> str:
     return f""", base AS (
   SELECT {by}, {R} AS v FROM clean WHERE {CK}
