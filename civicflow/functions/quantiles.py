@@ -86,19 +86,20 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
         .withColumn("_pos", pos) \
         .withColumn("_klo", F.floor(pos)) \
         .withColumn("_khi", F.ceil(pos))
-    picked = ranked.filter(F.col("_cv").isNotNull()).groupBy(*keys, "_qi").agg(
-        F.first("_pos").alias("_pos"),
-        F.first("_klo").alias("_klo"),
-        F.first("_khi").alias("_khi"),
-        F.min(F.when(F.col("_cum") > F.col("_klo"), F.col("_cv"))).alias("_vlo"),
-        F.min(F.when(F.col("_cum") > F.col("_khi"), F.col("_cv"))).alias("_vhi"),
-    )
-    interp = F.when(F.col("_klo") == F.col("_khi"), F.col("_vlo")).otherwise(
-        (F.col("_khi") - F.col("_pos")) * F.col("_vlo")
-        + (F.col("_pos") - F.col("_klo")) * F.col("_vhi"))
-    result = picked.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_qi") == i, interp)).alias(n) for i, n in enumerate(names)
-    ])
+    # The row holding 0-based rank k is the one whose running count passes k.
+    start = F.col("_cum") - F.col("_c")
+    has_lo = (start <= F.col("_klo")) & (F.col("_cum") > F.col("_klo"))
+    has_hi = (start <= F.col("_khi")) & (F.col("_cum") > F.col("_khi"))
+    picked = ranked.filter(F.col("_cv").isNotNull() & (has_lo | has_hi))
+    interp = {}
+    for i in range(len(probs)):
+        sel = F.col("_qi") == i
+        pos_i, klo_i, khi_i = (F.max(F.when(sel, F.col(c))) for c in ("_pos", "_klo", "_khi"))
+        lo_i = F.max(F.when(sel & has_lo, F.col("_cv")))
+        hi_i = F.max(F.when(sel & has_hi, F.col("_cv")))
+        interp[names[i]] = F.when(klo_i == khi_i, lo_i).otherwise(
+            (khi_i - pos_i) * lo_i + (pos_i - klo_i) * hi_i)
+    result = picked.groupBy(*keys).agg(*[e.alias(n) for n, e in interp.items()])
     if not by:
         return result.drop("_g0")
     return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *names)

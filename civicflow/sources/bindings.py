@@ -48,17 +48,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def customer_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(c_custkey, c_mktsegment, borough): customer with its region as borough."""
+def nation_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(n_nationkey, borough): 25 rows by the TPC-H schema, hence broadcast."""
     region = table(spark, sf_dir, "region").select(
         "r_regionkey", literal_map(REGION_TO_BOROUGH)[F.col("r_name")].alias("borough"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    geo = F.broadcast(nation.join(F.broadcast(region),
-                                  nation.n_regionkey == region.r_regionkey)
-                      .select("n_nationkey", "borough"))
+    return F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+                       .select("n_nationkey", "borough"))
+
+
+def with_borough(df: DataFrame, spark: SparkSession, sf_dir: str,
+                 nation_col: str = "c_nationkey") -> DataFrame:
+    """Attach ``borough`` through the broadcast nation dimension (no shuffle)."""
+    geo = nation_borough(spark, sf_dir)
+    return df.join(geo, df[nation_col] == geo.n_nationkey, "left").drop("n_nationkey")
+
+
+def customer_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(c_custkey, c_mktsegment, borough): customer with its region as borough."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left") \
-        .select("c_custkey", "c_mktsegment", "borough")
+    return with_borough(cust, spark, sf_dir).select("c_custkey", "c_mktsegment", "borough")
 
 
 def requests_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +75,11 @@ def requests_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"))
-    cb = customer_borough(spark, sf_dir).select("c_custkey", "borough")
-    j = ev.join(cb, ev.user_id == cb.c_custkey, "left")
+    # Join the customer projection first: its size estimate is then the plain
+    # scan size, so a small customer table is broadcast at planning time and
+    # a large one gets a (skew-aware) sort-merge join.
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    j = with_borough(ev.join(cust, ev.user_id == cust.c_custkey, "left"), spark, sf_dir)
     eid = F.col("event_id")
     k = F.col("k")
     closed = k < 75
@@ -109,8 +121,9 @@ def requests_ord(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     ).agg(F.min(F.when(F.col("l_shipdate") >= F.col("o_orderdate"), F.col("l_shipdate")))
           .alias("closed_date"))
-    cb = customer_borough(spark, sf_dir)
-    j = per_order.join(cb, per_order.o_custkey == cb.c_custkey, "left")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    j = with_borough(per_order.join(cust, per_order.o_custkey == cust.c_custkey, "left"),
+                     spark, sf_dir)
     return j.select(
         F.col("o_orderkey").alias("unique_key"),
         F.col("o_orderdate").alias("created_date"),
