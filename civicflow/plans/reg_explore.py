@@ -11,8 +11,8 @@ from .registry import CK, R, cont, ev_clean, ord_clean, register, round_doubles,
 CL = O.CLOSED
 Q = O.q
 
-# A1: top-N value counts (n = 15 types; n = 10 dashboard).
-for _n in (15, 10):
+# A1: top-N value counts (n = 15 types; n = 10 dashboard; n = 5 in the reports).
+for _n in (15, 10, 5):
     register(f"A1_top_complaint_types_{_n}_ev", O.with_ev_clean(
         f'SELECT complaint_type, COUNT(*) AS "count" FROM clean WHERE complaint_type IS NOT NULL '
         f'GROUP BY complaint_type ORDER BY "count" DESC, complaint_type LIMIT {_n}'))(

@@ -132,3 +132,24 @@ register("M10_top_features_ev")(lambda s, d: M.top_features(_forest(s, d).import
 register("M13_batch_scoring_ev")(
     lambda s, d: M.score(_forest(s, d).model, ev_clean(s, d))
     .select("unique_key", "predicted_days", "predicted_class", "off_hours"))
+
+
+# M9: 5-fold cross-validated MAE on the training rows (linear baseline; the
+# same call takes the forest, see ``train_random_forest(cv_folds=5)``).
+def _cv(s, d):
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+    data = M.prepare(ev_clean(s, d))
+    train = data.filter(~F.col("is_test"))
+    feats = M.encode(train).transform(train)
+    est = Pipeline(stages=[
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        LinearRegression(featuresCol="scaled", labelCol=M.LABEL, regParam=0.0, solver="normal")])
+    mae = M.cross_validated_mae(feats, est, folds=5)
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
+        F.lit("Linear Regression").alias("model"), F.lit(5).alias("folds"),
+        F.lit(mae).alias("cv_mae"), "train_rows")
+
+
+register("M9_cv_mae_linear_ev")(_cv)
