@@ -57,7 +57,8 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, v)
         except Exception:  # static conf on a running session
             pass
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Tickets are TIMESTAMP_NTZ (wall-clock): durations, hours and weekdays do
+    # not depend on the session time zone, so the caller's zone is left as is.
     return spark
 
 

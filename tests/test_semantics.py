@@ -170,3 +170,17 @@ def test_seeded_sample_is_fixed_size_and_repeatable(spark):
     b = X.seeded_sample(df.repartition(13), n=500, seed=42)
     ka = sorted(r.unique_key for r in a.collect())
     assert len(ka) == 500 and ka == sorted(r.unique_key for r in b.collect())
+
+
+def test_durations_are_wall_clock_in_any_session_zone(spark):
+    """NTZ dates: a ticket spanning a DST change keeps its wall-clock length."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rows = [(1, ts(2023, 3, 12, 1, 0), ts(2023, 3, 12, 3, 0), "Rodent", "BRONX", 1,
+                 40.8, -73.9, "Closed")]
+        r = C.clean_pipeline(raw(spark, rows)).first()
+        assert r.response_time_hours == pytest.approx(2.0)
+        assert r.created_hour == 1 and r.created_weekday == "Domingo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
