@@ -59,14 +59,16 @@ def configure(spark: SparkSession) -> SparkSession:
             pass
     # Tickets are TIMESTAMP_NTZ (wall-clock): durations, hours and weekdays do
     # not depend on the session time zone, so the caller's zone is left as is.
+    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only create a private one when
-    nothing is set (local runs and tests).
+    A cluster names a shared folder there and it is used as is.  Only a local
+    session (tests, single machine) with nothing set gets a private folder; a
+    cluster session without the setting gets none (never a machine-local one).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            return None
         configured = tempfile.mkdtemp(prefix="civicflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -84,4 +88,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path inside the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
+    if base is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
