@@ -125,3 +125,17 @@ def test_windows_run_above_aggregates(spark):
 
 def test_sql_registry_names_do_not_collide():
     assert len(SQL) == len(set(SQL)) and len(SPARK) >= 70
+
+
+def test_page_compositions_run(spark):
+    from civicflow.plans import pages
+    clean = C.clean_pipeline(requests_ev(spark, SF_SMALL))
+    for fn in (pages.all_aggregates, pages.overview_page, pages.response_page,
+               pages.diagnostics_page, pages.sql_page):
+        for name, df in fn(clean).items():
+            assert df.collect() is not None, name
+    t = pages.temporal_page(clean, borough="Manhattan", category="Todas")
+    assert sum(r["count"] for r in t["weekday"].collect()) == \
+        clean.filter(F.col("borough") == "Manhattan").count()
+    out = pages.save_data(clean, os.path.join(_tmp(), "saved"))
+    assert out["rows"] == out["profile"].first().total_records
