@@ -128,8 +128,22 @@ def encode(train: DataFrame) -> PipelineModel:
     return PipelineModel(stages=[idx, _unseen_to_zero(idx), _assembler()])
 
 
+def node_memory_mb(spark, cap: int = 256) -> int:
+    """Per-task budget for tree node statistics (``maxMemoryInMB``).
+
+    It only decides how many nodes each pass over the data trains, not the
+    trees.  In local mode all tasks share the driver heap, so the budget is
+    the heap split over the concurrent tasks (with head-room).
+    """
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        return cap
+    heap_mb = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
+    return int(max(16, min(cap, heap_mb // (4 * max(1, sc.defaultParallelism)))))
+
+
 def forest(num_trees: int = 100, max_depth: int = 15, min_leaf: int = 2, seed: int = 42,
-           max_bins: int = 64) -> RandomForestRegressor:
+           max_bins: int = 64, max_memory_mb: int = 256) -> RandomForestRegressor:
     """M7: random forest regressor with the reference's sizes.
 
     ``min_samples_split`` has no Spark counterpart; ``minInstancesPerNode``
@@ -139,7 +153,7 @@ def forest(num_trees: int = 100, max_depth: int = 15, min_leaf: int = 2, seed: i
     return RandomForestRegressor(
         featuresCol="features", labelCol=LABEL, numTrees=num_trees, maxDepth=max_depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy="all", maxBins=max_bins, seed=seed,
-        cacheNodeIds=True, checkpointInterval=10)
+        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=max_memory_mb)
 
 
 def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -180,7 +194,7 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42,
         data = data.cache()
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     enc = encode(train)
-    rf = forest(num_trees, max_depth, seed=seed)
+    rf = forest(num_trees, max_depth, seed=seed, max_memory_mb=node_memory_mb(df.sparkSession))
     rf_model = rf.fit(enc.transform(train))
     model = PipelineModel(stages=list(enc.stages) + [rf_model])
     cv_mae = None

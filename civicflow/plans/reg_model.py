@@ -109,13 +109,14 @@ pred AS (SELECT {R} AS y, a + b * created_hour AS p FROM mx, fit WHERE is_test)
 _FOREST_CACHE: dict = {}
 
 
-MIN_HEAP_BYTES = 3 * 1024 ** 3
+MIN_HEAP_BYTES = 512 * 1024 ** 2
 
 
 def _forest(s, d):
     """Fit (once) the 100-tree forest.  In local mode an out-of-memory task
-    kills the JVM every later query shares, so a heap too small for a
-    depth-15 forest fails this query up front instead."""
+    kills the JVM every later query shares, so a heap below 512 MB fails this
+    query up front; above it the node-statistics budget is sized to the heap
+    (``model.node_memory_mb``)."""
     heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
     if s.sparkContext.master.startswith("local") and heap < MIN_HEAP_BYTES:
         raise MemoryError(f"driver heap {heap >> 20} MB is below the "
