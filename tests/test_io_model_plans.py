@@ -139,3 +139,17 @@ def test_page_compositions_run(spark):
         clean.filter(F.col("borough") == "Manhattan").count()
     out = pages.save_data(clean, os.path.join(_tmp(), "saved"))
     assert out["rows"] == out["profile"].first().total_records
+
+
+def test_clean_csv_round_trip_keeps_types(spark):
+    d = _tmp()
+    clean = C.clean_pipeline(requests_ev(spark, SF_SMALL))
+    full = clean.select(*[F.col(f.name) if f.name in clean.columns
+                          else F.lit(None).cast(f.dataType).alias(f.name) for f in S.CLEAN.fields])
+    write_table(full, f"{d}/clean_csv", fmt="csv")
+    back = read_clean(spark, f"{d}/clean_csv", fmt="csv")
+    types = dict(back.dtypes)
+    assert types["created_date"] == "timestamp_ntz" and types["closed_date"] == "timestamp_ntz"
+    assert types["is_priority"] == "boolean" and types["response_time_days"] == "double"
+    cols = ["unique_key", "created_date", "closed_date", "response_time_days", "complaint_category"]
+    assert sorted(back.select(*cols).collect()) == sorted(full.select(*cols).collect())
