@@ -31,11 +31,13 @@ DEFAULT_ACCURACY = 100_000
 
 def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
                       probs: Sequence[float], names: Sequence[str] | None = None,
-                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                      accuracy: int = DEFAULT_ACCURACY, approx: bool = False) -> DataFrame:
     """One row per group of ``by`` with a column per probability.
 
     NULL values are ignored (as in SQL); NULL group keys form their own group.
-    Groups whose values are all NULL get no row.
+    Groups whose values are all NULL get no row.  ``approx=True`` returns the
+    sketch answer of one pass (rank error at most ``n / accuracy``, a data
+    value, no interpolation) instead of the exact one.
     """
     by = list(by)
     probs = [float(p) for p in probs]
@@ -48,6 +50,13 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
         data = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
                          F.col(value).cast("double").alias("_v"))
     data = data.filter(F.col("_v").isNotNull())
+    if approx:
+        sk = data.groupBy(*keys).agg(
+            F.percentile_approx("_v", [float(p) for p in probs], accuracy).alias("_q"))
+        result = sk.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        if not by:
+            return result.drop("_g0")
+        return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *names)
 
     eps = 1.0 / accuracy
     approx_probs = [max(0.0, p - 3 * eps) for p in probs] + [min(1.0, p + 3 * eps) for p in probs]
@@ -107,12 +116,12 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
 
 def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value: str,
                    probs: Sequence[float], names: Sequence[str],
-                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                   accuracy: int = DEFAULT_ACCURACY, approx: bool = False) -> DataFrame:
     """Attach exact quantile columns to a per-group aggregate ``agg``.
 
     Both sides hold one row per group; the join is null-safe on the keys.
     """
-    q = grouped_quantiles(df, by, value, probs, names, accuracy)
+    q = grouped_quantiles(df, by, value, probs, names, accuracy, approx)
     by = list(by)
     if not by:
         return _attach_single(agg, q)

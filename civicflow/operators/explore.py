@@ -56,12 +56,13 @@ def distribution(df: DataFrame, col: str, denominator: str = "rows") -> DataFram
 
 
 def box_summary(df: DataFrame, by: str = "complaint_category", value: str = DAYS,
-                digits: int | None = None) -> DataFrame:
+                digits: int | None = None, approx: bool = False) -> DataFrame:
     """A3: min, quartiles, max, 1.5 IQR fences, whiskers and outlier count."""
     base = closed_rows(df).filter(F.col(value).isNotNull()).select(by, value)
     agg = base.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
                                F.min(value).alias("min"), F.max(value).alias("max"))
-    stats = with_quantiles(agg, base, [by], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    stats = with_quantiles(agg, base, [by], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"],
+                           approx=approx)
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumns({"lower_fence": F.col("q1") - F.lit(1.5) * iqr,
                                "upper_fence": F.col("q3") + F.lit(1.5) * iqr})
@@ -188,7 +189,7 @@ def seeded_sample(df: DataFrame, n: int = 5000, seed: int = 42, key: str = "uniq
     return scored.orderBy("_h", key).limit(n).drop("_h")
 
 
-def summary_stats(df: DataFrame, digits: int | None = None) -> DataFrame:
+def summary_stats(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:
     """One row of headline statistics.
 
     Busiest weekday / hour / month use ``mode`` with the deterministic
@@ -211,7 +212,7 @@ def summary_stats(df: DataFrame, digits: int | None = None) -> DataFrame:
         F.mode("created_month", True).alias("busiest_month"),
     )
     med = closed_rows(df).select(DAYS)
-    out = with_quantiles(agg, med, [], DAYS, [0.5], ["median_days"])
+    out = with_quantiles(agg, med, [], DAYS, [0.5], ["median_days"], approx=approx)
     return out.select(
         "total_records", "closed_records", "open_records", "date_start", "date_end",
         *[round_opt(F.col(c), digits).alias(c)
@@ -264,11 +265,11 @@ def overview_kpis(df: DataFrame) -> DataFrame:
     )
 
 
-def response_kpis(df: DataFrame, digits: int | None = None) -> DataFrame:
+def response_kpis(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:
     """Mean, median and max response days of closed tickets."""
     base = closed_rows(df).select(DAYS)
     agg = base.agg(F.avg(DAYS).alias("mean_days"), F.max(DAYS).alias("max_days"))
-    out = with_quantiles(agg, base, [], DAYS, [0.5], ["median_days"])
+    out = with_quantiles(agg, base, [], DAYS, [0.5], ["median_days"], approx=approx)
     return out.select(round_opt(F.col("mean_days"), digits).alias("mean_days"),
                       round_opt(F.col("median_days"), digits).alias("median_days"),
                       "max_days")
@@ -288,12 +289,12 @@ def null_total(df: DataFrame) -> DataFrame:
     return null_census(df).agg(F.sum("null_count").alias("total_nulls"))
 
 
-def closed_time_stats(df: DataFrame, digits: int | None = None) -> DataFrame:
+def closed_time_stats(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:
     """A18 part: count, mean, median, min, max of closed response times."""
     base = closed_rows(df).select(DAYS)
     agg = base.agg(F.count(F.lit(1)).alias("closed_records"), F.avg(DAYS).alias("mean_days"),
                    F.min(DAYS).alias("min_days"), F.max(DAYS).alias("max_days"))
-    out = with_quantiles(agg, base, [], DAYS, [0.5], ["median_days"])
+    out = with_quantiles(agg, base, [], DAYS, [0.5], ["median_days"], approx=approx)
     return out.select("closed_records",
                       *[round_opt(F.col(c), digits).alias(c)
                         for c in ("mean_days", "median_days", "min_days", "max_days")])

@@ -184,3 +184,17 @@ def test_durations_are_wall_clock_in_any_session_zone(spark):
         assert r.created_hour == 1 and r.created_weekday == "Domingo"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_approx_quantiles_are_close_and_one_pass(spark):
+    """approx=True: one sketch aggregate, answers within the rank error."""
+    rnd = random.Random(3)
+    df = spark.createDataFrame([("a" if i % 3 else "b", rnd.random() * 10) for i in range(6000)],
+                               "g string, v double")
+    exact = {r.g: r.q0 for r in grouped_quantiles(df, ["g"], "v", [0.5]).collect()}
+    approx_df = grouped_quantiles(df, ["g"], "v", [0.5], approx=True)
+    plan = approx_df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Window" not in plan
+    approx = {r.g: r.q0 for r in approx_df.collect()}
+    for g in exact:
+        assert abs(exact[g] - approx[g]) < 0.05
