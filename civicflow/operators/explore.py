@@ -45,13 +45,17 @@ def distribution(df: DataFrame, col: str, denominator: str = "rows") -> DataFram
     """A2: value counts with percent share.
 
     ``denominator="rows"`` divides by all rows (NULL keys included, as the
-    cleaning report does); ``"values"`` by the non-NULL ones.
+    cleaning report does); ``"values"`` by the non-NULL ones.  The total is a
+    one-row aggregate attached by a broadcast equi-join, so no single task
+    ever holds all the distinct values (an unpartitioned window would).
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
     if denominator == "values":
         counts = counts.filter(F.col(col).isNotNull())
-    out = counts.withColumn("pct", F.col("count") * F.lit(100.0) / total)
+    total = counts.agg(F.sum("count").alias("_total")).withColumn("_one", F.lit(1))
+    out = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one") \
+        .withColumn("pct", F.col("count") * F.lit(100.0) / F.col("_total")) \
+        .drop("_one", "_total")
     return out.filter(F.col(col).isNotNull()).orderBy(F.col("count").desc(), F.col(col).asc())
 
 
