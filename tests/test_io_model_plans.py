@@ -153,3 +153,18 @@ def test_clean_csv_round_trip_keeps_types(spark):
     assert types["is_priority"] == "boolean" and types["response_time_days"] == "double"
     cols = ["unique_key", "created_date", "closed_date", "response_time_days", "complaint_category"]
     assert sorted(back.select(*cols).collect()) == sorted(full.select(*cols).collect())
+
+
+def test_jobs_clean_sql_model(spark):
+    from civicflow import jobs
+    d = _tmp()
+    rep = jobs.clean_job(spark, SF_SMALL, f"{d}/ev", "ev")
+    assert rep["rows_written"] == C.clean_pipeline(requests_ev(spark, SF_SMALL)).count()
+    jobs.clean_job(spark, SF_SMALL, f"{d}/ord", "ord")
+    written = jobs.sql_job(spark, f"{d}/ev", f"{d}/sql", monthly_path=f"{d}/ord")
+    assert len(written) == 6 and not any(v.startswith("error") for v in written.values())
+    assert spark.read.option("header", True).csv(written["temporal_analysis"]).count() > 1
+    out = jobs.model_job(spark, f"{d}/ev", f"{d}/model", f"{d}/m", num_trees=5, max_depth=4,
+                         cv_folds=2)
+    assert {r["metric"] for r in out["report"]} == {"mae", "rmse", "r2", "size"}
+    assert M.load_model(f"{d}/model") is not None
