@@ -1,8 +1,10 @@
 """Batch jobs for ``spark-submit`` (the reference's three command-line stages).
 
-    spark-submit -m civicflow.jobs clean --sf-dir DIR --view ev --out PATH
-    spark-submit -m civicflow.jobs sql   --clean PATH [--monthly PATH] --out DIR
-    spark-submit -m civicflow.jobs model --clean PATH --model PATH --out DIR
+    spark-submit --py-files civicflow.zip run_job.py clean --sf-dir DIR --view ev --out PATH
+    spark-submit --py-files civicflow.zip run_job.py sql --clean PATH [--monthly PATH] --out DIR
+    spark-submit --py-files civicflow.zip run_job.py model --clean PATH --model PATH --out DIR
+
+(``python -m civicflow.jobs ...`` does the same on a local session.)
 
 Each job reads, transforms and writes with Spark; only small report rows are
 printed.
