@@ -62,38 +62,47 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def nation_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geo_dimension(nation: DataFrame, region: DataFrame) -> DataFrame:
     """(n_nationkey, borough): 25 rows by the TPC-H schema, hence broadcast."""
-    region = table(spark, sf_dir, "region").select(
-        "r_regionkey", literal_map(REGION_TO_BOROUGH)[F.col("r_name")].alias("borough"))
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    return F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    r = region.select("r_regionkey",
+                      literal_map(REGION_TO_BOROUGH)[F.col("r_name")].alias("borough"))
+    n = nation.select("n_nationkey", "n_regionkey")
+    return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
                        .select("n_nationkey", "borough"))
 
 
-def with_borough(df: DataFrame, spark: SparkSession, sf_dir: str,
-                 nation_col: str = "c_nationkey") -> DataFrame:
+def attach_borough(df: DataFrame, nation: DataFrame, region: DataFrame,
+                   nation_col: str = "c_nationkey") -> DataFrame:
     """Attach ``borough`` through the broadcast nation dimension (no shuffle)."""
-    geo = nation_borough(spark, sf_dir)
+    geo = geo_dimension(nation, region)
     return df.join(geo, df[nation_col] == geo.n_nationkey, "left").drop("n_nationkey")
 
 
 def customer_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(c_custkey, c_mktsegment, borough): customer with its region as borough."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return with_borough(cust, spark, sf_dir).select("c_custkey", "c_mktsegment", "borough")
+    return attach_borough(cust, table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")) \
+        .select("c_custkey", "c_mktsegment", "borough")
 
 
 def requests_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tickets, one per event (binding EV)."""
-    ev = spread(table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")) \
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
+    """Raw tickets, one per event (binding EV), from the fixture folder."""
+    t = {n: table(spark, sf_dir, n) for n in ("events", "customer", "nation", "region")}
+    t["events"] = spread(t["events"].select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"))
+    return ev_view(**t)
+
+
+def ev_view(events: DataFrame, customer: DataFrame, nation: DataFrame,
+            region: DataFrame) -> DataFrame:
+    """Raw tickets, one per event, from the four tables."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value",
+                       F.get_json_object("props", "$.k").cast("int").alias("k"))
     # Join the customer projection first: its size estimate is then the plain
     # scan size, so a small customer table is broadcast at planning time and
     # a large one gets a (skew-aware) sort-merge join.
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = with_borough(ev.join(cust, ev.user_id == cust.c_custkey, "left"), spark, sf_dir)
+    cust = customer.select("c_custkey", "c_nationkey")
+    j = attach_borough(ev.join(cust, ev.user_id == cust.c_custkey, "left"), nation, region)
     eid = F.col("event_id")
     k = F.col("k")
     closed = k < 75
@@ -121,23 +130,33 @@ def requests_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests_ord(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tickets, one per order with at least one line (binding OR).
+    """Raw tickets, one per order with at least one line (binding OR)."""
+    t = {n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "customer", "nation", "region")}
+    t["orders"] = spread(t["orders"].select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
+    t["lineitem"] = spread(t["lineitem"].select("l_orderkey", "l_shipdate"))
+    return ord_view(**t)
+
+
+def ord_view(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
+             nation: DataFrame, region: DataFrame) -> DataFrame:
+    """One ticket per order from the five tables.
 
     The closing date needs the order date, so lines are joined to orders
     first; the aggregation groups on ``o_orderkey`` plus attributes that
     depend on it, so it reuses the join's hash partitioning (no second
-    shuffle).
+    shuffle).  With tables bucketed on the join keys (``sources.bucketed``)
+    neither join shuffles.
     """
-    orders = spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
-    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate"))
-    per_order = orders.join(lines, orders.o_orderkey == lines.l_orderkey).groupBy(
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    lines = lineitem.select("l_orderkey", "l_shipdate")
+    per_order = o.join(lines, o.o_orderkey == lines.l_orderkey).groupBy(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     ).agg(F.min(F.when(F.col("l_shipdate") >= F.col("o_orderdate"), F.col("l_shipdate")))
           .alias("closed_date"))
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = with_borough(per_order.join(cust, per_order.o_custkey == cust.c_custkey, "left"),
-                     spark, sf_dir)
+    cust = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    j = attach_borough(per_order.join(cust, per_order.o_custkey == cust.c_custkey, "left"),
+                       nation, region)
     return j.select(
         F.col("o_orderkey").alias("unique_key"),
         F.col("o_orderdate").alias("created_date"),
