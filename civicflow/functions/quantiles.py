@@ -20,10 +20,10 @@ The value is interpolated as Spark's ``percentile`` (and SQL
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 100_000
@@ -31,14 +31,22 @@ DEFAULT_ACCURACY = 100_000
 
 def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
                       probs: Sequence[float], names: Sequence[str] | None = None,
-                      accuracy: int = DEFAULT_ACCURACY, approx: bool = False) -> DataFrame:
+                      accuracy: int = DEFAULT_ACCURACY, approx: bool = False,
+                      extra: Mapping[str, Callable[[Column], Column]] | None = None,
+                      having: Column | None = None) -> DataFrame:
     """One row per group of ``by`` with a column per probability.
 
     NULL values are ignored (as in SQL); NULL group keys form their own group.
     Groups whose values are all NULL get no row.  ``approx=True`` returns the
     sketch answer of one pass (rank error at most ``n / accuracy``, a data
     value, no interpolation) instead of the exact one.
+
+    ``extra`` maps output names to aggregates of the value column (e.g.
+    ``{"n": lambda v: F.count(v), "mean": F.avg}``); they are computed in the
+    first pass, so a query needs no separate aggregate and join.  ``having``
+    filters groups on those outputs before the second pass.
     """
+    extra = dict(extra or {})
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
@@ -50,32 +58,39 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
         data = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
                          F.col(value).cast("double").alias("_v"))
     data = data.filter(F.col("_v").isNotNull())
+    extra_cols = [fn(F.col("_v")).alias(n) for n, fn in extra.items()]
     if approx:
         sk = data.groupBy(*keys).agg(
-            F.percentile_approx("_v", [float(p) for p in probs], accuracy).alias("_q"))
-        result = sk.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+            F.percentile_approx("_v", [float(p) for p in probs], accuracy).alias("_q"),
+            *extra_cols)
+        if having is not None:
+            sk = sk.filter(having)
+        result = sk.select(*keys, *extra, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
         if not by:
             return result.drop("_g0")
-        return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *names)
+        return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *extra, *names)
 
     eps = 1.0 / accuracy
     approx_probs = [max(0.0, p - 3 * eps) for p in probs] + [min(1.0, p + 3 * eps) for p in probs]
     stats = data.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", approx_probs, accuracy).alias("_approx"),
+        F.count("_v").alias("_q_n"),
+        F.min("_v").alias("_q_min"),
+        F.max("_v").alias("_q_max"),
+        F.percentile_approx("_v", approx_probs, accuracy).alias("_q_approx"),
+        *extra_cols,
     )
-    small = F.col("_n") <= F.lit(accuracy)
+    if having is not None:
+        stats = stats.filter(having)
+    small = F.col("_q_n") <= F.lit(accuracy)
     k = len(probs)
-    brackets = stats.select(*keys, "_n", F.explode(F.array(*[
+    brackets = stats.select(*keys, "_q_n", *extra, F.explode(F.array(*[
         F.struct(
             F.lit(i).alias("_qi"),
             F.lit(p).alias("_p"),
-            F.when(small, F.col("_min")).otherwise(F.col("_approx")[i]).alias("_lo"),
-            F.when(small, F.col("_max")).otherwise(F.col("_approx")[k + i]).alias("_hi"),
+            F.when(small, F.col("_q_min")).otherwise(F.col("_q_approx")[i]).alias("_lo"),
+            F.when(small, F.col("_q_max")).otherwise(F.col("_q_approx")[k + i]).alias("_hi"),
         ) for i, p in enumerate(probs)
-    ])).alias("_b")).select(*keys, "_n", "_b.*")
+    ])).alias("_b")).select(*keys, "_q_n", *extra, "_b.*")
 
     b = brackets.alias("b")
     d = data.alias("d")
@@ -83,14 +98,19 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
                   [F.col(f"d.{kk}").eqNullSafe(F.col(f"b.{kk}")) for kk in keys])
     joined = d.join(b, cond & (F.col("d._v") <= F.col("b._hi"))).select(
         *[F.col(f"b.{kk}").alias(kk) for kk in keys],
-        F.col("b._qi").alias("_qi"), F.col("b._p").alias("_p"), F.col("b._n").alias("_n"),
+        F.col("b._qi").alias("_qi"), F.col("b._p").alias("_p"), F.col("b._q_n").alias("_q_n"),
+        *[F.col(f"b.`{n}`").alias(n) for n in extra],
         F.when(F.col("d._v") >= F.col("b._lo"), F.col("d._v")).alias("_cv"),
     )
-    counted = joined.groupBy(*keys, "_qi", "_p", "_n", "_cv").agg(F.count(F.lit(1)).alias("_c"))
+    # First-pass aggregates are constant per group; they ride along as values
+    # (not keys), so one scan of the input serves both.
+    carry = [F.max(n).alias(n) for n in extra]
+    counted = joined.groupBy(*keys, "_qi", "_p", "_q_n", "_cv").agg(
+        F.count(F.lit(1)).alias("_c"), *carry)
 
     w = Window.partitionBy(*keys, "_qi").orderBy(F.col("_cv").asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = F.col("_p") * (F.col("_n") - 1)
+    pos = F.col("_p") * (F.col("_q_n") - 1)
     ranked = counted.withColumn("_cum", F.sum("_c").over(w)) \
         .withColumn("_pos", pos) \
         .withColumn("_klo", F.floor(pos)) \
@@ -108,10 +128,10 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
         hi_i = F.max(F.when(sel & has_hi, F.col("_cv")))
         interp[names[i]] = F.when(klo_i == khi_i, lo_i).otherwise(
             (khi_i - pos_i) * lo_i + (pos_i - klo_i) * hi_i)
-    result = picked.groupBy(*keys).agg(*[e.alias(n) for n, e in interp.items()])
+    result = picked.groupBy(*keys).agg(*[e.alias(n) for n, e in interp.items()], *carry)
     if not by:
         return result.drop("_g0")
-    return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *names)
+    return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *extra, *names)
 
 
 def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value: str,

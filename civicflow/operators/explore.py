@@ -63,10 +63,9 @@ def box_summary(df: DataFrame, by: str = "complaint_category", value: str = DAYS
                 digits: int | None = None, approx: bool = False) -> DataFrame:
     """A3: min, quartiles, max, 1.5 IQR fences, whiskers and outlier count."""
     base = closed_rows(df).filter(F.col(value).isNotNull()).select(by, value)
-    agg = base.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
-                               F.min(value).alias("min"), F.max(value).alias("max"))
-    stats = with_quantiles(agg, base, [by], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"],
-                           approx=approx)
+    stats = grouped_quantiles(base, [by], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"],
+                              approx=approx, extra={"n": lambda v: F.count(F.lit(1)),
+                                                    "min": F.min, "max": F.max})
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumns({"lower_fence": F.col("q1") - F.lit(1.5) * iqr,
                                "upper_fence": F.col("q3") + F.lit(1.5) * iqr})

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import is_closed, resolution_bucket, round_opt, safe_pct
-from ..functions.quantiles import with_quantiles
+from ..functions.quantiles import grouped_quantiles
 
 DAYS = "response_time_days"
 
@@ -32,12 +32,10 @@ def slowest_types(df: DataFrame, limit: int = 10, min_cases: int = 50,
     The median is exact; ``approx=True`` takes the one-pass sketch instead.
     """
     base = closed_known(df).select("complaint_type", DAYS)
-    agg = base.groupBy("complaint_type").agg(
-        F.count(F.lit(1)).alias("total_complaints"),
-        F.avg(DAYS).alias("_avg"),
-        F.max(DAYS).alias("_max"),
-    ).filter(F.col("total_complaints") >= min_cases)
-    agg = with_quantiles(agg, base, ["complaint_type"], DAYS, [0.5], ["_median"], approx=approx)
+    agg = grouped_quantiles(
+        base, ["complaint_type"], DAYS, [0.5], ["_median"], approx=approx,
+        extra={"total_complaints": lambda v: F.count(F.lit(1)), "_avg": F.avg, "_max": F.max},
+        having=F.col("total_complaints") >= min_cases)
     out = agg.select(
         "complaint_type", "total_complaints",
         round_opt(F.col("_avg"), digits).alias("avg_response_days"),
@@ -176,12 +174,10 @@ def priority_analysis(df: DataFrame, digits: int | None = 2, approx: bool = Fals
     """
     keys = ["is_priority", "is_business_hours"]
     base = closed_known(df).select(*keys, DAYS)
-    agg = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_complaints"),
-        F.avg(DAYS).alias("_avg"),
-        F.max(DAYS).alias("max_response_days"),
-    )
-    agg = with_quantiles(agg, base, keys, DAYS, [0.5, 0.9], ["_median", "_p90"], approx=approx)
+    agg = grouped_quantiles(
+        base, keys, DAYS, [0.5, 0.9], ["_median", "_p90"], approx=approx,
+        extra={"total_complaints": lambda v: F.count(F.lit(1)), "_avg": F.avg,
+               "max_response_days": F.max})
     out = agg.select(
         *keys, "total_complaints",
         round_opt(F.col("_avg"), digits).alias("avg_response_days"),
