@@ -135,11 +135,14 @@ def node_memory_mb(spark, cap: int = 256) -> int:
     trees.  In local mode all tasks share the driver heap, so the budget is
     the heap split over the concurrent tasks (with head-room).
     """
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    try:
+        sc = spark.sparkContext
+        if not sc.master.startswith("local"):
+            return cap
+        heap_mb = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
+        return int(max(16, min(cap, heap_mb // (4 * max(1, sc.defaultParallelism)))))
+    except Exception:  # no JVM access from this client
         return cap
-    heap_mb = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
-    return int(max(16, min(cap, heap_mb // (4 * max(1, sc.defaultParallelism)))))
 
 
 def forest(num_trees: int = 100, max_depth: int = 15, min_leaf: int = 2, seed: int = 42,

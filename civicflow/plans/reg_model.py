@@ -117,12 +117,19 @@ def _forest(s, d):
     kills the JVM every later query shares, so a heap below 512 MB fails this
     query up front; above it the node-statistics budget is sized to the heap
     (``model.node_memory_mb``)."""
-    heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
-    if s.sparkContext.master.startswith("local") and heap < MIN_HEAP_BYTES:
+    try:
+        local = s.sparkContext.master.startswith("local")
+        heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    except Exception:  # no JVM access from this client
+        local, heap = False, MIN_HEAP_BYTES
+    if local and heap < MIN_HEAP_BYTES:
         raise MemoryError(f"driver heap {heap >> 20} MB is below the "
                           f"{MIN_HEAP_BYTES >> 20} MB a local forest fit needs; "
                           "raise spark.driver.memory")
-    key = (s.sparkContext.applicationId, d)
+    try:
+        key = (s.sparkContext.applicationId, d)
+    except Exception:
+        key = (id(s), d)
     if key not in _FOREST_CACHE:
         _FOREST_CACHE[key] = M.train_random_forest(ev_clean(s, d), cv_folds=0)
     return _FOREST_CACHE[key]

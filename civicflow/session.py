@@ -59,7 +59,10 @@ def configure(spark: SparkSession) -> SparkSession:
             pass
     # Tickets are TIMESTAMP_NTZ (wall-clock): durations, hours and weekdays do
     # not depend on the session time zone, so the caller's zone is left as is.
-    ensure_checkpoint_dir(spark)
+    try:
+        ensure_checkpoint_dir(spark)
+    except Exception:  # no SparkContext access (e.g. Spark Connect)
+        pass
     return spark
 
 

@@ -56,8 +56,12 @@ def spread(df: DataFrame) -> DataFrame:
     returned unchanged, so no shuffle is added at scale.  The split count is
     read from the planned scan; no job runs.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if splits * 2 <= cores:
         return df.repartition(cores)
     return df
 
