@@ -134,6 +134,10 @@ def test_page_compositions_run(spark):
                pages.diagnostics_page, pages.sql_page):
         for name, df in fn(clean).items():
             assert df.collect() is not None, name
+    from civicflow.operators import explore as X
+    for rep in (X.cleaning_report(clean), X.summary_report(clean)):
+        for name, df in rep.items():
+            assert df.collect() is not None, name
     t = pages.temporal_page(clean, borough="Manhattan", category="Todas")
     assert sum(r["count"] for r in t["weekday"].collect()) == \
         clean.filter(F.col("borough") == "Manhattan").count()

@@ -29,3 +29,9 @@ def test_entry_runs(spark):
     assert df.columns == ["complaint_type", "total_complaints", "avg_response_days",
                           "median_response_days", "max_response_days"]
     assert len(df.collect()) > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(SPARK) - set(SQL)))
+def test_rows_only_queries_run(spark, name):
+    rows = SPARK[name](spark, SF_SMALL).collect()
+    assert len(rows) > 0
