@@ -50,7 +50,9 @@ def sql_job(spark: SparkSession, clean_path: str, out_dir: str,
     clean = read_clean(spark, clean_path)
     clean.createOrReplaceTempView("nyc_311")
     monthly = read_clean(spark, monthly_path) if monthly_path else None
-    return export_results(P.run_all(clean, monthly_input=monthly), out_dir)
+    # The input is already materialised Parquet: no cache (at scale it would
+    # only copy the table to executor disks).
+    return export_results(P.run_all(clean, monthly_input=monthly, cache=False), out_dir)
 
 
 def model_job(spark: SparkSession, clean_path: str, model_path: str, out_dir: str,

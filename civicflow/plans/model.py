@@ -183,6 +183,13 @@ class TrainResult:
     extra: dict = field(default_factory=dict)
 
 
+def split_sizes(data: DataFrame) -> tuple[int, int]:
+    """(train rows, test rows) from one grouped count."""
+    sizes = {r["is_test"]: r["n"] for r in
+             data.groupBy("is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return int(sizes.get(False, 0)), int(sizes.get(True, 0))
+
+
 def prepare(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """P16 + M1-M3 + M5 + M6 on a clean ticket table."""
     return with_split(engineer_features(model_rows(df)), test_size, seed)
@@ -207,10 +214,11 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     imp = rf_model.featureImportances.toArray().tolist()
     importance = spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, imp)],
                                        "feature string, importance double")
+    n_train, n_test = split_sizes(data)
     return TrainResult(
         model=model, model_type="Random Forest",
         train_metrics=metrics(model.transform(train)), test_metrics=metrics(model.transform(test)),
-        train_size=train.count(), test_size=test.count(), cv_mae=cv_mae, importance=importance)
+        train_size=n_train, test_size=n_test, cv_mae=cv_mae, importance=importance)
 
 
 def cross_validated_mae(train_features: DataFrame, estimator, folds: int = 5,
@@ -245,10 +253,11 @@ def train_linear_regression(df: DataFrame, test_size: float = 0.2, seed: int = 4
                           elasticNetParam=0.0, solver="normal")
     fitted = Pipeline(stages=[scaler, lr]).fit(pre.transform(train))
     model = PipelineModel(stages=stages + list(fitted.stages))
+    n_train, n_test = split_sizes(data)
     return TrainResult(
         model=model, model_type="Linear Regression",
         train_metrics=metrics(model.transform(train)), test_metrics=metrics(model.transform(test)),
-        train_size=train.count(), test_size=test.count(),
+        train_size=n_train, test_size=n_test,
         extra={"scaler": fitted.stages[0], "lr": fitted.stages[1]})
 
 
