@@ -126,8 +126,13 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
         pos_i, klo_i, khi_i = (F.max(F.when(sel, F.col(c))) for c in ("_pos", "_klo", "_khi"))
         lo_i = F.max(F.when(sel & has_lo, F.col("_cv")))
         hi_i = F.max(F.when(sel & has_hi, F.col("_cv")))
-        interp[names[i]] = F.when(klo_i == khi_i, lo_i).otherwise(
+        value = F.when(klo_i == khi_i, lo_i).otherwise(
             (khi_i - pos_i) * lo_i + (pos_i - klo_i) * hi_i)
+        # The bracket provably holds both ranks; fail loudly rather than
+        # return a wrong value if that were ever not so.
+        interp[names[i]] = F.when(lo_i.isNull() | hi_i.isNull(),
+                                  F.raise_error(F.lit("quantile bracket missed its rank"))
+                                  ).otherwise(value)
     result = picked.groupBy(*keys).agg(*[e.alias(n) for n, e in interp.items()], *carry)
     if not by:
         return result.drop("_g0")
