@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cleaning as C
 from ..sources.bindings import requests_ev, requests_ord
@@ -43,7 +44,6 @@ R = O.DAYS
 CK = O.CLOSED_KNOWN
 
 
-
 def cont(sql: str) -> str:
     """Join a body that starts with more CTEs (``, name AS (...)``) onto the prefix."""
     return sql.replace("\n, ", ",\n", 1)
@@ -51,7 +51,6 @@ def cont(sql: str) -> str:
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (comparison precision of the oracle check)."""
-    from pyspark.sql import functions as F
     return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
                        if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
                        for f in df.schema.fields])
@@ -59,5 +58,6 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def sql_round(inner: str, cols: list[str], digits: int = 6) -> str:
     """``SELECT * REPLACE (ROUND(c, d) AS c, ...) FROM (inner)``."""
-    rep = ", ".join(f'{O.rnd(chr(34) + c + chr(34), digits)} AS "{c}"' for c in cols)
+    quoted = [f'"{c}"' for c in cols]
+    rep = ", ".join(f"{O.rnd(q, digits)} AS {q}" for q in quoted)
     return f"SELECT * REPLACE ({rep}) FROM (\n{inner}\n) AS _r"
