@@ -184,3 +184,17 @@ def test_exact_median_query_scans_input_twice(spark):
     q.collect()
     final = q._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan parquet") == 2
+
+
+def test_filters_and_columns_reach_the_clean_scan(spark):
+    """On the materialised clean table, Q1's status / known-time filters are
+    pushed into the Parquet scan and only the needed columns are read."""
+    from civicflow.plans import performance as P
+    d = _tmp()
+    write_table(C.clean_pipeline(requests_ev(spark, SF_SMALL)), f"{d}/ev")
+    plan = P.slowest_types(read_clean(spark, f"{d}/ev"))._jdf.queryExecution() \
+        .executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    assert scans and all("PushedFilters: [" in ln and "status" in ln.split("PushedFilters")[1]
+                         for ln in scans)
+    assert all("latitude" not in ln.split("ReadSchema")[1] for ln in scans)
