@@ -144,3 +144,17 @@ def _io7(s, d):
 register("IO7_sql_text_slowest_types_ev", O.with_ev_clean(
     _IO7_TEXT.replace("nyc_311", "clean").replace(":min_cases", "50").replace(":lim", "10")
     .replace("avg_response_days DESC", "avg_response_days DESC NULLS LAST")))(_io7)
+
+
+# P1 on text: dates rendered as text (full microseconds) and parsed back; the
+# oracle is the original timestamps.
+def _p1_text(s, d):
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    raw = requests_ev(s, d).select(
+        "unique_key", F.date_format("created_date", fmt).alias("created_date"),
+        F.date_format("closed_date", fmt).alias("closed_date"))
+    return C.parse_dates(raw, strict=True)
+
+
+register("P1_parse_text_dates_ev", O.with_ev_raw(
+    "SELECT unique_key, created_date, closed_date FROM raw"))(_p1_text)
