@@ -158,3 +158,38 @@ def _p1_text(s, d):
 
 register("P1_parse_text_dates_ev", O.with_ev_raw(
     "SELECT unique_key, created_date, closed_date FROM raw"))(_p1_text)
+
+
+# IO1/IO3 and IO2/IO4: write then read back through the library's sources and
+# sinks (files under the shared checkpoint folder); the oracle is the view.
+def _io_path(s, tag):
+    import uuid
+    from ..session import ensure_checkpoint_dir, shared_path
+    ensure_checkpoint_dir(s)
+    return shared_path(s, f"io_check/{tag}-{uuid.uuid4().hex}")
+
+
+def _raw_parquet_round_trip(s, d):
+    from .. import schema as S
+    from ..sources.tickets import read_raw, write_table
+    raw = requests_ev(s, d)
+    full = raw.select(*[F.col(f.name) if f.name in raw.columns
+                        else F.lit(None).cast(f.dataType).alias(f.name) for f in S.RAW.fields])
+    path = write_table(full, _io_path(s, "raw"))
+    return read_raw(s, path).select(*raw.columns)
+
+
+def _clean_csv_round_trip(s, d):
+    from .. import schema as S
+    from ..sources.tickets import read_clean, write_table
+    clean = ev_clean(s, d)
+    full = clean.select(*[F.col(f.name) if f.name in clean.columns
+                          else F.lit(None).cast(f.dataType).alias(f.name) for f in S.CLEAN.fields])
+    path = write_table(full, _io_path(s, "clean_csv"), fmt="csv")
+    return read_clean(s, path, fmt="csv").select(*clean.columns)
+
+
+register("IO1_IO3_raw_parquet_round_trip_ev", O.with_ev_raw("SELECT * FROM raw"))(
+    _raw_parquet_round_trip)
+register("IO2_IO4_clean_csv_round_trip_ev", O.with_ev_clean("SELECT * FROM clean"))(
+    _clean_csv_round_trip)
