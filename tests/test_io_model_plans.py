@@ -198,3 +198,19 @@ def test_filters_and_columns_reach_the_clean_scan(spark):
     assert scans and all("PushedFilters: [" in ln and "status" in ln.split("PushedFilters")[1]
                          for ln in scans)
     assert all("latitude" not in ln.split("ReadSchema")[1] for ln in scans)
+
+
+def test_spread_only_touches_unsplit_scans(spark):
+    from civicflow.sources.bindings import spread
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(many) is many
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == cores
+
+
+def test_checkpoint_folder_is_reused_and_shared_paths_live_in_it(spark):
+    from civicflow.session import ensure_checkpoint_dir, shared_path
+    first = ensure_checkpoint_dir(spark)
+    assert first and ensure_checkpoint_dir(spark) == first
+    assert shared_path(spark, "x").startswith(first)
