@@ -164,6 +164,10 @@ def test_jobs_clean_sql_model(spark):
     d = _tmp()
     rep = jobs.clean_job(spark, SF_SMALL, f"{d}/ev", "ev")
     assert rep["rows_written"] == C.clean_pipeline(requests_ev(spark, SF_SMALL)).count()
+    timed = C.calculate_response_time(C.normalize_dates(requests_ev(spark, SF_SMALL)))
+    assert rep["outliers_removed"] == C.count_outliers(timed).first()[0]
+    rep10 = jobs.clean_job(spark, SF_SMALL, f"{d}/ev10", "ev", max_days=10)
+    assert rep10["outliers_removed"] == C.count_outliers(timed, 10).first()[0] > 0
     jobs.clean_job(spark, SF_SMALL, f"{d}/ord", "ord")
     written = jobs.sql_job(spark, f"{d}/ev", f"{d}/sql", monthly_path=f"{d}/ord")
     assert len(written) == 6 and not any(v.startswith("error") for v in written.values())
