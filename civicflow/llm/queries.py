@@ -1,4 +1,4 @@
 """All queries of the subpackage."""
 
-from . import q_host_rules  # noqa: F401
+from . import q_bpe_prefix, q_host_rules, q_packing  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

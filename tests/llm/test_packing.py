@@ -1,0 +1,95 @@
+"""Packing: pieces against the tokenizers library, places, and bins against exact search."""
+
+import random
+import zlib
+from collections import defaultdict
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers as P
+from tokenizers import Tokenizer
+
+from civicflow.llm.packing import OUT, fullest, pack, plan, slots
+
+VOCAB = P.path("byte_bpe_50k.json")
+SF = "/root/testdata/sf0.001"
+
+
+def check(rows, texts, capacity=1024):
+    """rows: (doc key, piece, start, length, crc, sequence, offset)."""
+    tok = Tokenizer.from_file(VOCAB)
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r[0]].append(r[1:])
+        by_seq[r[5]].append((r[6], r[3]))
+    assert set(by_doc) == set(texts)
+    for doc, got in by_doc.items():
+        ids = np.array(tok.encode(texts[doc] or "", add_special_tokens=False).ids + [2], "<u4")
+        got.sort()
+        at = 0
+        for k, (piece, start, length, crc, _, _) in enumerate(got):
+            assert (piece, start) == (k, at) and 1 <= length <= capacity
+            assert k == 0 or length == capacity
+            assert crc == zlib.crc32(ids[at:at + length].tobytes())
+            at += length
+        assert at == len(ids) and len(got) == -(-len(ids) // capacity)
+    for places in by_seq.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by_seq), sum(r[3] for r in rows)
+
+
+def test_fullest_equals_exhaustive_search():
+    rnd = random.Random(5)
+    for _ in range(60):
+        lengths = [rnd.randint(1, 30) for _ in range(rnd.randint(1, 10))]
+        room = rnd.randint(1, 60)
+        counts = {x: lengths.count(x) for x in lengths}
+        best = max(s for k in range(len(lengths) + 1) for c in combinations(lengths, k) if (s := sum(c)) <= room)
+        used = fullest(counts, room)
+        assert sum(x * k for x, k in used.items()) == best
+        assert all(k <= counts[x] for x, k in used.items())
+
+
+def test_plan_uses_every_piece_and_is_near_the_bound():
+    rnd = random.Random(6)
+    counts = defaultdict(int)
+    for _ in range(20_000):
+        counts[min(1024, int(rnd.lognormvariate(5, 1)) + 1)] += 1
+    bins = plan(counts)
+    used = defaultdict(int)
+    for times, combo in bins:
+        assert sum(x * k for x, k in combo.items()) <= 1024
+        for x, k in combo.items():
+            used[x] += times * k
+    assert used == counts
+    bound = -(-sum(x * k for x, k in counts.items()) // 1024)
+    assert sum(t for t, _ in bins) <= bound + 1 + counts[1024] * 0
+    assert len(slots(bins)["key"]) < 30_000
+
+
+def test_plan_of_nothing():
+    assert plan({}) == []
+    assert len(slots([])["key"]) == 0
+
+
+def test_query(spark):
+    from civicflow.llm.queries import QUERIES
+    rows = [tuple(r) for r in QUERIES["op6_packing"](spark, SF).select("doc_id", *OUT).collect()]
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    bins, total = check(rows, texts)
+    assert bins <= -(-total // 1024) * 1.01 + 1
+
+
+def test_nulls_repeats_long_texts_and_extra_columns(spark):
+    long = "word and <|endoftext|> more, " * 2000
+    data = [(0, None, 5), (1, "", 6), (2, "short text", 7), (3, long, 8)] + [(10 + i, "the same text here", 9) for i in range(50)]
+    df = spark.createDataFrame(data, "k long, text string, length long").repartition(3)
+    out = pack(df, VOCAB).collect()
+    check([(r.k, *(r[c] for c in OUT)) for r in out], {k: t for k, t, _ in data})
+    again = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b")], "doc_id long, text string")
+    assert sorted((r.offset, r.length) for r in pack(again, VOCAB).collect()) == [(0, 3), (3, 3), (6, 3)]
+    assert pack(again.limit(0), VOCAB).collect() == []
