@@ -1,4 +1,4 @@
 """All queries of the subpackage."""
 
-from . import q_bagminhash, q_bpe_prefix, q_host_rules, q_packing, q_substring_blocks  # noqa: F401
+from . import q_bagminhash, q_bpe_prefix, q_host_rules, q_imatch, q_packing, q_substring_blocks  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
