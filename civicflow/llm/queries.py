@@ -1,4 +1,13 @@
 """All queries of the subpackage."""
 
-from . import q_bagminhash, q_bpe_prefix, q_host_rules, q_imatch, q_packing, q_substring_blocks  # noqa: F401
+from . import (  # noqa: F401
+    q_bagminhash,
+    q_bpe_prefix,
+    q_host_rules,
+    q_imatch,
+    q_line_templates,
+    q_packing,
+    q_pii_anchors,
+    q_substring_blocks,
+)
 from .registry import QUERIES, SQL  # noqa: F401
