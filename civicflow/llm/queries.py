@@ -9,5 +9,6 @@ from . import (  # noqa: F401
     q_packing,
     q_pii_anchors,
     q_substring_blocks,
+    q_warc_shards,
 )
 from .registry import QUERIES, SQL  # noqa: F401
