@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, map_arrow, span_hashes, text_chunks, window_hashes, words
+from .common import U64, map_arrow, mix, span_hashes, text_chunks, window_hashes, words
 from .graph import map_groups
 
 BLOCK = 10
@@ -167,7 +167,23 @@ def _anchors(cols) -> list[np.ndarray] | None:
 
 # -- step 2: repeats ---------------------------------------------------------
 
-_DOC, _BUCKET, _ANSWER = 0, 1, 2  # kinds of rows
+_DOC, _BUCKET, _LOCAL, _ANSWER = 0, 1, 2, 3  # kinds of rows
+_ROW = "bucket int, home int, kind int, doc bigint, blob binary"
+
+
+def _home(doc: np.ndarray, homes: int) -> np.ndarray:
+    """The group of documents that a document belongs to."""
+    return (mix(doc.view(U64)) % U64(homes)).astype(np.int64)
+
+
+def _late(h: np.ndarray, doc: np.ndarray, start: np.ndarray):
+    """Sorted copies, marks of the first of each hash, and marks of those that start later than it."""
+    order = np.lexsort((start, doc, h))
+    h, doc, start = h[order], doc[order], start[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return h, doc, start, new, (doc != doc[lead]) | (start != start[lead])
 
 
 def _look_up(block: int, buckets: int):
@@ -178,17 +194,9 @@ def _look_up(block: int, buckets: int):
         held, size = [], 0
 
         def flush():
-            h, doc, start = (np.concatenate([x[i] for x in held]) for i in range(3))
-            order = np.lexsort((start, doc, h))
-            h, doc, start = h[order], doc[order], start[order]
-            new = np.ones(len(h), bool)
-            new[1:] = h[1:] != h[:-1]
-            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            late = (doc != doc[lead]) | (start != start[lead])
-            rows = []
+            h, doc, start, new, late = _late(*(np.concatenate([x[i] for x in held]) for i in range(3)))
             # Later ones within the task are repeats already.
-            for d, s in _by_doc(doc[late], start[late]):
-                rows.append((-1, d, _ANSWER, pack_arrays([_smallest(s.astype(U64))])))
+            rows = [(-1, *x) for x in _sent_home(doc[late], start[late], buckets, _LOCAL)]
             h, doc, start = h[new], doc[new], start[new]
             names, which = np.unique(doc, return_inverse=True)
             cut = np.searchsorted((h >> U64(32)) * U64(buckets) >> U64(32), np.arange(buckets + 1, dtype=U64))
@@ -196,7 +204,7 @@ def _look_up(block: int, buckets: int):
                 lo, hi = cut[b], cut[b + 1]
                 if lo < hi:
                     used, short = np.unique(which[lo:hi], return_inverse=True)
-                    rows.append((b, 0, _BUCKET, pack_arrays([
+                    rows.append((b, -1, _BUCKET, 0, pack_arrays([
                         _differences(h[lo:hi]), names[used].view(U64), _smallest(short.astype(U64)),
                         _smallest(start[lo:hi].astype(U64))])))
             return _rows(rows)
@@ -204,6 +212,7 @@ def _look_up(block: int, buckets: int):
         for part, data, offsets in text_chunks(batches, "__text"):
             w = Words(data, offsets)
             ids = part.column(0).to_numpy(zero_copy_only=False)
+            homes = _home(ids, buckets).tolist()
             anchors = part.column(1).to_pylist()
             raw, rows = data.tobytes(), []
             near = np.zeros(len(w.row) + 1, np.int64)
@@ -215,7 +224,7 @@ def _look_up(block: int, buckets: int):
                     at = np.array(own, np.int64) * block
                     np.add.at(near, lo + np.maximum(at - block, 0), 1)
                     np.add.at(near, np.minimum(lo + at + 1, hi), -1)
-                rows.append((-1, doc, _DOC, _doc_blob(w, raw, i, text)))
+                rows.append((-1, homes[i], _DOC, doc, _doc_blob(w, raw, i, text)))
             yield _rows(rows)
             h, at = w.windows(k)
             use = np.cumsum(near)[at] > 0
@@ -240,70 +249,80 @@ def _doc_blob(w: Words, raw: bytes, i: int, text: bytes) -> bytes:
     return b"K" + int(hi - lo).to_bytes(8, "little") + digest
 
 
-def _by_doc(doc: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(doc, kind="stable")
-    doc, start = doc[order], start[order]
-    cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(doc))):
-        yield int(doc[lo]), start[lo:hi]
+def _sent_home(doc: np.ndarray, start: np.ndarray, homes: int, kind: int) -> list[tuple]:
+    """(home, kind, 0, blob): one row for each home of documents, with the starts of their repeats."""
+    home = _home(doc, homes)
+    order = np.lexsort((start, doc, home))
+    home, doc, start = home[order], doc[order], start[order]
+    cuts = np.flatnonzero(np.append(True, home[1:] != home[:-1])) if len(home) else np.zeros(0, np.int64)
+    out = []
+    for lo, hi in zip(cuts, np.append(cuts[1:], len(home))):
+        names, many = np.unique(doc[lo:hi], return_counts=True)
+        out.append((int(home[lo]), kind, 0, pack_arrays([
+            names.view(U64), _smallest(many.astype(U64)), _smallest(start[lo:hi].astype(U64))])))
+    return out
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [(), (), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary()))],
-                                      names=["bucket", "doc", "kind", "blob"])
-
-
-def _answer(cols) -> list | None:
-    """One bucket: the windows that are not the earliest of their words; other rows pass."""
-    held = [unpack_arrays(x) for x, kind in zip(cols["blob"], cols["kind"]) if kind == _BUCKET]
-    if not held:
-        return None
-    h = np.concatenate([np.cumsum(x[0], dtype=U64) for x in held])
-    doc = np.concatenate([x[1].view(np.int64)[x[2]] for x in held])
-    start = np.concatenate([x[3].astype(np.int64) for x in held])
-    order = np.lexsort((start, doc, h))
-    h, doc, start = h[order], doc[order], start[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    late = (doc != doc[lead]) | (start != start[lead])
-    found = [(d, pack_arrays([_smallest(s.astype(U64))])) for d, s in _by_doc(doc[late], start[late])]
-    if not found:
-        return None
-    return [np.array([d for d, _ in found], np.int64), np.full(len(found), _ANSWER, np.int32),
-            np.array([x for _, x in found], object)]
+    cols = list(zip(*rows)) if rows else [()] * 5
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                      names=["bucket", "home", "kind", "doc", "blob"])
+
+
+def _answer(homes: int):
+    """One bucket: the windows that are not the earliest of their words.  Other rows pass."""
+    def fn(cols):
+        if cols["deal"][0] < 0:
+            return [cols["home"], cols["kind"], cols["doc"], np.array(cols["blob"], object)]
+        held = [unpack_arrays(x) for x in cols["blob"]]
+        h = np.concatenate([np.cumsum(x[0], dtype=U64) for x in held])
+        doc = np.concatenate([x[1].view(np.int64)[x[2]] for x in held])
+        start = np.concatenate([x[3].astype(np.int64) for x in held])
+        h, doc, start, _, late = _late(h, doc, start)
+        rows = _sent_home(doc[late], start[late], homes, _ANSWER)
+        if not rows:
+            return None
+        home, kind, doc, blob = zip(*rows)
+        return [np.array(home, np.int32), np.array(kind, np.int32), np.array(doc, np.int64), np.array(blob, object)]
+    return fn
 
 
 def _finish(block: int):
     k = 2 * block
 
     def fn(cols):
-        """One document: joins its repeats and takes their words out."""
-        starts = [unpack_arrays(x)[0].astype(np.int64) for x, kind in zip(cols["blob"], cols["kind"]) if kind == _ANSWER]
-        out = []
+        """The documents of one home: joins their repeats and takes the words out."""
+        starts: dict[int, list[np.ndarray]] = {}
         for blob, kind in zip(cols["blob"], cols["kind"]):
+            if kind != _DOC:
+                names, many, start = unpack_arrays(blob)
+                for doc, s in zip(names.view(np.int64).tolist(), np.split(start.astype(np.int64), np.cumsum(many.astype(np.int64))[:-1])):
+                    starts.setdefault(doc, []).append(s)
+        out = []
+        for doc, blob, kind in zip(cols["doc"].tolist(), cols["blob"], cols["kind"]):
             if kind != _DOC:
                 continue
             if blob[:1] == b"K":
-                out.append((int.from_bytes(blob[1:9], "little"), 0, blob[9:].hex(), ""))
+                out.append((doc, int.from_bytes(blob[1:9], "little"), 0, blob[9:].hex(), ""))
                 continue
             text = pa.decompress(blob[1:-8], decompressed_size=int.from_bytes(blob[-8:], "little"), codec="zstd", asbytes=True)
             found = text.split()
             cover = np.zeros(len(found) + 1, np.int64)
-            for s in starts:
+            for s in starts.get(doc, ()):
                 s = s[s + k <= len(found)]
                 np.add.at(cover, s, 1)
                 np.add.at(cover, s + k, -1)
             gone = np.cumsum(cover[:-1]) > 0
             edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
             kept = b" ".join([w for w, g in zip(found, gone.tolist()) if not g])
-            out.append((len(found), int(gone.sum()), hashlib.sha256(kept).hexdigest(),
+            out.append((doc, len(found), int(gone.sum()), hashlib.sha256(kept).hexdigest(),
                         ",".join(f"{a}:{b}" for a, b in edge.reshape(-1, 2).tolist())))
-        n = len(out)
-        return [np.full(n, cols["doc"][0], np.int64), np.array([r[0] for r in out], np.int64),
-                np.array([r[1] for r in out], np.int64), np.array([r[2] for r in out], object),
-                np.array([r[3] for r in out], object)] if n else None
+        if not out:
+            return None
+        doc, n, gone, sha, removed = zip(*out)
+        return [np.array(doc, np.int64), np.array(n, np.int64), np.array(gone, np.int64),
+                np.array(sha, object), np.array(removed, object)]
     return fn
 
 
@@ -324,25 +343,11 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     hot = hot.groupBy("doc").agg(F.collect_set("number").alias("anchors"))
 
     both = src.join(hot, "doc", "left").select("doc", "anchors", "__text")
-    rows = map_arrow(both, _look_up(block, buckets), "bucket int, doc bigint, kind int, blob binary")
-    answered = _answered(rows)
-    done = map_groups(answered, ["doc"], _finish(block),
+    rows = map_arrow(both, _look_up(block, buckets), _ROW)
+    dealt = rows.withColumn("deal", F.when(F.col("kind") == _BUCKET, F.col("bucket")).otherwise(-1 - F.col("home")))
+    dealt = dealt.select("deal", "home", "kind", "doc", "blob")
+    answered = map_groups(dealt, ["deal"], _answer(buckets), "home int, kind int, doc bigint, blob binary", ("blob",))
+    done = map_groups(answered, ["home"], _finish(block),
                       "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed string", ("blob",))
     return done.select(F.when(F.col("doc") != FIRST_ID, F.col("doc")).alias(doc_id),
                        "n_words", "n_removed", "kept_sha256", "removed")
-
-
-def _answered(rows: DataFrame) -> DataFrame:
-    """Deals out the rows: buckets by number, documents by their id; buckets become answers."""
-    dealt = rows.withColumn("deal", F.when(F.col("kind") == _BUCKET, F.col("bucket").cast("long")).otherwise(
-        F.xxhash64("doc", "kind")))
-
-    def fn(cols):
-        passed = [i for i, kind in enumerate(cols["kind"]) if kind != _BUCKET]
-        own = _answer(cols)
-        out = [cols["doc"][passed], cols["kind"][passed].astype(np.int32),
-               np.array([cols["blob"][i] for i in passed], object)]
-        return out if own is None else [np.concatenate(x) for x in zip(out, own)]
-
-    return map_groups(dealt.select("deal", "doc", "kind", "blob"), ["deal"], fn,
-                      "doc bigint, kind int, blob binary", ("blob",))
