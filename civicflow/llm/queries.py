@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     q_line_templates,
     q_packing,
     q_pii_anchors,
+    q_rule_ensemble,
     q_substring_blocks,
     q_warc_shards,
 )
