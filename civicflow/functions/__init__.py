@@ -3,4 +3,4 @@ from .expressions import (  # noqa: F401
     pct_text, resolution_bucket, round_opt, safe_pct, strip_suffix, translate,
     weekday_index, weekday_name,
 )
-from .quantiles import grouped_quantiles, with_quantiles  # noqa: F401
+from .quantiles import ValueCounts, grouped_quantiles  # noqa: F401

@@ -1,18 +1,17 @@
-"""Exact per-group percentiles with bounded per-task state.
-
-Spark's exact ``percentile`` / ``median`` keep every distinct value of a group
-in one aggregation buffer; a hot group (a third of all rows) would then sit in
-one task's memory.  Here the exact answer is found in two distributed passes:
-
-1. ``percentile_approx`` (a fixed-size sketch) brackets each target rank:
-   the true p-quantile lies in ``[lo, hi]`` because the sketch's rank error is
-   at most ``n / accuracy`` and the bracket is widened by three times that.
-   Groups with at most ``accuracy`` values use ``[min, max]`` instead.
-2. Rows are reduced to ``(group, q, value) -> count`` with values below the
-   bracket folded into one NULL key and values above it dropped.  That is an
-   ordinary partial+final aggregation (hot groups spread over many tasks),
-   leaving at most about ``6 * n / accuracy`` distinct candidate values per
-   group for a running-count window that picks the ranks.
+"""Exact per-group percentiles from one table of value counts.
+
+1. One scan reduces the rows to ``(group, value) -> count`` with partial
+   aggregation, so a hot group becomes at most one row per task and value.
+2. Values fall in buckets of about 1/4096 relative width (the floor of a
+   multiple of the logarithm, which grows with the value).  The histogram of
+   buckets has a bounded number of rows per group; a running sum over it finds
+   the bucket of each wanted rank, and the group's count, mean, minimum and
+   maximum come from the same rows.
+3. Only values of those buckets are ordered, within (group, bucket, rank).
+
+All steps read the same counts: Spark shuffles them once and reuses the
+exchange, so the input is scanned once.  There is no sketch, no join back to
+the rows and no constant join key.  A rank that is not found raises.
 
 The value is interpolated as Spark's ``percentile`` (and SQL
 ``quantile_cont``) does: position ``p * (n - 1)`` between its floor and ceil.
@@ -20,144 +19,147 @@ The value is interpolated as Spark's ``percentile`` (and SQL
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+PER_E = 4096  # buckets for each factor e
+SHIFT = 4_000_000  # above PER_E * |ln| of the smallest double
 DEFAULT_ACCURACY = 100_000
 
 
+def bucket(v: Column) -> Column:
+    """Order-preserving bucket number of a double (0 for zero, negative below)."""
+    size = F.floor(F.ln(F.abs(v)) * PER_E) + SHIFT
+    return F.when(v == 0, F.lit(0)).otherwise(F.when(v > 0, size).otherwise(-size)).cast("long")
+
+
+class ValueCounts:
+    """Counts of the values of a column by group; see the module text.
+
+    NULL keys form their own group.  NULL values count in ``rows`` only.
+    """
+
+    def __init__(self, df: DataFrame, by: Sequence[str], value: str):
+        self.by = list(by)
+        self.keys = [f"_g{i}" for i in range(len(self.by))]
+        data = df.select(*[F.col(b).alias(k) for b, k in zip(self.by, self.keys)], F.col(value).cast("double").alias("_v"))
+        counts = data.groupBy(*self.keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        self.counts = counts.withColumn("_b", bucket(F.col("_v")))
+
+    def same_group(self, a: str, b: str, *more: str) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in [*self.keys, *more]])
+
+    def histogram(self) -> DataFrame:
+        v, c = F.col("_v"), F.col("_c")
+        known = F.when(v.isNotNull(), c)
+        return self.counts.groupBy(*self.keys, "_b").agg(
+            F.sum(c).alias("_rows"), F.coalesce(F.sum(known), F.lit(0)).alias("_m"), F.sum(v * c).alias("_s"),
+            F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+
+    def quantiles(self, probs: Sequence[float], names: Sequence[str], having: Column | None = None) -> DataFrame:
+        """Group columns, ``rows``, ``n``, ``mean``, ``min``, ``max`` and a column per probability.
+
+        Groups without a known value are left out; without group columns the
+        result is always one row.  ``having`` filters groups on the statistics.
+        """
+        if not self.by:
+            return self._overall(probs, names)
+        group = Window.partitionBy(*self.keys)
+        hist = self._with_group(self.histogram(), group).filter("n > 0")
+        if having is not None:
+            hist = hist.filter(having)
+        running = F.sum("_m").over(group.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow))
+        hist = hist.withColumn("_cum", running)
+        found = self._pick(hist, probs, False)
+        stats = hist.groupBy(*self.keys).agg(*[F.first(c).alias(c) for c in ("rows", "n", "mean", "min", "max")])
+        joined = stats.alias("s").join(found.alias("f"), self.same_group("s", "f"), "left")
+        return joined.select(*[F.col(f"s.{k}").alias(b) for k, b in zip(self.keys, self.by)],
+                             *[F.col(f"s.{c}") for c in ("rows", "n", "mean", "min", "max")],
+                             *self._values(probs, names, "s.n", "f."))
+
+    def _with_group(self, hist: DataFrame, group) -> DataFrame:
+        n = F.sum("_m").over(group)
+        return hist.withColumns({"rows": F.sum("_rows").over(group), "n": n, "mean": F.try_divide(F.sum("_s").over(group), n),
+                                 "min": F.min("_lo").over(group), "max": F.max("_hi").over(group)})
+
+    def _overall(self, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+        hist = self.histogram()
+        n = F.coalesce(F.sum("_m"), F.lit(0))
+        stats = hist.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), n.alias("n"),
+                         F.try_divide(F.sum("_s"), F.sum("_m")).alias("mean"), F.min("_lo").alias("min"), F.max("_hi").alias("max"))
+        # One task orders the histogram: a bounded number of buckets.
+        every = Window.partitionBy()
+        cum = hist.withColumn("n", F.sum("_m").over(every)).withColumn("_cum", F.sum("_m").over(
+            Window.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        found = self._pick(cum, probs, True)
+        # Two tables of one row each; a lost row would show as missing ranks.
+        return stats.join(F.broadcast(found), F.lit(True), "left").select("rows", "n", "mean", "min", "max", *self._values(probs, names, "n", ""))
+
+    def _pick(self, hist: DataFrame, probs: Sequence[float], few: bool) -> DataFrame:
+        """Per group the values at ranks floor and ceil of every position (``_x0``, ``_x1``, ...)."""
+        ranks = F.array(*[F.struct(F.lit(2 * i + j).alias("i"), f(F.lit(float(p)) * (F.col("n") - 1)).cast("long").alias("k"))
+                          for i, p in enumerate(probs) for j, f in enumerate((F.floor, F.ceil))])
+        before = F.col("_cum") - F.col("_m")
+        wanted = hist.withColumn("_r", F.explode(F.filter(ranks, lambda r: (r["k"] >= before) & (r["k"] < F.col("_cum")))))
+        wanted = wanted.select(*self.keys, "_b", F.col("_r.i").alias("_i"), (F.col("_r.k") - before).alias("_k"))
+        side = F.broadcast(wanted.alias("w")) if few else wanted.alias("w")  # few: two rows for each probability
+        near = self.counts.alias("c").join(side, self.same_group("c", "w", "_b")).select(
+            *[F.col(f"c.{k}").alias(k) for k in self.keys], F.col("c._b").alias("_b"), "_i", "_k", "_v", "_c")
+        w = Window.partitionBy(*self.keys, "_b", "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hit = near.withColumn("_cum", F.sum("_c").over(w)).filter(
+            (F.col("_k") < F.col("_cum")) & (F.col("_k") >= F.col("_cum") - F.col("_c")))
+        return hit.groupBy(*self.keys).agg(*[
+            F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(f"_x{i}") for i in range(2 * len(probs))])
+
+    def _values(self, probs: Sequence[float], names: Sequence[str], n: str, of: str) -> list[Column]:
+        out = []
+        for i, (p, name) in enumerate(zip(probs, names)):
+            pos = F.lit(float(p)) * (F.col(n) - 1)
+            lo, hi = F.col(f"{of}_x{2 * i}"), F.col(f"{of}_x{2 * i + 1}")
+            value = F.when(F.floor(pos) == F.ceil(pos), lo).otherwise(
+                (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi)
+            missing = (F.col(n) > 0) & (lo.isNull() | hi.isNull())
+            out.append(F.when(missing, F.raise_error(F.lit("a rank was not found"))).otherwise(value).alias(name))
+        return out
+
+
+STATS = {"rows", "n", "mean", "min", "max"}
+
+
 def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str,
                       probs: Sequence[float], names: Sequence[str] | None = None,
                       accuracy: int = DEFAULT_ACCURACY, approx: bool = False,
-                      extra: Mapping[str, Callable[[Column], Column]] | None = None,
+                      extra: Mapping[str, str] | None = None,
                       having: Column | None = None) -> DataFrame:
     """One row per group of ``by`` with a column per probability.
 
     NULL values are ignored (as in SQL); NULL group keys form their own group.
-    Groups whose values are all NULL get no row.  ``approx=True`` returns the
-    sketch answer of one pass (rank error at most ``n / accuracy``, a data
-    value, no interpolation) instead of the exact one.
-
-    ``extra`` maps output names to aggregates of the value column (e.g.
-    ``{"n": lambda v: F.count(v), "mean": F.avg}``); they are computed in the
-    first pass, so a query needs no separate aggregate and join.  ``having``
-    filters groups on those outputs before the second pass.
+    Groups whose values are all NULL get no row; without ``by`` there is one
+    row.  ``extra`` names further columns: output name -> one of ``rows``
+    (with NULLs), ``n``, ``mean``, ``min``, ``max``.  ``having`` filters groups
+    on those statistics' own names.  ``approx=True`` answers from Spark's
+    fixed-size sketch in one pass (rank error at most ``n / accuracy``).
     """
     extra = dict(extra or {})
-    by = list(by)
+    if unknown := set(extra.values()) - STATS:
+        raise ValueError(f"unknown statistics: {sorted(unknown)}")
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    keys = [f"_g{i}" for i in range(len(by))]
-    if not keys:
-        keys = ["_g0"]
-        data = df.select(F.lit(0).alias("_g0"), F.col(value).cast("double").alias("_v"))
-    else:
-        data = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
-                         F.col(value).cast("double").alias("_v"))
-    data = data.filter(F.col("_v").isNotNull())
-    extra_cols = [fn(F.col("_v")).alias(n) for n, fn in extra.items()]
+    by = list(by)
     if approx:
-        sk = data.groupBy(*keys).agg(
-            F.percentile_approx("_v", [float(p) for p in probs], accuracy).alias("_q"),
-            *extra_cols)
+        v = F.col(value).cast("double")
+        out = df.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("rows"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+            F.percentile_approx(v, probs, accuracy).alias("_q"))
+        if by:
+            out = out.filter("n > 0")
         if having is not None:
-            sk = sk.filter(having)
-        result = sk.select(*keys, *extra, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-        if not by:
-            return result.drop("_g0")
-        return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *extra, *names)
-
-    eps = 1.0 / accuracy
-    approx_probs = [max(0.0, p - 3 * eps) for p in probs] + [min(1.0, p + 3 * eps) for p in probs]
-    stats = data.groupBy(*keys).agg(
-        F.count("_v").alias("_q_n"),
-        F.min("_v").alias("_q_min"),
-        F.max("_v").alias("_q_max"),
-        F.percentile_approx("_v", approx_probs, accuracy).alias("_q_approx"),
-        *extra_cols,
-    )
-    if having is not None:
-        stats = stats.filter(having)
-    small = F.col("_q_n") <= F.lit(accuracy)
-    k = len(probs)
-    brackets = stats.select(*keys, "_q_n", *extra, F.explode(F.array(*[
-        F.struct(
-            F.lit(i).alias("_qi"),
-            F.lit(p).alias("_p"),
-            F.when(small, F.col("_q_min")).otherwise(F.col("_q_approx")[i]).alias("_lo"),
-            F.when(small, F.col("_q_max")).otherwise(F.col("_q_approx")[k + i]).alias("_hi"),
-        ) for i, p in enumerate(probs)
-    ])).alias("_b")).select(*keys, "_q_n", *extra, "_b.*")
-
-    b = brackets.alias("b")
-    d = data.alias("d")
-    cond = reduce(lambda a, c: a & c,
-                  [F.col(f"d.{kk}").eqNullSafe(F.col(f"b.{kk}")) for kk in keys])
-    joined = d.join(b, cond & (F.col("d._v") <= F.col("b._hi"))).select(
-        *[F.col(f"b.{kk}").alias(kk) for kk in keys],
-        F.col("b._qi").alias("_qi"), F.col("b._p").alias("_p"), F.col("b._q_n").alias("_q_n"),
-        *[F.col(f"b.`{n}`").alias(n) for n in extra],
-        F.when(F.col("d._v") >= F.col("b._lo"), F.col("d._v")).alias("_cv"),
-    )
-    # First-pass aggregates are constant per group; they ride along as values
-    # (not keys), so one scan of the input serves both.
-    carry = [F.max(n).alias(n) for n in extra]
-    counted = joined.groupBy(*keys, "_qi", "_p", "_q_n", "_cv").agg(
-        F.count(F.lit(1)).alias("_c"), *carry)
-
-    w = Window.partitionBy(*keys, "_qi").orderBy(F.col("_cv").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = F.col("_p") * (F.col("_q_n") - 1)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(w)) \
-        .withColumn("_pos", pos) \
-        .withColumn("_klo", F.floor(pos)) \
-        .withColumn("_khi", F.ceil(pos))
-    # The row holding 0-based rank k is the one whose running count passes k.
-    start = F.col("_cum") - F.col("_c")
-    has_lo = (start <= F.col("_klo")) & (F.col("_cum") > F.col("_klo"))
-    has_hi = (start <= F.col("_khi")) & (F.col("_cum") > F.col("_khi"))
-    picked = ranked.filter(F.col("_cv").isNotNull() & (has_lo | has_hi))
-    interp = {}
-    for i in range(len(probs)):
-        sel = F.col("_qi") == i
-        pos_i, klo_i, khi_i = (F.max(F.when(sel, F.col(c))) for c in ("_pos", "_klo", "_khi"))
-        lo_i = F.max(F.when(sel & has_lo, F.col("_cv")))
-        hi_i = F.max(F.when(sel & has_hi, F.col("_cv")))
-        value = F.when(klo_i == khi_i, lo_i).otherwise(
-            (khi_i - pos_i) * lo_i + (pos_i - klo_i) * hi_i)
-        # The bracket provably holds both ranks; fail loudly rather than
-        # return a wrong value if that were ever not so.
-        interp[names[i]] = F.when(lo_i.isNull() | hi_i.isNull(),
-                                  F.raise_error(F.lit("quantile bracket missed its rank"))
-                                  ).otherwise(value)
-    result = picked.groupBy(*keys).agg(*[e.alias(n) for n, e in interp.items()], *carry)
-    if not by:
-        return result.drop("_g0")
-    return result.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *extra, *names)
-
-
-def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value: str,
-                   probs: Sequence[float], names: Sequence[str],
-                   accuracy: int = DEFAULT_ACCURACY, approx: bool = False) -> DataFrame:
-    """Attach exact quantile columns to a per-group aggregate ``agg``.
-
-    Both sides hold one row per group; the join is null-safe on the keys.
-    """
-    q = grouped_quantiles(df, by, value, probs, names, accuracy, approx)
-    by = list(by)
-    if not by:
-        return _attach_single(agg, q)
-    qa = q.select(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)], *names)
-    cond = reduce(lambda a, c: a & c,
-                  [agg[b].eqNullSafe(qa[f"_k{i}"]) for i, b in enumerate(by)])
-    return agg.join(qa, cond, "left").drop(*[f"_k{i}" for i in range(len(by))])
-
-
-def _attach_single(agg: DataFrame, q: DataFrame) -> DataFrame:
-    """Both inputs have one row: join on a constant key (one row each side)."""
-    a = agg.withColumn("_one", F.lit(1))
-    b = q.withColumn("_one", F.lit(1))
-    return a.join(b, "_one", "left").drop("_one")
+            out = out.filter(having)
+        out = out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    else:
+        out = ValueCounts(df, by, value).quantiles(probs, names, having)
+    return out.select(*by, *[F.col(s).alias(o) for o, s in extra.items()], *names)

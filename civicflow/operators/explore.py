@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.expressions import is_closed, round_opt, weekday_index
-from ..functions.quantiles import grouped_quantiles, with_quantiles
+from ..functions.quantiles import ValueCounts, grouped_quantiles
 
 DAYS = "response_time_days"
 
@@ -45,41 +45,40 @@ def distribution(df: DataFrame, col: str, denominator: str = "rows") -> DataFram
     """A2: value counts with percent share.
 
     ``denominator="rows"`` divides by all rows (NULL keys included, as the
-    cleaning report does); ``"values"`` by the non-NULL ones.  The total is a
-    one-row aggregate attached by a broadcast equi-join, so no single task
-    ever holds all the distinct values (an unpartitioned window would).
+    cleaning report does); ``"values"`` by the non-NULL ones.  The table is
+    aggregated once; the total is a window sum over the aggregated rows, one
+    for each distinct value.
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if denominator == "values":
         counts = counts.filter(F.col(col).isNotNull())
-    total = counts.agg(F.sum("count").alias("_total")).withColumn("_one", F.lit(1))
-    out = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one") \
-        .withColumn("pct", F.col("count") * F.lit(100.0) / F.col("_total")) \
-        .drop("_one", "_total")
+    total = F.sum("count").over(Window.partitionBy())
+    out = counts.withColumn("pct", F.col("count") * F.lit(100.0) / total)
     return out.filter(F.col(col).isNotNull()).orderBy(F.col("count").desc(), F.col(col).asc())
 
 
 def box_summary(df: DataFrame, by: str = "complaint_category", value: str = DAYS,
                 digits: int | None = None, approx: bool = False) -> DataFrame:
     """A3: min, quartiles, max, 1.5 IQR fences, whiskers and outlier count."""
-    base = closed_rows(df).filter(F.col(value).isNotNull()).select(by, value)
-    stats = grouped_quantiles(base, [by], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"],
-                              approx=approx, extra={"n": lambda v: F.count(F.lit(1)),
-                                                    "min": F.min, "max": F.max})
-    iqr = F.col("q3") - F.col("q1")
-    stats = stats.withColumns({"lower_fence": F.col("q1") - F.lit(1.5) * iqr,
-                               "upper_fence": F.col("q3") + F.lit(1.5) * iqr})
-    fences = stats.select(F.col(by).alias("_k"), "lower_fence", "upper_fence")
-    v = F.col(value)
-    flagged = base.join(fences, base[by].eqNullSafe(fences["_k"])).groupBy(by).agg(
-        F.count_if((v < F.col("lower_fence")) | (v > F.col("upper_fence"))).alias("n_outliers"),
-        F.min(F.when(v >= F.col("lower_fence"), v)).alias("lower_whisker"),
-        F.max(F.when(v <= F.col("upper_fence"), v)).alias("upper_whisker"),
-    )
-    out = stats.join(flagged.withColumnRenamed(by, "_k2"),
-                     stats[by].eqNullSafe(F.col("_k2")), "left").drop("_k2")
     cols = ["min", "q1", "median", "q3", "max", "lower_fence", "upper_fence",
             "lower_whisker", "upper_whisker"]
+    iqr = F.col("q3") - F.col("q1")
+    fences = {"lower_fence": F.col("q1") - F.lit(1.5) * iqr, "upper_fence": F.col("q3") + F.lit(1.5) * iqr}
+    extra = {"n": "n", "min": "min", "max": "max"}
+    probs, names = [0.25, 0.5, 0.75], ["q1", "median", "q3"]
+    counts = ValueCounts(closed_rows(df), [by], value)
+    if approx:
+        stats = grouped_quantiles(closed_rows(df), [by], value, probs, names, approx=True, extra=extra)
+    else:
+        stats = counts.quantiles(probs, names).select(by, *extra, *names)
+    stats = stats.withColumns(fences)
+    # Whiskers and outliers come from the same value counts as the quartiles.
+    v, c, low, high = F.col("c._v"), F.col("c._c"), F.col("s.lower_fence"), F.col("s.upper_fence")
+    out = counts.counts.alias("c").join(stats.alias("s"), F.col("c._g0").eqNullSafe(F.col(f"s.{by}"))).groupBy(
+        *[F.col(f"s.{x}").alias(x) for x in (by, "n", *cols[:7])]).agg(
+        F.coalesce(F.sum(F.when((v < low) | (v > high), c)), F.lit(0)).alias("n_outliers"),
+        F.min(F.when(v >= low, v)).alias("lower_whisker"),
+        F.max(F.when(v <= high, v)).alias("upper_whisker"))
     return out.select(by, "n", *[round_opt(F.col(c), digits).alias(c) for c in cols],
                       "n_outliers").orderBy(by)
 
@@ -96,7 +95,8 @@ def weekday_histogram(df: DataFrame, labels: Sequence[str] | None = None) -> Dat
                              F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("weekday_num") + 1))
     counts = df.groupBy(weekday_index("created_date").alias("weekday_num")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    return F.broadcast(spine).join(counts, "weekday_num", "left") \
+    # Both sides have seven rows at most.
+    return spine.join(F.broadcast(counts), "weekday_num", "left") \
         .select("weekday_num", "created_weekday", F.coalesce("count", F.lit(0)).alias("count")) \
         .orderBy("weekday_num")
 
@@ -165,31 +165,23 @@ def density_grid(df: DataFrame, cell: float = 0.01, digits: int | None = None) -
     )
 
 
-def seeded_sample(df: DataFrame, n: int = 5000, seed: int = 42, key: str = "unique_key",
-                  oversample: float = 4.0) -> DataFrame:
+def seeded_sample(df: DataFrame, n: int = 5000, seed: int = 42, key: str = "unique_key") -> DataFrame:
     """A fixed-size, repeatable sample: the ``n`` rows with the smallest
-    ``xxhash64(key, seed)``.
+    ``md5(seed:key)`` (ties by key); all rows where there are no more than ``n``.
 
     Independent of partitioning.  A plain top-k would send every partition's
-    ``n`` best rows to one task; instead rows are first kept only when their
-    hash falls in the lowest ``oversample * n / N`` share of the hash range,
-    so each partition ships a handful of candidates.  The threshold comes
-    from one count; with ``4n`` expected candidates, falling short of ``n``
-    is checked and then the plain top-k is used.
+    ``n`` best rows to one task, so a histogram of the hash's first four
+    digits (65,536 rows at most) first finds the prefix that ``n`` rows do not
+    exceed, and only rows up to it are ordered.  One lazy plan.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    scored = df.withColumn("_h", h)
-    total = df.count()
-    if total <= n:
-        return df
-    frac = min(1.0, oversample * n / total)
-    if frac < 1.0:
-        # xxhash64 is uniform over signed 64-bit; keep the lowest frac of it.
-        cut = int(-(2 ** 63) + frac * (2 ** 64))
-        cand = scored.filter(F.col("_h") < F.lit(cut))
-        if cand.count() >= n:
-            scored = cand
-    return scored.orderBy("_h", key).limit(n).drop("_h")
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    scored = df.withColumn("_h", F.coalesce(h, F.lit("")))
+    prefix = F.substring("_h", 1, 4)
+    running = F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edge = scored.groupBy(prefix.alias("_p")).count().withColumn("_cum", running).filter(F.col("_cum") >= n)
+    edge = edge.agg(F.coalesce(F.min("_p"), F.lit("~")).alias("_edge"))  # "~": above any prefix
+    near = scored.crossJoin(F.broadcast(edge)).filter(prefix <= F.col("_edge"))
+    return near.orderBy("_h", key).limit(n).select(*df.columns)
 
 
 def summary_stats(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:
@@ -214,9 +206,9 @@ def summary_stats(df: DataFrame, digits: int | None = None, approx: bool = False
         F.mode("created_hour", True).alias("busiest_hour"),
         F.mode("created_month", True).alias("busiest_month"),
     )
-    med = closed_rows(df).select(DAYS)
-    out = with_quantiles(agg, med, [], DAYS, [0.5], ["median_days"], approx=approx)
-    return out.select(
+    # Two tables of one row each.
+    median = grouped_quantiles(closed_rows(df).select(DAYS), [], DAYS, [0.5], ["median_days"], approx=approx)
+    return agg.crossJoin(F.broadcast(median)).select(
         "total_records", "closed_records", "open_records", "date_start", "date_end",
         *[round_opt(F.col(c), digits).alias(c)
           for c in ("mean_days", "median_days", "min_days", "max_days", "std_days")],
@@ -270,9 +262,8 @@ def overview_kpis(df: DataFrame) -> DataFrame:
 
 def response_kpis(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:
     """Mean, median and max response days of closed tickets."""
-    base = closed_rows(df).select(DAYS)
-    agg = base.agg(F.avg(DAYS).alias("mean_days"), F.max(DAYS).alias("max_days"))
-    out = with_quantiles(agg, base, [], DAYS, [0.5], ["median_days"], approx=approx)
+    out = grouped_quantiles(closed_rows(df), [], DAYS, [0.5], ["median_days"], approx=approx,
+                            extra={"mean_days": "mean", "max_days": "max"})
     return out.select(round_opt(F.col("mean_days"), digits).alias("mean_days"),
                       round_opt(F.col("median_days"), digits).alias("median_days"),
                       "max_days")
@@ -294,10 +285,8 @@ def null_total(df: DataFrame) -> DataFrame:
 
 def closed_time_stats(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:
     """A18 part: count, mean, median, min, max of closed response times."""
-    base = closed_rows(df).select(DAYS)
-    agg = base.agg(F.count(F.lit(1)).alias("closed_records"), F.avg(DAYS).alias("mean_days"),
-                   F.min(DAYS).alias("min_days"), F.max(DAYS).alias("max_days"))
-    out = with_quantiles(agg, base, [], DAYS, [0.5], ["median_days"], approx=approx)
+    out = grouped_quantiles(closed_rows(df), [], DAYS, [0.5], ["median_days"], approx=approx,
+                            extra={"closed_records": "rows", "mean_days": "mean", "min_days": "min", "max_days": "max"})
     return out.select("closed_records",
                       *[round_opt(F.col(c), digits).alias(c)
                         for c in ("mean_days", "median_days", "min_days", "max_days")])
@@ -317,9 +306,3 @@ def cleaning_report(df: DataFrame, digits: int | None = None) -> dict[str, DataF
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of a column (NULL kept), sorted."""
     return df.select(col).distinct().orderBy(F.col(col).asc_nulls_first())
-
-
-def quantile_table(df: DataFrame, by: Sequence[str], value: str,
-                   probs: Sequence[float]) -> DataFrame:
-    """Exact percentiles per group (helper exposed for reports)."""
-    return grouped_quantiles(df, by, value, probs, [f"p{int(round(p * 100))}" for p in probs])

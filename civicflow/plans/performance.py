@@ -34,8 +34,7 @@ def slowest_types(df: DataFrame, limit: int = 10, min_cases: int = 50,
     base = closed_known(df).select("complaint_type", DAYS)
     agg = grouped_quantiles(
         base, ["complaint_type"], DAYS, [0.5], ["_median"], approx=approx,
-        extra={"total_complaints": lambda v: F.count(F.lit(1)), "_avg": F.avg, "_max": F.max},
-        having=F.col("total_complaints") >= min_cases)
+        extra={"total_complaints": "n", "_avg": "mean", "_max": "max"}, having=F.col("n") >= min_cases)
     out = agg.select(
         "complaint_type", "total_complaints",
         round_opt(F.col("_avg"), digits).alias("avg_response_days"),
@@ -176,8 +175,7 @@ def priority_analysis(df: DataFrame, digits: int | None = 2, approx: bool = Fals
     base = closed_known(df).select(*keys, DAYS)
     agg = grouped_quantiles(
         base, keys, DAYS, [0.5, 0.9], ["_median", "_p90"], approx=approx,
-        extra={"total_complaints": lambda v: F.count(F.lit(1)), "_avg": F.avg,
-               "max_response_days": F.max})
+        extra={"total_complaints": "n", "_avg": "mean", "max_response_days": "max"})
     out = agg.select(
         *keys, "total_complaints",
         round_opt(F.col("_avg"), digits).alias("avg_response_days"),
