@@ -92,13 +92,3 @@ def safe_pct(num: str | Column, den: str | Column) -> Column:
 
 def round_opt(c: Column, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
-
-
-def strip_suffix(c: str | Column, suffix: str) -> Column:
-    """``str.rstrip``-like removal of trailing characters in ``suffix``."""
-    return F.rtrim(col(c), suffix) if len(suffix) == 1 else F.regexp_replace(
-        col(c), "[" + "".join("\\" + ch for ch in suffix) + "]+$", "")
-
-
-def isin_lit(c: str | Column, values: Sequence) -> Column:
-    return col(c).isin(list(values))

@@ -23,7 +23,7 @@ from .plans import model as M
 from .plans import performance as P
 from .session import build_session, configure
 from .sources import export_results, read_clean, requests_ev, requests_ord
-from .sources.tickets import write_with_count
+from .sources.tickets import load_table, write_table, write_with_count
 
 VIEWS = {"ev": requests_ev, "ord": requests_ord}
 
@@ -59,12 +59,14 @@ def clean_job(spark: SparkSession, sf_dir: str, out: str, view: str = "ev",
 def sql_job(spark: SparkSession, clean_path: str, out_dir: str,
             monthly_path: str | None = None) -> dict:
     """Load the clean table (IO5), run Q1-Q6 (Q7) and export each (IO8)."""
-    clean = read_clean(spark, clean_path)
-    clean.createOrReplaceTempView("nyc_311")
+    clean = load_table(spark, read_clean(spark, clean_path))
     monthly = read_clean(spark, monthly_path) if monthly_path else None
-    # The input is already materialised Parquet: no cache (at scale it would
-    # only copy the table to executor disks).
-    return export_results(P.run_all(clean, monthly_input=monthly, cache=False), out_dir)
+    try:
+        results = P.run_all(clean, monthly_input=monthly)
+    except P.QueryError as exc:
+        export_results(exc.results, out_dir)
+        raise
+    return export_results(results, out_dir)
 
 
 def model_job(spark: SparkSession, clean_path: str, model_path: str, out_dir: str,
@@ -72,8 +74,10 @@ def model_job(spark: SparkSession, clean_path: str, model_path: str, out_dir: st
     """Train, save, report and score (M15); ``forest_kw`` go to the forest fit."""
     clean = read_clean(spark, clean_path)
     res = M.run_model_job(clean, model_path=model_path, **forest_kw)
-    written = export_results({"report": res["report"], "top_features": res["top_features"],
-                              "scored": res["scored"]}, out_dir, prefix="model")
+    written = export_results({"report": res["report"], "top_features": res["top_features"]},
+                             out_dir, prefix="model")
+    # Scores have a row for each ticket: Parquet, not CSV.
+    written["scored"] = write_table(res["scored"], f"{out_dir.rstrip('/')}/model_scored")
     return {"written": written,
             "report": [r.asDict() for r in res["report"].collect()]}
 

@@ -30,7 +30,7 @@ def parse_dates(df: DataFrame, strict: bool = True,
         if strict:
             out[c] = F.to_timestamp_ntz(text)
         else:
-            out[c] = F.try_to_timestamp(text).cast("timestamp_ntz")
+            out[c] = text.try_cast("timestamp_ntz")
     return df.withColumns(out) if out else df
 
 

@@ -99,7 +99,8 @@ def recommendations(df: DataFrame, closure_goal: float = 75.0, time_goal: float
     """Triggered recommendation rules as rows (rule_no, rule_id, subject).
 
     Rule inputs come from per-borough rates (the global figures are sums of
-    them, so one grouping serves both) and from the first D3 row.
+    them, so one grouping serves both) and from the first D3 row.  Rule 3
+    compares rates as shown, rounded to one decimal: 69.96 % is 70.0 %.
     """
     closed = is_closed("status")
     per_b = df.groupBy("borough").agg(
@@ -110,7 +111,7 @@ def recommendations(df: DataFrame, closure_goal: float = 75.0, time_goal: float
     glob = per_b.agg(
         (F.sum("c") * F.lit(100.0) / F.sum("n")).alias("closure_rate"),
         F.when(F.sum("c") == 0, F.lit(0.0)).otherwise(F.try_divide(F.sum("s"), F.sum("k"))).alias("avg_days"),
-        F.min(F.struct("rate", "borough")).alias("worst"),
+        F.min(F.struct(F.round("rate", 1).alias("rate"), "borough")).alias("worst"),
     )
     def rule(no, rid, subject, fire):
         return F.struct(F.lit(no).alias("rule_no"), F.lit(rid).alias("rule_id"),

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -26,8 +26,9 @@ from ..operators.cleaning import floor_prediction, model_rows, off_hours, respon
 LABEL = "response_time_days"
 FEATURES = S.BASE_FEATURES + S.ENGINEERED_FEATURES
 
-# Priority types as the model module names them (English, untranslated).
-MODEL_PRIORITY_TYPES = ["Heat/Hot Water", "Water System", "UNSANITARY CONDITION"]
+# Priority types in both languages: raw tickets carry English names, clean ones Portuguese.
+MODEL_PRIORITY_TYPES = ["Heat/Hot Water", "Water System", "UNSANITARY CONDITION"] + S.PRIORITY_TYPES
+FOLDS = 5
 
 
 def supply_missing_features(df: DataFrame) -> DataFrame:
@@ -71,32 +72,33 @@ def engineer_features(df: DataFrame) -> DataFrame:
     return df.withColumns({f"{c}_num": F.col(c).cast("int") for c in S.BOOLEAN_FEATURES})
 
 
-def split_bucket(key: str = "unique_key", seed: int = 42) -> Column:
-    """A value 0..99 per key from md5 of ``seed:key``: repeatable under any
-    partitioning, unlike ``randomSplit``."""
+def hash_part(part: int, key: str = "unique_key", seed: int = 42) -> Column:
+    """A number of 32 bits per key: the ``part``-th eight digits of md5 of
+    ``seed:key``; repeatable under any partitioning, unlike ``randomSplit``."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(100))
+    return F.conv(F.substring(h, 1 + 8 * part, 8), 16, 10).cast("long")
 
 
 def with_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
                key: str = "unique_key") -> DataFrame:
-    """M6: ``is_test`` flag for a deterministic (1 - test_size) / test_size split."""
-    return df.withColumn("is_test", split_bucket(key, seed) >= F.lit(int(round(100 * (1 - test_size)))))
+    """M6: ``is_test`` flag for a deterministic (1 - test_size) / test_size
+    split, and the cross-validation ``fold`` (M9) from other digits of the hash."""
+    edge = int(round((1 - test_size) * (1 << 32)))
+    return df.withColumns({"is_test": hash_part(0, key, seed) >= F.lit(edge),
+                           "fold": (hash_part(1, key, seed) % FOLDS).cast("int")})
 
 
 def label_codes(df: DataFrame, cols=tuple(S.CATEGORICAL_FEATURES)) -> DataFrame:
     """M4 as a table: (feature, value, code) with alphabetical codes from 0.
 
-    The distinct values of each column are few (boroughs x categories); the
-    window runs over those distinct rows only.
+    One scan: each row gives its five (feature, value) pairs, reduced to
+    distinct ones in each task.  These are few (boroughs x categories); the
+    window runs over them only.
     """
-    from pyspark.sql import Window
-    parts = None
-    for c in cols:
-        vals = df.select(F.lit(c).alias("feature"), F.col(f"{c}_txt").alias("value")).distinct()
-        parts = vals if parts is None else parts.unionByName(vals)
+    pairs = ", ".join(f"'{c}', {c}_txt" for c in cols)
+    values = df.select(F.expr(f"stack({len(cols)}, {pairs}) AS (feature, value)")).distinct()
     w = Window.partitionBy("feature").orderBy("value")
-    return parts.withColumn("code", F.dense_rank().over(w) - 1)
+    return values.withColumn("code", F.dense_rank().over(w) - 1)
 
 
 def _indexer() -> StringIndexer:
@@ -128,27 +130,13 @@ def encode(train: DataFrame) -> PipelineModel:
     return PipelineModel(stages=[idx, _unseen_to_zero(idx), _assembler()])
 
 
-def node_memory_mb(spark, cap: int = 256) -> int:
-    """Per-task budget for tree node statistics (``maxMemoryInMB``).
-
-    It only decides how many nodes each pass over the data trains, not the
-    trees.  In local mode all tasks share the driver heap, so the budget is
-    the heap split over the concurrent tasks (with head-room).
-    """
-    try:
-        sc = spark.sparkContext
-        if not sc.master.startswith("local"):
-            return cap
-        heap_mb = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
-        return int(max(16, min(cap, heap_mb // (4 * max(1, sc.defaultParallelism)))))
-    except Exception:  # no JVM access from this client
-        return cap
-
-
 def forest(num_trees: int = 100, max_depth: int = 15, min_leaf: int = 2, seed: int = 42,
-           max_bins: int = 64, max_memory_mb: int = 256) -> RandomForestRegressor:
+           max_bins: int = 64, max_memory_mb: int = 64) -> RandomForestRegressor:
     """M7: random forest regressor with the reference's sizes.
 
+    ``max_memory_mb`` bounds the node statistics of one task; it decides how
+    many nodes a pass over the data trains, not the trees.
+
     ``min_samples_split`` has no Spark counterpart; ``minInstancesPerNode``
     carries the leaf minimum.  Node ids are cached and checkpointed to the
     shared checkpoint folder so deep trees do not grow an endless lineage.
@@ -170,8 +158,14 @@ def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction")
     )
 
 
+def _told(df: DataFrame) -> DataFrame:
+    """A one-row result worked out now, so that it does not need its input again."""
+    return df.sparkSession.createDataFrame([df.first()], df.schema)
+
+
 @dataclass
 class TrainResult:
+    """Metrics and importances are small tables already worked out."""
     model: PipelineModel
     model_type: str
     train_metrics: DataFrame
@@ -196,38 +190,47 @@ def prepare(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
 
 
 def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42,
-                        num_trees: int = 100, max_depth: int = 15, cv_folds: int = 5,
-                        cache: bool = True) -> TrainResult:
-    """Split, fit, metrics on both parts, k-fold CV MAE, importances."""
-    data = prepare(df, test_size, seed)
-    if cache:
-        data = data.cache()
-    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-    enc = encode(train)
-    rf = forest(num_trees, max_depth, seed=seed, max_memory_mb=node_memory_mb(df.sparkSession))
-    rf_model = rf.fit(enc.transform(train))
-    model = PipelineModel(stages=list(enc.stages) + [rf_model])
-    cv_mae = None
-    if cv_folds and cv_folds > 1:
-        cv_mae = cross_validated_mae(enc.transform(train), rf, cv_folds, seed)
-    spark = df.sparkSession
-    imp = rf_model.featureImportances.toArray().tolist()
-    importance = spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, imp)],
-                                       "feature string, importance double")
-    n_train, n_test = split_sizes(data)
-    return TrainResult(
-        model=model, model_type="Random Forest",
-        train_metrics=metrics(model.transform(train)), test_metrics=metrics(model.transform(test)),
-        train_size=n_train, test_size=n_test, cv_mae=cv_mae, importance=importance)
-
-
-def cross_validated_mae(train_features: DataFrame, estimator, folds: int = 5,
-                        seed: int = 42) -> float:
-    """M9: k-fold CV mean absolute error with a one-point grid."""
+                        num_trees: int = 100, max_depth: int = 15, cv_folds: int = FOLDS,
+                        max_memory_mb: int = 64, parallelism: int = 2) -> TrainResult:
+    """Split, fit, metrics on both parts, k-fold CV MAE, importances.
+
+    The prepared rows are cached while the fits read them and released at the
+    end.  ``cv_folds`` is 0 (no cross-validation) or up to ``FOLDS``.
+    """
+    data = prepare(df, test_size, seed).cache()
+    try:
+        train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
+        enc = encode(train)
+        rf = forest(num_trees, max_depth, seed=seed, max_memory_mb=max_memory_mb)
+        encoded = enc.transform(train).select("features", LABEL, "fold")
+        rf_model = rf.fit(encoded)
+        model = PipelineModel(stages=list(enc.stages) + [rf_model])
+        cv_mae = cross_validated_mae(encoded, rf, cv_folds, parallelism) if cv_folds > 1 else None
+        imp = rf_model.featureImportances.toArray().tolist()
+        importance = df.sparkSession.createDataFrame(
+            [(f, float(v)) for f, v in zip(FEATURES, imp)], "feature string, importance double")
+        n_train, n_test = split_sizes(data)
+        return TrainResult(
+            model=model, model_type="Random Forest", train_metrics=_told(metrics(model.transform(train))),
+            test_metrics=_told(metrics(model.transform(test))),
+            train_size=n_train, test_size=n_test, cv_mae=cv_mae, importance=importance)
+    finally:
+        data.unpersist()
+
+
+def cross_validated_mae(train: DataFrame, estimator, folds: int = FOLDS, parallelism: int = 2) -> float:
+    """M9: k-fold CV mean absolute error with a one-point grid.
+
+    Folds are the rows' own ``fold`` (with fewer folds, modulo their number),
+    so they repeat under any partitioning.
+    """
+    if not 2 <= folds <= FOLDS:
+        raise ValueError(f"folds must be 2 to {FOLDS}")
+    rows = train.withColumn("fold", F.col("fold") % folds)
     ev = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mae")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=ev, numFolds=folds, seed=seed, parallelism=1)
-    return float(cv.fit(train_features).avgMetrics[0])
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
+                        numFolds=folds, foldCol="fold", parallelism=parallelism)
+    return float(cv.fit(rows).avgMetrics[0])
 
 
 def top_features(importance: DataFrame, n: int = 5) -> DataFrame:
@@ -238,27 +241,26 @@ def top_features(importance: DataFrame, n: int = 5) -> DataFrame:
 def train_linear_regression(df: DataFrame, test_size: float = 0.2, seed: int = 42,
                             features: list[str] | None = None) -> TrainResult:
     """M11 + M12: standardised features (sample std) and ordinary least squares."""
-    data = prepare(df, test_size, seed)
-    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-    if features is None:
-        enc = encode(train)
-        stages = list(enc.stages)
-        raw = "features"
-    else:
-        stages = [VectorAssembler(inputCols=features, outputCol="raw_features")]
-        raw = "raw_features"
-    pre = PipelineModel(stages=stages)
-    scaler = StandardScaler(inputCol=raw, outputCol="scaled", withMean=True, withStd=True)
-    lr = LinearRegression(featuresCol="scaled", labelCol=LABEL, regParam=0.0,
-                          elasticNetParam=0.0, solver="normal")
-    fitted = Pipeline(stages=[scaler, lr]).fit(pre.transform(train))
-    model = PipelineModel(stages=stages + list(fitted.stages))
-    n_train, n_test = split_sizes(data)
-    return TrainResult(
-        model=model, model_type="Linear Regression",
-        train_metrics=metrics(model.transform(train)), test_metrics=metrics(model.transform(test)),
-        train_size=n_train, test_size=n_test,
-        extra={"scaler": fitted.stages[0], "lr": fitted.stages[1]})
+    data = prepare(df, test_size, seed).cache()
+    try:
+        train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
+        if features is None:
+            stages, raw = list(encode(train).stages), "features"
+        else:
+            stages, raw = [VectorAssembler(inputCols=features, outputCol="raw_features")], "raw_features"
+        scaler = StandardScaler(inputCol=raw, outputCol="scaled", withMean=True, withStd=True)
+        lr = LinearRegression(featuresCol="scaled", labelCol=LABEL, regParam=0.0,
+                              elasticNetParam=0.0, solver="normal")
+        fitted = Pipeline(stages=[scaler, lr]).fit(PipelineModel(stages=stages).transform(train))
+        model = PipelineModel(stages=stages + list(fitted.stages))
+        n_train, n_test = split_sizes(data)
+        return TrainResult(
+            model=model, model_type="Linear Regression", train_metrics=_told(metrics(model.transform(train))),
+            test_metrics=_told(metrics(model.transform(test))),
+            train_size=n_train, test_size=n_test,
+            extra={"scaler": fitted.stages[0], "lr": fitted.stages[1]})
+    finally:
+        data.unpersist()
 
 
 def score(model: PipelineModel, tickets: DataFrame, floor: float = 0.1,
@@ -319,13 +321,6 @@ def run_model_job(df: DataFrame, model_path: str | None = None, **kw) -> dict:
     }
 
 
-class FeatureEngineer(Transformer):
-    """M1-M5 as a pipeline stage for callers that prefer ``Pipeline`` form."""
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return engineer_features(dataset)
-
-
 def fit_line(train: DataFrame, feature: str, label: str = LABEL):
     """M12 with one feature: ordinary least squares (normal equations)."""
     va = VectorAssembler(inputCols=[feature], outputCol="x_vec")

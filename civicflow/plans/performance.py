@@ -9,6 +9,7 @@ with the ticket volume.  ``by=`` turns them into partitioned windows.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -196,24 +197,56 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def run_all(df: DataFrame, monthly_input: DataFrame | None = None,
-            cache: bool = True) -> dict[str, DataFrame | None]:
-    """Q7: every query over one (cached) clean table.
+class QueryError(RuntimeError):
+    """Some queries could not be planned; ``results`` has the others."""
 
-    A query that fails to plan is reported as ``None`` without voiding the
-    others.  ``monthly_input`` lets the monthly trend run on another view.
+    def __init__(self, results: dict[str, DataFrame], failed: dict[str, str]):
+        super().__init__(f"queries failed: {failed}")
+        self.results, self.failed = results, failed
+
+
+def run_all(df: DataFrame, monthly_input: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Q7: every query over one clean table.
+
+    A query that cannot be planned does not void the others: after the rest
+    is planned, ``QueryError`` carries them and names it.  The frames are
+    lazy; a failure while one runs shows where it is used (``export_results``
+    writes the others first).  Nothing is cached: the input is a stored table.
+    ``monthly_input`` lets the monthly trend run on another view.
     """
-    src = df.cache() if cache else df
-    results: dict[str, DataFrame | None] = {}
+    results: dict[str, DataFrame] = {}
+    failed: dict[str, str] = {}
     for name, fn in QUERIES.items():
-        inp = monthly_input if (name == "temporal_analysis" and monthly_input is not None) else src
+        inp = monthly_input if (name == "temporal_analysis" and monthly_input is not None) else df
         try:
             results[name] = fn(inp)
-        except Exception:  # keep the rest
-            results[name] = None
+        except Exception as exc:
+            failed[name] = f"{type(exc).__name__}: {exc}"
+    if failed:
+        raise QueryError(results, failed)
     return results
 
 
+ROW_KEYS = {
+    "slowest_types": ["complaint_type"], "moving_average": ["date"],
+    "resolution_percentages": ["complaint_category"], "borough_performance": ["borough"],
+    "temporal_analysis": ["year", "month"], "priority_analysis": ["is_priority", "is_business_hours"],
+}
+
+
+def long_form(results: dict[str, DataFrame], digits: int = 6) -> DataFrame:
+    """Every value of every result as (query, row_key, metric, value)."""
+    parts = []
+    for name, df in results.items():
+        keys = ROW_KEYS[name]
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+        values = [F.struct(F.lit(c).alias("metric"), F.round(F.col(c).cast("double"), digits).alias("value"))
+                  for c in df.columns if c not in keys]
+        parts.append(df.select(F.lit(name).alias("query"), key.alias("row_key"),
+                               F.explode(F.array(*values)).alias("x")).select("query", "row_key", "x.*"))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 def run_dashboard(df: DataFrame) -> dict[str, DataFrame]:
     """Dashboard forms."""
     return {

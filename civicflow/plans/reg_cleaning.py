@@ -9,7 +9,7 @@ from ..operators import cleaning as C
 from ..sources.bindings import requests_ev, requests_ord
 from ..sources.tickets import load_table, row_count, run_sql
 from . import oracle_sql as O
-from .registry import CK, R, ev_clean, ord_clean, register, round_doubles, sql_round
+from .registry import CK, R, SQL, ev_clean, ord_clean, register, round_doubles, sql_round
 
 
 def _ev_dated(s, d):
@@ -123,27 +123,22 @@ register("IO6_row_count_ev", O.with_ev_clean("SELECT COUNT(*) AS row_count FROM
     lambda s, d: row_count(ev_clean(s, d)))
 
 _IO7_TEXT = """
-SELECT complaint_type,
-       COUNT(*) AS total_complaints,
-       ROUND(AVG(response_time_days), 2) AS avg_response_days,
-       ROUND(MAX(response_time_days), 2) AS max_response_days
-FROM nyc_311
-WHERE status IN ('Closed', 'Fechado') AND response_time_days IS NOT NULL
-GROUP BY complaint_type
-HAVING COUNT(*) >= :min_cases
-ORDER BY avg_response_days DESC, complaint_type
-LIMIT :lim
+SELECT borough, created_hour, COUNT(*) AS n_tickets,
+       COUNT_IF(response_time_days > :slow_days) AS n_slow,
+       ROUND(MIN(response_time_days), 4) AS fastest_days
+FROM tickets
+WHERE created_hour >= :from_hour
+GROUP BY borough, created_hour
 """
 
 
 def _io7(s, d):
-    load_table(s, ev_clean(s, d), "nyc_311")
-    return run_sql(s, _IO7_TEXT, {"min_cases": 50, "lim": 10})
+    load_table(s, ev_clean(s, d))
+    return run_sql(s, _IO7_TEXT, {"slow_days": 2.5, "from_hour": 8})
 
 
-register("IO7_sql_text_slowest_types_ev", O.with_ev_clean(
-    _IO7_TEXT.replace("nyc_311", "clean").replace(":min_cases", "50").replace(":lim", "10")
-    .replace("avg_response_days DESC", "avg_response_days DESC NULLS LAST")))(_io7)
+register("IO7_sql_text_hours_ev", O.with_ev_clean(
+    _IO7_TEXT.replace("tickets\n", "clean\n").replace(":slow_days", "2.5::DOUBLE").replace(":from_hour", "8")))(_io7)
 
 
 # P1 on text: dates rendered as text (full microseconds) and parsed back; the
@@ -179,17 +174,36 @@ def _raw_parquet_round_trip(s, d):
     return read_raw(s, path).select(*raw.columns)
 
 
-def _clean_csv_round_trip(s, d):
-    from .. import schema as S
-    from ..sources.tickets import read_clean, write_table
+def _clean_csv_round_trip(view):
+    def run(s, d):
+        from ..sources.tickets import read_clean, write_table
+        path = write_table(view(s, d), _io_path(s, "clean_csv"), fmt="csv")
+        return read_clean(s, path, fmt="csv")
+    return run
+
+
+def _durable_table(s, d):
+    import uuid
+    from ..sources.tickets import load_table
+    name = f"tickets_{uuid.uuid4().hex}"
+    return load_table(s, ev_clean(s, d), name, durable=True)
+
+
+def _export_round_trip(s, d):
+    from ..sources.tickets import export_results
+    from .performance import borough_performance, resolution_percentages
     clean = ev_clean(s, d)
-    full = clean.select(*[F.col(f.name) if f.name in clean.columns
-                          else F.lit(None).cast(f.dataType).alias(f.name) for f in S.CLEAN.fields])
-    path = write_table(full, _io_path(s, "clean_csv"), fmt="csv")
-    return read_clean(s, path, fmt="csv").select(*clean.columns)
+    results = {"borough_performance": borough_performance(clean), "resolution_percentages": resolution_percentages(clean)}
+    written = export_results(results, _io_path(s, "export"))
+    schema = results["borough_performance"].schema
+    return s.read.schema(schema).option("header", True).csv(written["borough_performance"])
 
 
 register("IO1_IO3_raw_parquet_round_trip_ev", O.with_ev_raw("SELECT * FROM raw"))(
     _raw_parquet_round_trip)
 register("IO2_IO4_clean_csv_round_trip_ev", O.with_ev_clean("SELECT * FROM clean"))(
-    _clean_csv_round_trip)
+    _clean_csv_round_trip(ev_clean))
+register("IO2_IO4_clean_csv_round_trip_ord", O.with_ord_clean("SELECT * FROM clean"))(
+    _clean_csv_round_trip(ord_clean))
+register("IO5_durable_table_ev", O.with_ev_clean("SELECT * FROM clean"))(_durable_table)
+register("IO8_export_round_trip_ev", SQL["Q4_borough_performance"])(_export_round_trip)

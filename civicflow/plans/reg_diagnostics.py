@@ -71,6 +71,12 @@ register("D3_category_attention_ev", cont(O.with_ev_clean(
     _rates_cte("complaint_category") + "\n" + sql_round(
         _attn() + _ORDER, ["avg_response_days", "closure_rate"]))))(
     lambda s, d: round_doubles(D.category_attention(ev_clean(s, d))))
+# With a higher closure bound both urgencies occur, most severe first.
+register("D3_category_attention_urgent_ev", cont(O.with_ev_clean(
+    _rates_cte("complaint_category") + "\n" + sql_round(
+        _attn(ct=76.0, tt=2.0, hc=75.0) + _ORDER, ["avg_response_days", "closure_rate"]))))(
+    lambda s, d: round_doubles(D.category_attention(ev_clean(s, d), closure_target=76.0,
+                                                    time_target=2.0, high_closure=75.0)))
 # With stricter targets the attention list is not empty on the fixture data.
 register("D3_category_attention_strict_ev", cont(O.with_ev_clean(
     _rates_cte("complaint_category") + "\n" + sql_round(
@@ -86,8 +92,8 @@ _REC = f""", pb AS (
 tot AS (
   SELECT SUM(c) * 100.0::DOUBLE / SUM(n) AS closure_rate,
          CASE WHEN SUM(c) = 0 THEN 0.0::DOUBLE ELSE SUM(s) / NULLIF(SUM(k), 0) END AS avg_days,
-         arg_min(borough, (c * 100.0::DOUBLE / n, borough)) AS worst_borough,
-         MIN(c * 100.0::DOUBLE / n) AS worst_rate
+         arg_min(borough, ({O.rnd('(c * 100.0::DOUBLE / n)', 1)}, borough)) AS worst_borough,
+         MIN({O.rnd('(c * 100.0::DOUBLE / n)', 1)}) AS worst_rate
   FROM pb
 ){_rates_cte('complaint_category')},
 attn AS ({{attn}} ORDER BY severity DESC, closure_rate, complaint_category LIMIT 1),

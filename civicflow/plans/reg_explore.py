@@ -110,8 +110,10 @@ register("A10_density_grid_ev", O.with_ev_clean(sql_round(
     ["lat_center", "lon_center", "avg_response_days"])))(
     lambda s, d: round_doubles(X.density_grid(ev_clean(s, d))))
 
-# Fixed-size seeded sample (rows-only check: the hash is Spark's).
-register("A11_seeded_sample_ev")(
+# Fixed-size seeded sample by md5 of seed and key.
+register("A11_seeded_sample_ev", O.with_ev_clean(
+    f"SELECT unique_key, latitude, longitude, {R} FROM clean "
+    "ORDER BY md5('42:' || CAST(unique_key AS VARCHAR)), unique_key LIMIT 5000"))(
     lambda s, d: X.seeded_sample(ev_clean(s, d), n=5000, seed=42)
     .select("unique_key", "latitude", "longitude", R))
 

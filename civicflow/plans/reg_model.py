@@ -1,15 +1,20 @@
 """Registered model operators.
 
 SQL-checked: the encoded feature matrix with its split (M1-M6), scaler
-statistics (M11) and a one-feature least-squares fit with its metrics (M8,
-M12).  The forest (M7, M9, M10, M13-M15) gets the row-count check.
+statistics (M11), a one-feature least-squares fit with its metrics and fold
+errors (M8, M9, M12), split sizes, and what is determined about the forest's
+importances and scores (M10, M13, M15).  The forest's own numbers (M7, M9,
+M14) and the 13-feature baseline get the row-count check.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import shared_path
 from . import model as M
 from . import oracle_sql as O
 from .registry import CK, R, cont, ev_clean, register, round_doubles, sql_round
@@ -27,7 +32,7 @@ def _model_frame(s, d):
 _CODE_COLS = [f"{c}_code" for c in S.CATEGORICAL_FEATURES]
 _NUM = ["created_hour", "created_month", "quarter"]
 _FLAG = [f"{c}_num" for c in S.BOOLEAN_FEATURES]
-_MATRIX = ["unique_key", R, "is_test"] + _CODE_COLS + _NUM + _FLAG
+_MATRIX = ["unique_key", R, "is_test", "fold"] + _CODE_COLS + _NUM + _FLAG
 
 
 def _txt(c: str) -> str:
@@ -39,8 +44,10 @@ _FEATURE_SQL = f""", m0 AS (
          {_txt('borough')} || '_' || {_txt('complaint_category')} AS borough_category,
          created_hour IN ({', '.join(map(str, S.PEAK_HOURS))}) AS is_peak_hour,
          created_month IN ({', '.join(map(str, S.YEAR_END_MONTHS))}) AS is_year_end,
-         (('0x' || substr(md5('42:' || CAST(unique_key AS VARCHAR)), 1, 8))::BIGINT % 100) >= 80
-           AS is_test
+         ('0x' || substr(md5('42:' || CAST(unique_key AS VARCHAR)), 1, 8))::BIGINT >= 3435973837
+           AS is_test,
+         CAST(('0x' || substr(md5('42:' || CAST(unique_key AS VARCHAR)), 9, 8))::BIGINT % 5 AS INTEGER)
+           AS fold
   FROM clean WHERE {CK} AND {R} > 0 AND {R} <= 90.0::DOUBLE
 ),
 m1 AS (
@@ -105,59 +112,112 @@ pred AS (SELECT {R} AS y, a + b * created_hour AS p FROM mx, fit WHERE is_test)
     "1.0::DOUBLE - AVG((y - p) * (y - p)) / VAR_POP(y) AS r2, COUNT(*) AS n FROM pred",
     ["intercept", "slope", "mae", "rmse", "r2"]))))(_line)
 
-# Forest: fitted once per (session, dataset) and reused by the entries below.
-_FOREST_CACHE: dict = {}
+# M1 on a view without the four derived base columns: every default rule runs.
+_BASE_RULES = ["quarter", "is_weekend", "is_priority", "created_period"]
+register("M1_default_rules_ev", O.with_ev_clean(
+    f"SELECT unique_key, {', '.join(_BASE_RULES)} FROM clean"))(
+    lambda s, d: M.supply_missing_features(ev_clean(s, d).drop(*_BASE_RULES)).select("unique_key", *_BASE_RULES))
+
+# M6: rows of both parts.
+register("M6_split_sizes_ev", cont(O.with_ev_clean(
+    _FEATURE_SQL + "\nSELECT is_test, COUNT(*) AS n FROM m0 GROUP BY is_test")))(
+    lambda s, d: M.prepare(ev_clean(s, d)).groupBy("is_test").agg(F.count(F.lit(1)).alias("n")))
+
+
+# M9 with one feature: mean absolute error of five folds of a fitted line.
+def _line_folds(s, d):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    train = M.prepare(ev_clean(s, d)).filter(~F.col("is_test"))
+    rows = VectorAssembler(inputCols=["created_hour"], outputCol="features").transform(train).select("features", R, "fold")
+    mae = M.cross_validated_mae(rows, LinearRegression(featuresCol="features", labelCol=M.LABEL, regParam=0.0, solver="normal"))
+    return round_doubles(train.agg(F.count(F.lit(1)).alias("train_rows")).select(
+        F.lit(M.FOLDS).alias("folds"), F.lit(mae).alias("cv_mae"), "train_rows"))
+
 
+register("M9_cv_mae_line_ev", cont(O.with_ev_clean(_FEATURE_SQL + f""",
+tr AS (SELECT fold, created_hour AS x, {R} AS y FROM m0 WHERE NOT is_test),
+fit AS (SELECT f.fold, regr_intercept(y, x) AS a, regr_slope(y, x) AS b
+        FROM (SELECT DISTINCT fold FROM tr) AS f JOIN tr ON tr.fold <> f.fold GROUP BY f.fold),
+err AS (SELECT tr.fold, AVG(abs(y - a - b * x)) AS e FROM tr JOIN fit ON tr.fold = fit.fold GROUP BY tr.fold)
+""" + sql_round("SELECT CAST(5 AS INTEGER) AS folds, AVG(e) AS cv_mae, (SELECT COUNT(*) FROM tr) AS train_rows FROM err",
+                ["cv_mae"]))))(_line_folds)
 
-MIN_HEAP_BYTES = 512 * 1024 ** 2
+
+# The 13-feature scaled baseline with both parts' metrics.
+register("M12_linear_baseline_ev")(lambda s, d: M.model_report(M.train_linear_regression(ev_clean(s, d))))
+
+# The forest is fitted once for each session and dataset: kept are the path of
+# the saved model and its small result tables, no rows.
+_FITTED: dict[tuple[str, str], tuple[str, M.TrainResult]] = {}
 
 
 def _forest(s, d):
-    """Fit (once) the 100-tree forest.  In local mode an out-of-memory task
-    kills the JVM every later query shares, so a heap below 512 MB fails this
-    query up front; above it the node-statistics budget is sized to the heap
-    (``model.node_memory_mb``)."""
-    try:
-        local = s.sparkContext.master.startswith("local")
-        heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
-    except Exception:  # no JVM access from this client
-        local, heap = False, MIN_HEAP_BYTES
-    if local and heap < MIN_HEAP_BYTES:
-        raise MemoryError(f"driver heap {heap >> 20} MB is below the "
-                          f"{MIN_HEAP_BYTES >> 20} MB a local forest fit needs; "
-                          "raise spark.driver.memory")
-    try:
-        key = (s.sparkContext.applicationId, d)
-    except Exception:
-        key = (id(s), d)
-    if key not in _FOREST_CACHE:
-        _FOREST_CACHE[key] = M.train_random_forest(ev_clean(s, d), cv_folds=0)
-    return _FOREST_CACHE[key]
-
-
-register("M7_M14_forest_report_ev")(lambda s, d: M.model_report(_forest(s, d)))
-register("M10_top_features_ev")(lambda s, d: M.top_features(_forest(s, d).importance))
+    key = (s.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        result = M.train_random_forest(ev_clean(s, d))
+        path = M.save_model(result.model, f"{shared_path(s, 'forest')}-{uuid.uuid4().hex}")
+        _FITTED[key] = (path, result)
+    return _FITTED[key]
+
+
+def _scored(s, d):
+    """The forest saved, loaded again and applied to every clean ticket."""
+    return M.score(M.load_model(_forest(s, d)[0]), ev_clean(s, d))
+
+
+register("M7_M14_forest_report_ev")(lambda s, d: M.model_report(_forest(s, d)[1]))
+register("M9_cv_mae_forest_ev")(lambda s, d: s.createDataFrame(
+    [("Random Forest", M.FOLDS, _forest(s, d)[1].cv_mae, _forest(s, d)[1].train_size)],
+    "model string, folds int, cv_mae double, train_rows long"))
+register("M10_top_features_ev")(lambda s, d: M.top_features(_forest(s, d)[1].importance))
 register("M13_batch_scoring_ev")(
-    lambda s, d: M.score(_forest(s, d).model, ev_clean(s, d))
-    .select("unique_key", "predicted_days", "predicted_class", "off_hours"))
+    lambda s, d: _scored(s, d).select("unique_key", "predicted_days", "predicted_class", "off_hours"))
 
+# One importance for each feature, none negative, together 1.
+register("M10_importance_sums_ev", "SELECT CAST(13 AS BIGINT) AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS n_negative")(
+    lambda s, d: _forest(s, d)[1].importance.agg(
+        F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("n_negative")))
 
-# M9: 5-fold cross-validated MAE on the training rows (linear baseline; the
-# same call takes the forest, see ``train_random_forest(cv_folds=5)``).
-def _cv(s, d):
-    from pyspark.ml.feature import StandardScaler
-    from pyspark.ml import Pipeline
-    from pyspark.ml.regression import LinearRegression
-    data = M.prepare(ev_clean(s, d))
-    train = data.filter(~F.col("is_test"))
-    feats = M.encode(train).transform(train)
-    est = Pipeline(stages=[
-        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-        LinearRegression(featuresCol="scaled", labelCol=M.LABEL, regParam=0.0, solver="normal")])
-    mae = M.cross_validated_mae(feats, est, folds=5)
-    return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
-        F.lit("Linear Regression").alias("model"), F.lit(5).alias("folds"),
-        F.lit(mae).alias("cv_mae"), "train_rows")
+# M13 + P21-P23: scores of every ticket keep the floor, their class follows
+# from the days, and the hour flag is the ticket's own.
+def _rules(s, d):
+    days = F.col("predicted_days")
+    expected = F.when(days <= 1, "fast").when(days <= 7, "moderate").otherwise("slow")
+    return _scored(s, d).agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(days < 0.1).alias("n_below_floor"),
+        F.count_if(F.col("predicted_class") != expected).alias("n_wrong_class"),
+        F.count_if("off_hours").alias("n_off_hours"))
+
+
+register("M13_scoring_rules_ev", O.with_ev_clean(
+    "SELECT COUNT(*) AS n_scored, 0::BIGINT AS n_below_floor, 0::BIGINT AS n_wrong_class, "
+    "COUNT(*) FILTER (WHERE created_hour < 6 OR created_hour > 22) AS n_off_hours FROM clean"))(_rules)
+
+
+# M15 + IO9: train, save, load, score; the loaded model predicts as the fitted one.
+def _reload(s, d):
+    fitted = M.score(_forest(s, d)[1].model, ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("a"))
+    both = fitted.join(_scored(s, d).select("unique_key", F.col("predicted_days").alias("b")), "unique_key")
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
+
+
+register("M15_IO9_model_job_ev", O.with_ev_clean("SELECT COUNT(*) AS n_scored, 0::BIGINT AS n_different FROM clean"))(_reload)
+
+
+# M8: the report's test metrics equal those worked out from the scored test rows.
+def _metric_check(s, d):
+    result = _forest(s, d)[1]
+    test = M.prepare(ev_clean(s, d)).filter("is_test")
+    pred = M.load_model(_forest(s, d)[0]).transform(test)
+    e = F.abs(F.col(R) - F.col("prediction"))
+    own = pred.agg(F.sum(e).alias("s"), F.sum(e * e).alias("q"), F.count(F.lit(1)).alias("n"))
+    told = result.test_metrics.select("mae", "rmse", F.col("n").alias("told_n"))
+    return own.crossJoin(F.broadcast(told)).select(
+        "n", (F.abs(F.col("s") / F.col("n") - F.col("mae")) < 1e-9).alias("mae_agrees"),
+        (F.abs(F.sqrt(F.col("q") / F.col("n")) - F.col("rmse")) < 1e-9).alias("rmse_agrees"))
 
 
-register("M9_cv_mae_linear_ev")(_cv)
+register("M8_forest_metrics_recomputed_ev", cont(O.with_ev_clean(
+    _FEATURE_SQL + "\nSELECT COUNT(*) AS n, true AS mae_agrees, true AS rmse_agrees FROM m0 WHERE is_test")))(_metric_check)

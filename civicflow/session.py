@@ -50,7 +50,7 @@ def build_session(master: str | None = None, app: str = "civicflow",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply runtime SQL defaults that are still unset on an existing session."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui"):
+        if k.startswith("spark.ui") or k == "spark.sql.session.timeZone":
             continue
         try:
             if spark.conf.get(k, None) is None:

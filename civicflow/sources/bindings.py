@@ -48,24 +48,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
-
-    A fact table stored as one unsplittable row group would otherwise run the
-    whole view in one task.  A large table already has many splits and is
-    returned unchanged, so no shuffle is added at scale.  The split count is
-    read from the planned scan; no job runs.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if splits * 2 <= cores:
-        return df.repartition(cores)
-    return df
-
-
 def geo_dimension(nation: DataFrame, region: DataFrame) -> DataFrame:
     """(n_nationkey, borough): 25 rows by the TPC-H schema, hence broadcast."""
     r = region.select("r_regionkey",
@@ -82,18 +64,9 @@ def attach_borough(df: DataFrame, nation: DataFrame, region: DataFrame,
     return df.join(geo, df[nation_col] == geo.n_nationkey, "left").drop("n_nationkey")
 
 
-def customer_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(c_custkey, c_mktsegment, borough): customer with its region as borough."""
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return attach_borough(cust, table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")) \
-        .select("c_custkey", "c_mktsegment", "borough")
-
-
 def requests_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw tickets, one per event (binding EV), from the fixture folder."""
     t = {n: table(spark, sf_dir, n) for n in ("events", "customer", "nation", "region")}
-    t["events"] = spread(t["events"].select(
-        "event_id", "ts", "user_id", "event_type", "value", "props"))
     return ev_view(**t)
 
 
@@ -136,11 +109,6 @@ def ev_view(events: DataFrame, customer: DataFrame, nation: DataFrame,
 def requests_ord(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw tickets, one per order with at least one line (binding OR)."""
     t = {n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "customer", "nation", "region")}
-    t["orders"] = spread(t["orders"].select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
-    # Only the streamed side is spread: a small lineitem becomes the broadcast
-    # build side, where a round-robin shuffle first would be wasted work.
-    t["lineitem"] = t["lineitem"].select("l_orderkey", "l_shipdate")
     return ord_view(**t)
 
 
@@ -149,13 +117,15 @@ def ord_view(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     """One ticket per order from the five tables.
 
     The closing date needs the order date, so lines are joined to orders
-    first; the aggregation groups on ``o_orderkey`` plus attributes that
-    depend on it, so it reuses the join's hash partitioning (no second
-    shuffle).  With tables bucketed on the join keys (``sources.bucketed``)
-    neither join shuffles.
+    first.  Lines are reduced to distinct (order, ship date) before the join,
+    partly in each task, so an order with very many lines brings one row for
+    each date it shipped on.  The aggregation groups on ``o_orderkey`` plus
+    attributes that depend on it and reuses the join's partitioning.  With
+    tables bucketed on the join keys (``sources.bucketed``) neither the
+    reduction nor the joins shuffle.
     """
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    lines = lineitem.select("l_orderkey", "l_shipdate")
+    lines = lineitem.select("l_orderkey", "l_shipdate").distinct()
     per_order = o.join(lines, o.o_orderkey == lines.l_orderkey).groupBy(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     ).agg(F.min(F.when(F.col("l_shipdate") >= F.col("o_orderdate"), F.col("l_shipdate")))

@@ -1,8 +1,8 @@
 """Readers and writers for ticket tables (IO1-IO8).
 
 Parquet is the default format (column pruning and filter push-down reach the
-scan); CSV with a header is kept for interchange.  Schemas are explicit, never
-inferred.
+scan); CSV with a header is kept for interchange.  Columns are matched by name
+and cast to the declared types; types are never inferred from values.
 """
 
 from __future__ import annotations
@@ -11,40 +11,56 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
+from ..session import shared_path
 
 
 def _ensure_exists(spark: SparkSession, path: str) -> None:
+    """``path`` may be a file, a folder or a glob."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
+    if not fs.globStatus(jpath):
         raise FileNotFoundError(f"file not found: {path}")
 
 
+def _by_name(df: DataFrame, schema: T.StructType, path: str) -> DataFrame:
+    """Columns found in the file, by name, in their declared types.
+
+    Unknown names and missing required (not nullable) ones raise.
+    """
+    kinds = {f.name: f.dataType for f in schema.fields}
+    if unknown := [c for c in df.columns if c not in kinds]:
+        raise ValueError(f"{path}: unknown columns {unknown}")
+    if missing := [f.name for f in schema.fields if not f.nullable and f.name not in df.columns]:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) for c in df.columns])
+
+
+def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """A CSV's columns come as text under the names of its header."""
+    _ensure_exists(spark, path)
+    return spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
+
+
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
              strict_dates: bool = True) -> DataFrame:
     """IO1 + P1: raw tickets; dates parsed to NTZ timestamps.
 
-    CSV dates arrive as text: ``strict_dates`` raises on bad text (as the
-    reference's parser does), otherwise bad text becomes NULL.
+    Columns are matched by name; optional ones may be absent.  Dates that
+    arrive as text: ``strict_dates`` raises on bad text (as the reference's
+    parser does), otherwise bad text becomes NULL.
     """
-    _ensure_exists(spark, path)
-    if fmt == "csv":
-        df = spark.read.schema(S.RAW_TEXT).option("header", True).csv(path)
-        from ..operators.cleaning import parse_dates
-        return parse_dates(df, strict=strict_dates)
-    return spark.read.schema(S.RAW).parquet(path)
+    from ..operators.cleaning import parse_dates
+    df = parse_dates(_read(spark, path, fmt), strict=strict_dates)
+    return _by_name(df, S.RAW, path)
 
 
 def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """IO2: clean tickets with both dates typed by the schema."""
-    _ensure_exists(spark, path)
-    if fmt == "csv":
-        return spark.read.schema(S.CLEAN).option("header", True) \
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
-    return spark.read.parquet(path)
+    """IO2: clean tickets by column name, every column in its declared type."""
+    return _by_name(_read(spark, path, fmt), S.CLEAN, path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -52,8 +68,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     """IO3 / IO4: overwrite a ticket table.
 
     A clean table partitioned by ``created_year, created_month`` lets later
-    date filters prune whole folders.
+    date filters prune whole folders.  Its rows are first dealt out by those
+    columns, hot ones to several tasks (a rebalance), so the number of files
+    follows the data's size instead of tasks times folders.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -74,11 +94,15 @@ def write_with_count(df: DataFrame, path: str, fmt: str = "parquet",
     return int(obs.get["rows"])
 
 
-def load_table(spark: SparkSession, df: DataFrame, name: str = "nyc_311",
-               durable: bool = False) -> DataFrame:
-    """IO5: register a table under ``name``, replacing any previous one."""
+def load_table(spark: SparkSession, df: DataFrame, name: str = "tickets",
+               durable: bool = False, location: str | None = None) -> DataFrame:
+    """IO5: register a table under ``name``, replacing any previous one.
+
+    A durable table's files go to ``location`` (default: the shared folder).
+    """
     if durable:
-        df.write.mode("overwrite").saveAsTable(name)
+        where = location or shared_path(spark, f"tables/{name}")
+        df.write.mode("overwrite").option("path", where).saveAsTable(name)
         return spark.table(name)
     df.createOrReplaceTempView(name)
     return spark.table(name)
@@ -94,21 +118,32 @@ def run_sql(spark: SparkSession, text: str, args: Mapping | None = None) -> Data
     return spark.sql(text, args=dict(args) if args else None)
 
 
-def export_results(results: Mapping[str, DataFrame], out_dir: str,
+class ExportError(RuntimeError):
+    """Some results could not be written; ``written`` and ``failed`` name them all."""
+
+    def __init__(self, written: dict[str, str], failed: dict[str, str]):
+        super().__init__(f"not exported: {failed}")
+        self.written, self.failed = written, failed
+
+
+def export_results(results: Mapping[str, DataFrame | None], out_dir: str,
                    prefix: str = "sql_results", fmt: str = "csv") -> dict[str, str]:
     """IO8: write each named result as ``{prefix}_{name}``.
 
-    Results are per-group aggregates, so each is written as it is (no
-    collect); a failing one does not stop the others.
+    Results are per-group aggregates, each written as it is (no collect).  A
+    failing one does not stop the others; at the end ``ExportError`` names
+    every result that failed or was None.
     """
-    written = {}
+    written, failed = {}, {}
     for name, df in results.items():
+        path = f"{out_dir.rstrip('/')}/{prefix}_{name}"
         if df is None:
+            failed[name] = "no result"
             continue
-        path = f"{out_dir.rstrip('/')}/{prefix}_{name}"
         try:
-            write_table(df, path, fmt)
-            written[name] = path
-        except Exception as exc:  # keep exporting the rest
-            written[name] = f"error: {exc}"
+            written[name] = write_table(df, path, fmt)
+        except Exception as exc:  # the rest is written first
+            failed[name] = f"{type(exc).__name__}: {exc}"
+    if failed:
+        raise ExportError(written, failed)
     return written

@@ -8,6 +8,8 @@ gives exactly-once output that survives a lost executor or a restart.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,8 +39,13 @@ def write_clean_stream(df: DataFrame, out_dir: str, checkpoint: str | None = Non
                        available_now: bool = True,
                        partition_by: tuple[str, ...] = ("created_year", "created_month"),
                        ) -> StreamingQuery:
-    """Append cleaned tickets as Parquet; checkpoint in the shared folder."""
-    ckpt = checkpoint or shared_path(df.sparkSession, "clean_stream_checkpoint")
+    """Append cleaned tickets as Parquet; checkpoint in the shared folder.
+
+    The checkpoint's name follows from the output folder: streams to
+    different folders never share offsets.
+    """
+    name = hashlib.sha256(out_dir.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = checkpoint or shared_path(df.sparkSession, f"clean_stream_checkpoint_{name}")
     w = df.writeStream.format("parquet").option("path", out_dir) \
         .option("checkpointLocation", ckpt).outputMode("append")
     if partition_by:
