@@ -37,7 +37,8 @@ class PrefixBPE:
         self.longest = max(map(len, ranks))
         self.pair_limit = pair_limit
         self.whole: dict[int, bool] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.tree = self._tree()
 
     def merge(self, raw: bytes) -> list[int]:
         """Plain merging, lowest rank first and leftmost: decides short pairs."""
@@ -50,29 +51,62 @@ class PrefixBPE:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
-    def _fits(self, before: int | None, token: int) -> bool:
-        """May ``token`` follow ``before`` (None: start of the piece)?"""
+    def _tree(self) -> dict:
+        """Tokens by their bytes: nested dicts, a node's own token under -1."""
+        root: dict = {}
+        for raw, token in self.ranks.items():
+            node = root
+            for b in raw:
+                node = node.setdefault(b, {})
+            node[-1] = token
+        return root
+
+    def _pair(self, before: int, token: int) -> bool:
+        """Do the merges of both tokens' bytes give just these two?"""
+        if len(self.pairs) >= self.pair_limit:
+            self.pairs.clear()
+        ok = self.pairs[before << 20 | token] = (
+            self.merge(self.tokens[before] + self.tokens[token]) == [before, token])
+        return ok
+
+    def _first(self, token: int) -> bool:
+        """Do the merges of the token's bytes give it?"""
         ok = self.whole.get(token)
         if ok is None:
             ok = self.whole[token] = self.merge(self.tokens[token]) == [token]
-        if before is None or not ok:
-            return ok
-        ok = self.pairs.get((before, token))
-        if ok is None:
-            if len(self.pairs) >= self.pair_limit:
-                self.pairs.clear()
-            ok = self.pairs[before, token] = (
-                self.merge(self.tokens[before] + self.tokens[token]) == [before, token])
         return ok
 
-    def step(self, raw: bytes, last: list[int | None], i: int) -> int:
-        """The valid last token of ``raw[:i]``, given those of shorter prefixes."""
-        get = self.ranks.get
-        for j in range(max(0, i - self.longest), i):
-            token = get(raw[j:i])
-            if token is not None and self._fits(last[j], token):
-                return token
-        raise ValueError("the vocabulary lacks single bytes")
+    def fill(self, raw: bytes, last: list[int | None], known: int, settled=None) -> int:
+        """Fills ``last[known + 1:]``, where ``last[:known + 1]`` is right; returns where it stopped.
+
+        Walks the tokens that begin at each place; what ends at a place is
+        settled before tokens that begin there are tried.  ``settled(i)`` may
+        end the work after place i.
+        """
+        n, pairs, tree = len(raw), self.pairs, self.tree
+        for j in range(max(0, known - self.longest + 1), n):
+            before = last[j]
+            if settled is not None and j > known and settled(j):
+                return j
+            node = tree
+            for i in range(j, n):
+                node = node.get(raw[i])
+                if node is None:
+                    break
+                token = node.get(-1)
+                if token is None or i < known or last[i + 1] is not None:
+                    continue
+                if before is None:
+                    ok = self._first(token)
+                else:
+                    ok = pairs.get(before << 20 | token)
+                    if ok is None:
+                        ok = self._pair(before, token)
+                if ok:
+                    last[i + 1] = token
+            if j >= known and last[j + 1] is None:
+                raise ValueError("the vocabulary lacks single bytes")
+        return n
 
     def encode_piece(self, raw: bytes) -> tuple[int, ...]:
         """Ids of one piece; a piece that is a token itself is that token."""
@@ -95,24 +129,28 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         """Exact: the rows of shorter prefixes do not change."""
+        known = len(self.raw)
         self.raw += more
-        for i in range(len(self.last), len(self.raw) + 1):
-            self.last.append(self.bpe.step(self.raw, self.last, i))
+        self.last += [None] * len(more)
+        self.bpe.fill(self.raw, self.last, known)
 
     def replace(self, lo: int, hi: int, new: bytes) -> int:
         """Replace ``raw[lo:hi]``; returns how many rows were worked out again."""
         old, shift = self.last, len(new) - (hi - lo)
         self.raw = self.raw[:lo] + new + self.raw[hi:]
-        self.last, done, agree = old[:lo + 1], 0, 0
-        for i in range(lo + 1, len(self.raw) + 1):
-            self.last.append(self.bpe.step(self.raw, self.last, i))
-            done += 1
+        self.last = old[:lo + 1] + [None] * (len(self.raw) - lo)
+        agree = 0
+
+        def settled(i: int) -> bool:
+            nonlocal agree
             if i > lo + len(new):
                 agree = agree + 1 if self.last[i] == old[i - shift] else 0
-                if agree >= self.bpe.longest:
-                    self.last.extend(old[i - shift + 1:])
-                    break
-        return done
+            return agree >= self.bpe.longest
+
+        stop = self.bpe.fill(self.raw, self.last, lo, settled)
+        if stop < len(self.raw):
+            self.last[stop + 1:] = old[stop + 1 - shift:]
+        return stop - lo
 
     def ids(self) -> list[int]:
         out, i = [], len(self.raw)

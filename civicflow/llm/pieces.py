@@ -91,7 +91,7 @@ class PieceCache:
     emptied, which costs time only.
     """
 
-    def __init__(self, encode, limit: int = 300_000):
+    def __init__(self, encode, limit: int = 500_000):
         self.encode, self.limit, self.kept = encode, limit, {}
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
