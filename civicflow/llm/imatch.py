@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 MIN_RATIO, MAX_RATIO = 10, 100
 FAMILIES, RATES = 4, 9
 BUCKET_ROWS = 512
-SUBSETS = [(4 * f + 1, f"{65536 >> r:04x}") for f in range(FAMILIES) for r in range(1, RATES + 1)]
+SUBSETS = [(f, f"{65536 >> r:04x}") for f in range(FAMILIES) for r in range(1, RATES + 1)]
 NO_TERMS = "-"
 
 
@@ -52,7 +52,7 @@ def let(value: Column, use) -> Column:
 
 def signature(text: Column, words: list[str]) -> Column:
     """The 36 subset hashes of a text (``-``: no term in the subset)."""
-    specs = F.array(*[F.struct(F.lit(a).alias("at"), F.lit(b).alias("below")) for a, b in SUBSETS])
+    specs = F.array(*[F.struct(F.lit(a).alias("family"), F.lit(b).alias("below")) for a, b in SUBSETS])
 
     def chosen(every: Column) -> Column:
         if not words:
@@ -62,12 +62,14 @@ def signature(text: Column, words: list[str]) -> Column:
 
     def hashed(marked: Column) -> Column:
         def one(spec: Column) -> Column:
-            inside = F.filter(marked, lambda m: F.substring(m["d"], spec["at"], F.lit(4)) < spec["below"])
+            inside = F.filter(marked, lambda m: F.get(m["d"], spec["family"]) < spec["below"])
             return let(F.array_join(F.transform(inside, lambda m: m["t"]), " "), lambda joined: F.when(
                 joined == "", F.lit(NO_TERMS)).otherwise(F.substring(F.md5(joined), 1, 8)))
         return F.transform(specs, one)
 
-    marked = F.transform(let(terms(text), chosen), lambda t: F.struct(t.alias("t"), F.md5(t).alias("d")))
+    # Four digits of the term's digest for each family decide its subsets.
+    marked = F.transform(let(terms(text), chosen), lambda t: let(F.md5(t), lambda d: F.struct(
+        t.alias("t"), F.array(*[F.substring(d, 4 * f + 1, 4) for f in range(FAMILIES)]).alias("d"))))
     return let(marked, hashed)
 
 
@@ -124,11 +126,13 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     words = lexicon(df, text)
     rows = with_next(df, doc_id, text).select(
         doc_id, "text", "next_text", edited(F.col("text"), F.col("next_text")).alias("edited"))
+    # The lexicon stands in the plan once: one expression signs all three texts.
     signed = rows.select(doc_id, F.length("text").cast("long").alias("n_chars"),
                          F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-                         *[signature(F.col(c), words).alias(c) for c in ("text", "edited", "next_text")])
+                         F.transform(F.array("text", "edited", "next_text"), lambda t: signature(t, words)).alias("sig"))
+    own, changed, following = (F.col("sig")[i] for i in range(3))
     return signed.select(doc_id, "n_chars", "edited_sha256",
-                         F.array_join("text", ".").alias("fingerprint"),
-                         F.array_join("edited", ".").alias("edited_fingerprint"),
-                         likeness(F.col("text"), F.col("edited")).alias("near_edited"),
-                         likeness(F.col("text"), F.col("next_text")).alias("near_next"))
+                         F.array_join(own, ".").alias("fingerprint"),
+                         F.array_join(changed, ".").alias("edited_fingerprint"),
+                         likeness(own, changed).alias("near_edited"),
+                         likeness(own, following).alias("near_next"))
