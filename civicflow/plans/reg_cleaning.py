@@ -125,7 +125,7 @@ register("IO6_row_count_ev", O.with_ev_clean("SELECT COUNT(*) AS row_count FROM
 _IO7_TEXT = """
 SELECT borough, created_hour, COUNT(*) AS n_tickets,
        COUNT_IF(response_time_days > :slow_days) AS n_slow,
-       ROUND(MIN(response_time_days), 4) AS fastest_days
+       MIN(response_time_days) AS fastest_days
 FROM tickets
 WHERE created_hour >= :from_hour
 GROUP BY borough, created_hour

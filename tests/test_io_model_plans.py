@@ -178,18 +178,6 @@ def test_jobs_clean_sql_model(spark):
     assert M.load_model(f"{d}/model") is not None
 
 
-def test_exact_median_query_scans_input_twice(spark):
-    """Q1: the sketch pass also computes count/avg/max; the candidate pass is
-    the only other read of the table."""
-    from civicflow.plans import performance as P
-    d = _tmp()
-    write_table(C.clean_pipeline(requests_ev(spark, SF_SMALL)), f"{d}/ev")
-    q = P.slowest_types(read_clean(spark, f"{d}/ev"))
-    q.collect()
-    final = q._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan parquet") == 2
-
-
 def test_filters_and_columns_reach_the_clean_scan(spark):
     """On the materialised clean table, Q1's status / known-time filters are
     pushed into the Parquet scan and only the needed columns are read."""
