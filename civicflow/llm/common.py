@@ -25,7 +25,13 @@ REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__fi
 # -- session -----------------------------------------------------------------
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the session was started."""
+    """Let Python workers import this package wherever the session was started.
+
+    Where the session still has Spark's default of 10,000 rows for an Arrow
+    batch, 2,000 are set: whole texts make such batches large.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if REPO_ROOT not in have.split(os.pathsep):

@@ -27,6 +27,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 MAX_SYMBOLS_PER_WORD = 0.5
 HOST_LIMIT = 0.5
+MIN_STRENGTH = 5.0  # pseudo-documents: a few failures alone never reject a small host
 _IS_SYMBOL = np.zeros(256, dtype=bool)
 _IS_SYMBOL[[ord(c) for c in SYMBOLS]] = True
 
@@ -61,10 +62,11 @@ def _dup_lines(texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def rule_counts(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+def rule_counts(df: DataFrame, text: str = "text", prefix: str = "", keep_text: bool = False) -> DataFrame:
     """``df`` with its text column replaced by the five rule counts (no shuffle).
 
     Counts are named ``prefix`` + name; an input column of that name is dropped.
+    ``keep_text`` leaves the text, as the last column before the counts.
     """
     out_names = [prefix + c for c in COUNTS]
     keep = [c for c in df.columns if c != text and c not in out_names]
@@ -80,12 +82,12 @@ def rule_counts(df: DataFrame, text: str = "text", prefix: str = "") -> DataFram
                       _dup_lines(part.column(part.num_columns - 1).to_pylist()),
                       _repeat_words(h, row, n)]
             yield pa.RecordBatch.from_arrays(
-                part.columns[:-1] + [pa.array(v, pa.int64()) for v in values],
-                names=keep + out_names)
+                (part.columns if keep_text else part.columns[:-1]) + [pa.array(v, pa.int64()) for v in values],
+                names=keep + [text] * keep_text + out_names)
 
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
-                       + [f"`{c}` bigint" for c in out_names])
+                       + [f"`{text}` string"] * keep_text + [f"`{c}` bigint" for c in out_names])
     return map_arrow(src, count, schema)
 
 
@@ -103,8 +105,8 @@ def host_verdicts(counts: DataFrame, host: str = "source", host_limit: float = H
     """One row per host: documents, failures, shrunk failure rate, rejected.
 
     The beta prior has the moments of the host rates, each host weighing alike:
-    with mean m and variance v, its strength is ``m (1 - m) / v - 1`` (at least
-    1 pseudo-document; 1 with a single host).
+    with mean m and variance v, its strength is ``m (1 - m) / v - 1``
+    pseudo-documents, and at least ``MIN_STRENGTH``.
     A host fails when (failures + strength * m) / (documents + strength) reaches
     ``host_limit``.  Rows per host are pre-aggregated before the shuffle.
     """
@@ -113,8 +115,8 @@ def host_verdicts(counts: DataFrame, host: str = "source", host_limit: float = H
         F.sum(failed_rules().cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
     prior = hosts.agg(F.avg(rate).alias("prior_mean"), F.var_pop(rate).alias("prior_var"))
-    strength = F.greatest(F.lit(1.0), F.coalesce(F.try_divide(
-        F.col("prior_mean") * (1 - F.col("prior_mean")), F.col("prior_var")) - 1, F.lit(1.0)))
+    strength = F.greatest(F.lit(MIN_STRENGTH), F.coalesce(F.try_divide(
+        F.col("prior_mean") * (1 - F.col("prior_mean")), F.col("prior_var")) - 1, F.lit(MIN_STRENGTH)))
     prior = prior.select("prior_mean", strength.alias("strength"))
     # One row of two numbers: the broadcast side has a fixed size.
     both = hosts.crossJoin(F.broadcast(prior))
@@ -152,7 +154,6 @@ def keep_good(df: DataFrame, text: str = "text", host: str = "source",
     counts = write_out(rule_counts(df.select(host, text), text), "host-rules")
     bad = host_verdicts(counts, host, host_limit).filter("host_rejected").select(
         F.col("host").alias("__host"))
-    tagged = rule_counts(df.withColumn("__copy", F.col(f"`{text}`")), "__copy", "__")
-    good = tagged.filter(~base_failed("__"))
+    good = rule_counts(df, text, "__", keep_text=True).filter(~base_failed("__"))
     return good.join(bad, F.col(f"`{host}`").eqNullSafe(F.col("__host")), "left_anti").select(
         *[F.col(f"`{c}`") for c in df.columns])

@@ -25,7 +25,7 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed OR n_symbols > 0.5 * n_words) AS k
       FROM f GROUP BY source),
 p AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
-s AS (SELECT m, greatest(1.0, coalesce(CASE WHEN v > 0 THEN m * (1 - m) / v - 1 END, 1.0)) AS b FROM p),
+s AS (SELECT m, greatest(5.0, coalesce(CASE WHEN v > 0 THEN m * (1 - m) / v - 1 END, 5.0)) AS b FROM p),
 bad AS (SELECT source, (k + b * m) / (n + b) >= 0.5 AS rejected FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        rejected AS host_rejected, NOT base_failed AND NOT rejected AS kept

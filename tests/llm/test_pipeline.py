@@ -26,7 +26,7 @@ def rules(rows):
     rates = [k / n for n, k in hosts.values()]
     mean = sum(rates) / len(rates)
     var = sum((x - mean) ** 2 for x in rates) / len(rates)
-    strength = max(1.0, mean * (1 - mean) / var - 1 if var else 1.0)
+    strength = max(5.0, mean * (1 - mean) / var - 1 if var else 5.0)
     bad = {h for h, (n, k) in hosts.items() if (k + strength * mean) / (n + strength) >= 0.5}
     return {r.doc_id for r in rows if r.doc_id not in failed and r.source not in bad}
 
