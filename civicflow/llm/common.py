@@ -193,5 +193,11 @@ def windows(h: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
 
 
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers give Arrow's free memory back after a task."""
     prepare(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)

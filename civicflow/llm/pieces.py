@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from itertools import chain
+from array import array
 
 import numpy as np
 
@@ -87,11 +87,12 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.nd
 class PieceCache:
     """Ids of pieces, encoded once each; at most ``limit`` pieces are kept.
 
-    ``encode`` maps a list of piece bytes to their id tuples.  A full cache is
-    emptied, which costs time only.
+    ``encode`` maps a list of piece bytes to their id tuples; kept are four
+    bytes an id, about 130 bytes a piece in all.  A full cache is emptied,
+    which costs time only.
     """
 
-    def __init__(self, encode, limit: int = 500_000):
+    def __init__(self, encode, limit: int = 250_000):
         self.encode, self.limit, self.kept = encode, limit, {}
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,10 +107,10 @@ class PieceCache:
             missing = range(len(keys))
         lo, hi = starts[where].tolist(), ends[where].tolist()
         found = self.encode([raw[lo[i]:hi[i]] for i in missing])
-        self.kept.update(zip([keys[i] for i in missing], found))
+        self.kept.update((keys[i], array("I", ids).tobytes()) for i, ids in zip(missing, found))
         own = [self.kept[k] for k in keys]
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter(chain.from_iterable(own), np.int64, int(sizes.sum()))
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        flat = np.frombuffer(b"".join(own), np.uint32).astype(np.int64)
         begins = np.cumsum(sizes) - sizes
         ids, bounds = gather(flat, begins, sizes, which)
         return ids, bounds[np.searchsorted(starts, offsets)]
