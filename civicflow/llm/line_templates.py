@@ -1,13 +1,17 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line's tokens are its words; a token with a digit is a variable field.  The
-tree's leaf is the number of tokens and the first ``DEPTH`` tokens.  In a leaf,
-a later token is part of the template where at least ``min_docs`` documents
-have it at that place; other places are variable fields.  A line whose
-template would keep under ``MIN_SHARE`` of its tokens, or none after the
-leading ones, stands for itself.  A template that recurs in at least
+tree's leaf is the number of tokens and the first ``DEPTH`` tokens.  A template
+keeps at least ``MIN_SHARE`` of its line's tokens, and one after the leading
+ones; that many of the line's later tokens, the most frequent ones of the leaf
+at their places, name its cluster, and the rarest of them bounds the cluster's
+documents.  A later token is fixed where it has at least ``FIELD_SHARE`` of
+that number; other places are variable fields, so a field's values stay fields
+however often each occurs in a large corpus.  A line whose cluster has under
+``min_docs`` documents stands for itself.  A template that recurs in at least
 ``min_docs`` documents is boilerplate: its lines stay in the document with the
-smallest doc_id and are dropped from all others.
+smallest doc_id and are dropped from all others.  Counts are the leaf's: a
+field's value that is common at its place in other lines of the leaf is fixed.
 
 Leaves, places and templates are counted by partial sums; no leaf or template
 is gathered in one task.
@@ -32,6 +36,7 @@ from .common import U64, join_hash, map_arrow, mix, span_hashes, text_chunks, wo
 DEPTH = 3
 MIN_DOCS = 3
 MIN_SHARE = 0.7
+FIELD_SHARE = 0.5
 FIRST_ID = -(1 << 63)  # stands for a null doc_id
 FIELD = U64(0x5851F42D4C957F2D)  # hash of a variable field
 _DIGIT = np.zeros(256, bool)
@@ -136,15 +141,16 @@ def line_templates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     mixed = kinds.join(several, "leaf", "left_semi").filter(F.octet_length("rest") > 0)
     places = map_arrow(mixed.select("leaf", "line", "n", "rest"), _places,
                        "leaf bigint, line bigint, n bigint, place int, token bigint")
-    fixed = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("m")).filter(F.col("m") >= min_docs)
-    # Sums of hashes of the fixed places identify the template within its leaf.
-    general = places.join(fixed.select("leaf", "place", "token"), ["leaf", "place", "token"]).groupBy("leaf", "line").agg(
-        F.count(F.lit(1)).alias("n_fixed"),
-        F.sum(F.xxhash64("place", "token").cast("decimal(20,0)")).alias("code"))
-    enough = (F.col("n_fixed") >= 1) & (F.col("n_fixed") + DEPTH >= MIN_SHARE * F.col("size"))
-    template = F.when(enough, F.xxhash64("leaf", "n_fixed", "code")).otherwise(F.xxhash64("leaf", "line"))
-    named = kinds.select("leaf", "line", "size").join(general, ["leaf", "line"], "left").select(
-        "leaf", "line", template.alias("template"))
+    shared = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("m")).filter(F.col("m") >= min_docs)
+    # Each line's shared tokens, most frequent first; the last that the template needs bounds the cluster.
+    own = places.join(shared, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(F.sort_array(
+        F.collect_list(F.struct("m", F.xxhash64("place", "token").alias("h"))), asc=False).alias("own"))
+    need = F.greatest(F.lit(1), F.ceil(MIN_SHARE * F.col("size")).cast("int") - DEPTH)
+    bound = FIELD_SHARE * F.get("own", need - 1)["m"]
+    fixed = F.array_sort(F.transform(F.filter("own", lambda t: t["m"] >= F.col("bound")), lambda t: t["h"]))
+    template = F.when(F.col("bound").isNotNull(), F.xxhash64("leaf", fixed)).otherwise(F.xxhash64("leaf", "line"))
+    named = kinds.select("leaf", "line", "size").join(own, ["leaf", "line"], "left").withColumn(
+        "bound", bound).select("leaf", "line", template.alias("template"))
     told = write_out(lines.select("leaf", "line", "doc").join(named, ["leaf", "line"]).select("doc", "line", "template"),
                      "line-templates")
     counts = told.select("template", "doc").distinct().groupBy("template").agg(

@@ -98,3 +98,17 @@ def test_nulls_repeats_and_extra_columns(spark):
     assert texts == sorted([(1, "own one", 5), (1, "own one", 5), (2, "", 5), (None, "same line\nx", 5), (3, None, 5),
                             (4, "", 5), (5, "w " * 200_000, 5)], key=repr)
     assert drop_recurring_lines(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [100, 20_000])
+def test_word_fields_at_any_size(spark, n):
+    """A field's values stay fields when each occurs in many documents, beside another template of the leaf."""
+    rnd = random.Random(n)
+    def word(i):
+        return "v" + "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i, f"This article was posted by {word(rnd.randrange(300))} from {word(rnd.randrange(300))} on our web site today\n"
+                f"own {word(i)}") for i in range(n)]
+    rows += [(n + i, f"This article was first shown in the paper of {word(i)} and then sold on\nrare {word(i)}") for i in range(5)]
+    got = run(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert {d for d, v in got.items() if v[2] == 0} == {0, n}
+    assert all(v == (rows[d][1].split("\n")[1], 2, 1) for d, v in got.items() if d not in (0, n))
