@@ -27,8 +27,8 @@ with about the same.
 
 Defined cases: a null text is empty; texts without words are near only to
 equal texts; a text of one to four words is one shingle; rows without an id
-join the class of an equal text with an id, and else share a negative class id
-with equal texts only.  Texts are read whole.
+are linked like all others, and a class without any id has a negative class
+id.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -221,8 +221,11 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("id"), key.alias("key"), body.alias("__text"))
     signed = write_out(map_arrow(docs, _signed, "id bigint, key string, sig binary"), "signed")
     # One node per different text: its smallest id.
-    nodes = signed.groupBy("key").agg(F.coalesce(F.min("id"), _unnamed("key")).alias("node"))
-    own = signed.select(F.coalesce("id", _unnamed("key")).alias("node"), "key", "sig").join(nodes, ["node", "key"])
+    nodes = signed.groupBy("key").agg(F.min("id").alias("first")).withColumn(
+        "node", F.coalesce("first", _unnamed("key")))
+    nodes = write_out(nodes, "texts")
+    own = signed.select(F.coalesce("id", _unnamed("key")).alias("node"), "key", "sig").join(
+        nodes, ["node", "key"])
     own = write_out(own.filter(F.octet_length("sig") > 0).select("node", "sig").dropDuplicates(["node"]), "nodes")
 
     member = map_arrow(own.select("node", "sig"), _banded, "bucket bigint, node bigint")
@@ -236,13 +239,21 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     group = write_out(group, "groups")
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     member = block_pairs(group.join(size, "root"), "root", "node", "n", block)
-    texts = docs.join(group.select("node"), F.col("id") == F.col("node"), "left_semi").dropDuplicates(["id"])
-    bags = write_out(map_arrow(texts.select("id", "__text"), _bagged, "id bigint, bag binary"), "bags")
-    member = member.join(bags, F.col("node") == F.col("id")).select("root", "lo", "hi", "node", "bag")
+    texts = docs.select(F.coalesce("id", _unnamed("key")).alias("node"), "key", "__text").join(
+        nodes.join(group.select("node"), "node", "left_semi").select("node", "key"), ["node", "key"])
+    texts = texts.select("node", "__text").dropDuplicates(["node"])
+    bags = write_out(map_arrow(texts, _bagged, "node bigint, bag binary"), "bags")
+    member = member.join(bags, "node").select("root", "lo", "hi", "node", "bag")
     near = map_groups(member, ["root", "lo", "hi"], _near(threshold), "a bigint, b bigint", ("bag",))
     linked = components(near)
 
-    classes = nodes.join(linked, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))
+    # A negative root may stand for texts with ids: their smallest id is the class then.
+    rooted = write_out(nodes.join(linked, "node", "left").select(
+        "key", "first", F.coalesce("root", "node").alias("root")), "roots")
+    below = rooted.filter("root < 0")
+    named = below.groupBy("root").agg(F.min("first").alias("least"))
+    classes = rooted.filter("root >= 0").select("key", F.col("root").alias("class_id")).unionByName(
+        below.join(named, "root").select("key", F.coalesce("least", "root").alias("class_id")))
     return signed.select("id", "key").join(classes, "key").select(
         F.col("id").alias(doc_id), "key", "class_id")
 
@@ -256,7 +267,7 @@ def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, data, offsets in text_chunks(batches, "__text"):
         row, shingle, weight = shingles(data, offsets)
         raw = _occurrences(row, shingle, weight, part.num_rows)
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(raw, pa.binary())], names=["id", "bag"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(raw, pa.binary())], names=["node", "bag"])
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -270,7 +281,8 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshol
     named = df.join(first, F.col(f"`{doc_id}`") == F.col("__id"), "left_semi").dropDuplicates([doc_id])
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.concat_ws("-", F.xxhash64(body), F.xxhash64(F.lit(1), body))
-    alone = classes.filter("class_id < 0").groupBy("class_id").agg(F.min("key").alias("__key"))
+    alone = classes.filter("class_id < 0").groupBy("class_id").agg(
+        F.count(doc_id).alias("n"), F.min("key").alias("__key")).filter("n = 0")
     unnamed = df.filter(F.col(f"`{doc_id}`").isNull()).withColumn("__key", key)
     unnamed = unnamed.join(alone.select("__key"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
     return named.unionByName(unnamed)

@@ -122,3 +122,20 @@ def test_nulls_repeats_and_odd_texts(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted(set(named.values())) and ids.count(None) == 1
     assert near_classes(df.limit(0)).collect() == []
+
+
+def test_near_copies_without_ids(spark):
+    rnd = random.Random(5)
+    own = [[f"{c}{i}" for i in range(80)] for c in "ab"]
+    def copies(words, n):
+        return [" ".join(words[:-1] + [f"end{k}"]) for k in range(n)]
+    with_id, without = copies(own[0], 4), copies(own[1], 5)
+    rows = [(7, with_id[0]), (-3, with_id[1]), (None, with_id[2]), (None, with_id[3]), (9, "far from all others")]
+    rows += [(None, t) for t in without]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_classes(df).collect()
+    assert sorted(r.class_id for r in got)[-5:] == [-3, -3, -3, -3, 9]
+    assert len({r.class_id for r in got}) == 3 and min(r.class_id for r in got) < -3
+    kept = [(r.doc_id, r.text) for r in keep_one(df).collect()]
+    assert len(kept) == 3 and (-3, with_id[1]) in kept and sum(d is None and t in without for d, t in kept) == 1
