@@ -12,7 +12,8 @@ change a register.
 Classes are the connected components of all pairs with weighted Jaccard of at
 least ``threshold``:
 
-1. Equal texts are one document (rows with equal doc_id too).
+1. Equal texts are one document.  Each text of a repeated doc_id counts, and
+   all of them are one class.
 2. Bands of registers give buckets.  In every bucket all members' signatures
    are compared (blocks of members, on separate tasks), and pairs at
    ``threshold - margin`` or more join candidate groups.
@@ -220,12 +221,14 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     key = F.concat_ws("-", F.xxhash64(body), F.xxhash64(F.lit(1), body))
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("id"), key.alias("key"), body.alias("__text"))
     signed = write_out(map_arrow(docs, _signed, "id bigint, key string, sig binary"), "signed")
-    # One node per different text: its smallest id.
-    nodes = signed.groupBy("key").agg(F.min("id").alias("first")).withColumn(
-        "node", F.coalesce("first", _unnamed("key")))
+    # One node per different text: its smallest id, or a negative one where another text has that id too.
+    first = write_out(signed.groupBy("key").agg(F.min("id").alias("first")), "first-ids")
+    owners = first.filter("first is not null").groupBy("first").agg(F.min("key").alias("key"))
+    nodes = first.join(owners.select("key", F.col("first").alias("node")), "key", "left").select(
+        "key", "first", F.coalesce("node", _unnamed("key")).alias("node"))
     nodes = write_out(nodes, "texts")
-    own = signed.select(F.coalesce("id", _unnamed("key")).alias("node"), "key", "sig").join(
-        nodes, ["node", "key"])
+    at = nodes.select(F.coalesce("first", _unnamed("key")).alias("at"), "key", "node")  # the row that stands for the text
+    own = signed.select(F.coalesce("id", _unnamed("key")).alias("at"), "key", "sig").join(at, ["at", "key"])
     own = write_out(own.filter(F.octet_length("sig") > 0).select("node", "sig").dropDuplicates(["node"]), "nodes")
 
     member = map_arrow(own.select("node", "sig"), _banded, "bucket bigint, node bigint")
@@ -239,13 +242,13 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     group = write_out(group, "groups")
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     member = block_pairs(group.join(size, "root"), "root", "node", "n", block)
-    texts = docs.select(F.coalesce("id", _unnamed("key")).alias("node"), "key", "__text").join(
-        nodes.join(group.select("node"), "node", "left_semi").select("node", "key"), ["node", "key"])
+    texts = docs.select(F.coalesce("id", _unnamed("key")).alias("at"), "key", "__text").join(
+        at.join(group.select("node"), "node", "left_semi"), ["at", "key"])
     texts = texts.select("node", "__text").dropDuplicates(["node"])
     bags = write_out(map_arrow(texts, _bagged, "node bigint, bag binary"), "bags")
     member = member.join(bags, "node").select("root", "lo", "hi", "node", "bag")
     near = map_groups(member, ["root", "lo", "hi"], _near(threshold), "a bigint, b bigint", ("bag",))
-    linked = components(near)
+    linked = components(near.unionByName(_same_id(signed, nodes)))
 
     # A negative root may stand for texts with ids: their smallest id is the class then.
     rooted = write_out(nodes.join(linked, "node", "left").select(
@@ -258,6 +261,15 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
         F.col("id").alias(doc_id), "key", "class_id")
 
 
+def _same_id(signed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the texts of each doc_id that has several."""
+    several = signed.filter("id is not null").groupBy("id").agg(
+        F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("id")
+    texts = signed.select("id", "key").join(several, "id").distinct().join(nodes, "key").select("id", "node")
+    texts = write_out(texts, "same-id")
+    return texts.join(texts.groupBy("id").agg(F.min("node").alias("b")), "id").select(F.col("node").alias("a"), "b")
+
+
 def _unnamed(key: str) -> Column:
     """The negative node of a text whose rows have no id."""
     return -F.abs(F.xxhash64(key) % (1 << 62)) - 1
@@ -273,14 +285,17 @@ def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``df`` that stand for their class: the one with the smallest id.
 
-    Repeated rows leave one.  A row without an id stays if no row of its class
+    Repeated rows leave one; of an id with several texts, the one with the
+    smallest digest stays.  A row without an id stays if no row of its class
     has an id (one of them).
     """
     classes = near_classes(df, doc_id, text, threshold)
-    first = classes.filter(F.col(doc_id) == F.col("class_id")).select(F.col(doc_id).alias("__id")).distinct()
-    named = df.join(first, F.col(f"`{doc_id}`") == F.col("__id"), "left_semi").dropDuplicates([doc_id])
+    first = classes.filter(F.col(doc_id) == F.col("class_id")).groupBy(F.col(doc_id).alias("__id")).agg(
+        F.min("key").alias("__key"))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.concat_ws("-", F.xxhash64(body), F.xxhash64(F.lit(1), body))
+    named = df.join(first, (F.col(f"`{doc_id}`") == F.col("__id")) & (key == F.col("__key")), "left_semi")
+    named = named.dropDuplicates([doc_id])
     alone = classes.filter("class_id < 0").groupBy("class_id").agg(
         F.count(doc_id).alias("n"), F.min("key").alias("__key")).filter("n = 0")
     unnamed = df.filter(F.col(f"`{doc_id}`").isNull()).withColumn("__key", key)

@@ -139,3 +139,17 @@ def test_near_copies_without_ids(spark):
     assert len({r.class_id for r in got}) == 3 and min(r.class_id for r in got) < -3
     kept = [(r.doc_id, r.text) for r in keep_one(df).collect()]
     assert len(kept) == 3 and (-3, with_id[1]) in kept and sum(d is None and t in without for d, t in kept) == 1
+
+
+def test_every_text_of_a_repeated_id_counts(spark):
+    """Each id of the first ten has two texts; copies of either are its class."""
+    def text(c, end):
+        return " ".join([f"{c}{i}" for i in range(80)] + [end])
+    rows = [(i, text(f"{c}{i}x", "end")) for i in range(10) for c in "ab"]
+    rows += [(100 + 10 * j + i, text(f"{c}{i}x", "other")) for i in range(10) for j, c in enumerate("ab")]
+    rows += [(300 + i, text(f"b{i}x", "end")) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert {(r.doc_id, r.class_id) for r in near_classes(df).collect()} == {(d, d % 10) for d, _ in rows}
+    kept = sorted(map(tuple, keep_one(df).collect()))
+    assert [d for d, _ in kept] == list(range(10))
+    assert kept == sorted(map(tuple, keep_one(df.orderBy("text")).collect()))
