@@ -22,9 +22,10 @@ least ``threshold``:
 
 Both steps pass on a spanning forest of each block's links instead of the
 links, so a group of k near copies gives about k rows; no link between
-different texts is lost that the bands found.  With 20 bands of 4 registers a
-pair at 0.8 shares no band with probability 3e-5, and falls below the margin
-with about the same.
+different texts is lost that the bands found.  Bands have 4 registers; there
+are 20, and more for thresholds below 0.8, so that a pair at the threshold
+shares no band with probability ``MISS`` at most.  At 0.8 it falls below the
+margin with about the same, at lower thresholds less often.
 
 Defined cases: a null text is empty; texts without words are near only to
 equal texts; a text of one to four words is one shingle; rows without an id
@@ -34,6 +35,7 @@ id.  Texts are read whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,9 +50,19 @@ SHINGLE = 5
 THRESHOLD = 0.8
 MARGIN = 0.18
 BANDS, ROWS = 20, 4
+MISS = 3.2e-5
 BLOCK = 1000
 
 
+def bands_for(threshold: float) -> int:
+    """Bands that a pair at ``threshold`` misses with probability ``MISS`` at most (``BANDS`` at least)."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"threshold {threshold} is not above 0 and at most 1")
+    if threshold == 1:
+        return BANDS
+    return max(BANDS, math.ceil(math.log(MISS) / math.log1p(-threshold ** ROWS)))
+
+
 # -- shingles and signatures -------------------------------------------------
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,32 +127,36 @@ def _occurrences(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n_row
     return [code[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(bands: int):
     """(id, key) with the signature as 32-bit floats; no bytes for a text without words."""
-    for part, data, offsets in text_chunks(batches, "__text"):
-        n = part.num_rows
-        row, shingle, weight = shingles(data, offsets)
-        sig = signatures(row, shingle, weight, n).astype("<f4")
-        empty = np.isinf(sig[:, 0])
-        raw = [b"" if e else x.tobytes() for x, e in zip(sig, empty)]
-        yield pa.RecordBatch.from_arrays(part.columns[:-1] + [pa.array(raw, pa.binary())], names=["id", "key", "sig"])
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        node = b.column(0).to_numpy(zero_copy_only=False)
-        raw = b.column(1).to_pylist()
-        if not raw:
-            continue
-        sig = np.frombuffer(b"".join(raw), "<u4").reshape(len(raw), BANDS * ROWS).astype(U64)
-        keys = []
-        for k in range(BANDS):
-            key = np.full(len(raw), U64(k))
-            for j in range(k * ROWS, (k + 1) * ROWS):
-                key = join_hash(key, sig[:, j])
-            keys.append(key)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.tile(node, BANDS))], names=["bucket", "node"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in text_chunks(batches, "__text"):
+            n = part.num_rows
+            row, shingle, weight = shingles(data, offsets)
+            sig = signatures(row, shingle, weight, n, bands * ROWS).astype("<f4")
+            empty = np.isinf(sig[:, 0])
+            raw = [b"" if e else x.tobytes() for x, e in zip(sig, empty)]
+            yield pa.RecordBatch.from_arrays(part.columns[:-1] + [pa.array(raw, pa.binary())], names=["id", "key", "sig"])
+    return run
+
+
+def _banded(bands: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node = b.column(0).to_numpy(zero_copy_only=False)
+            raw = b.column(1).to_pylist()
+            if not raw:
+                continue
+            sig = np.frombuffer(b"".join(raw), "<u4").reshape(len(raw), bands * ROWS).astype(U64)
+            keys = []
+            for k in range(bands):
+                key = np.full(len(raw), U64(k))
+                for j in range(k * ROWS, (k + 1) * ROWS):
+                    key = join_hash(key, sig[:, j])
+                keys.append(key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.tile(node, bands))], names=["bucket", "node"])
+    return run
 
 
 # -- work within a bucket or a group -----------------------------------------
@@ -160,7 +176,7 @@ def _alike(least: float):
         need = int(np.ceil(least * sig.shape[1] - 1e-9))
         if len(node) == 2:
             return [node[1:], node[:1]] if np.count_nonzero(sig[0] == sig[1]) >= need else None
-        agree = np.zeros((len(node), len(node)), np.uint8)
+        agree = np.zeros((len(node), len(node)), np.uint8 if sig.shape[1] < 256 else np.int32)
         for c in sig.T:
             agree += c[:, None] == c[None, :]
         return _forest(node, local_roots(agree >= need))
@@ -216,11 +232,12 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     a bucket, and texts once; buckets and groups are split into blocks, so a
     hot one is spread over tasks.
     """
+    bands = bands_for(threshold)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     # Two hashes of 64 bits each identify a text.
     key = F.concat_ws("-", F.xxhash64(body), F.xxhash64(F.lit(1), body))
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("id"), key.alias("key"), body.alias("__text"))
-    signed = write_out(map_arrow(docs, _signed, "id bigint, key string, sig binary"), "signed")
+    signed = write_out(map_arrow(docs, _signed(bands), "id bigint, key string, sig binary"), "signed")
     # One node per different text: its smallest id, or a negative one where another text has that id too.
     first = write_out(signed.groupBy("key").agg(F.min("id").alias("first")), "first-ids")
     owners = first.filter("first is not null").groupBy("first").agg(F.min("key").alias("key"))
@@ -231,7 +248,7 @@ def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     own = signed.select(F.coalesce("id", _unnamed("key")).alias("at"), "key", "sig").join(at, ["at", "key"])
     own = write_out(own.filter(F.octet_length("sig") > 0).select("node", "sig").dropDuplicates(["node"]), "nodes")
 
-    member = map_arrow(own.select("node", "sig"), _banded, "bucket bigint, node bigint")
+    member = map_arrow(own.select("node", "sig"), _banded(bands), "bucket bigint, node bigint")
     member = write_out(member, "buckets")
     full = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = block_pairs(member.join(full, "bucket"), "bucket", "node", "n", block)

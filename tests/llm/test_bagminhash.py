@@ -153,3 +153,16 @@ def test_every_text_of_a_repeated_id_counts(spark):
     kept = sorted(map(tuple, keep_one(df).collect()))
     assert [d for d, _ in kept] == list(range(10))
     assert kept == sorted(map(tuple, keep_one(df.orderBy("text")).collect()))
+
+
+def test_low_thresholds_get_more_bands(spark):
+    """Pairs at 0.51: with 20 bands about a quarter of them share none."""
+    def text(i, own, end):
+        return " ".join([f"c{i}x{k}" for k in range(54 + 4)] + [f"{end}{i}x{k}" for k in range(own)])
+    texts = {2 * i + j: text(i, 26, end) for i in range(60) for j, end in enumerate("ab")}
+    a, b = bag(texts[0]), bag(texts[1])
+    assert 0.5 <= sum((a & b).values()) / sum((a | b).values()) < 0.52
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert classes_of(df, threshold=0.5) == {i: i - i % 2 for i in texts}
+    with pytest.raises(ValueError):
+        near_classes(df, threshold=0.0)
