@@ -147,36 +147,39 @@ err AS (SELECT tr.fold, AVG(abs(y - a - b * x)) AS e FROM tr JOIN fit ON tr.fold
 # The 13-feature scaled baseline with both parts' metrics.
 register("M12_linear_baseline_ev")(lambda s, d: M.model_report(M.train_linear_regression(ev_clean(s, d))))
 
-# The forest is fitted once for each session and dataset: kept are the path of
-# the saved model and its small result tables, no rows.
-_FITTED: dict[tuple[str, str], tuple[str, M.TrainResult]] = {}
+# Each query fits the forest on the tables as they are then.
+def _forest(s, d):
+    return M.train_random_forest(ev_clean(s, d))
 
 
-def _forest(s, d):
-    key = (s.sparkContext.applicationId, d)
-    if key not in _FITTED:
-        result = M.train_random_forest(ev_clean(s, d))
-        path = M.save_model(result.model, f"{shared_path(s, 'forest')}-{uuid.uuid4().hex}")
-        _FITTED[key] = (path, result)
-    return _FITTED[key]
+def _saved_forest(s, d):
+    """(path of the saved model, its result)."""
+    result = _forest(s, d)
+    return M.save_model(result.model, f"{shared_path(s, 'forest')}-{uuid.uuid4().hex}"), result
 
 
 def _scored(s, d):
     """The forest saved, loaded again and applied to every clean ticket."""
-    return M.score(M.load_model(_forest(s, d)[0]), ev_clean(s, d))
+    return M.score(M.load_model(_saved_forest(s, d)[0]), ev_clean(s, d))
+
+
+register("M7_M14_forest_report_ev")(lambda s, d: M.model_report(_forest(s, d)))
+
+
+def _forest_cv(s, d):
+    result = _forest(s, d)
+    return s.createDataFrame([("Random Forest", M.FOLDS, result.cv_mae, result.train_size)],
+                             "model string, folds int, cv_mae double, train_rows long")
 
 
-register("M7_M14_forest_report_ev")(lambda s, d: M.model_report(_forest(s, d)[1]))
-register("M9_cv_mae_forest_ev")(lambda s, d: s.createDataFrame(
-    [("Random Forest", M.FOLDS, _forest(s, d)[1].cv_mae, _forest(s, d)[1].train_size)],
-    "model string, folds int, cv_mae double, train_rows long"))
-register("M10_top_features_ev")(lambda s, d: M.top_features(_forest(s, d)[1].importance))
+register("M9_cv_mae_forest_ev")(_forest_cv)
+register("M10_top_features_ev")(lambda s, d: M.top_features(_forest(s, d).importance))
 register("M13_batch_scoring_ev")(
     lambda s, d: _scored(s, d).select("unique_key", "predicted_days", "predicted_class", "off_hours"))
 
 # One importance for each feature, none negative, together 1.
 register("M10_importance_sums_ev", "SELECT CAST(13 AS BIGINT) AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS n_negative")(
-    lambda s, d: _forest(s, d)[1].importance.agg(
+    lambda s, d: _forest(s, d).importance.agg(
         F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
         F.count_if(F.col("importance") < 0).alias("n_negative")))
 
@@ -198,8 +201,10 @@ register("M13_scoring_rules_ev", O.with_ev_clean(
 
 # M15 + IO9: train, save, load, score; the loaded model predicts as the fitted one.
 def _reload(s, d):
-    fitted = M.score(_forest(s, d)[1].model, ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("a"))
-    both = fitted.join(_scored(s, d).select("unique_key", F.col("predicted_days").alias("b")), "unique_key")
+    path, result = _saved_forest(s, d)
+    fitted = M.score(result.model, ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("a"))
+    loaded = M.score(M.load_model(path), ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("b"))
+    both = fitted.join(loaded, "unique_key")
     return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
 
 
@@ -208,9 +213,9 @@ register("M15_IO9_model_job_ev", O.with_ev_clean("SELECT COUNT(*) AS n_scored, 0
 
 # M8: the report's test metrics equal those worked out from the scored test rows.
 def _metric_check(s, d):
-    result = _forest(s, d)[1]
+    path, result = _saved_forest(s, d)
     test = M.prepare(ev_clean(s, d)).filter("is_test")
-    pred = M.load_model(_forest(s, d)[0]).transform(test)
+    pred = M.load_model(path).transform(test)
     e = F.abs(F.col(R) - F.col("prediction"))
     own = pred.agg(F.sum(e).alias("s"), F.sum(e * e).alias("q"), F.count(F.lit(1)).alias("n"))
     told = result.test_metrics.select("mae", "rmse", F.col("n").alias("told_n"))

@@ -197,3 +197,13 @@ def test_checkpoint_folder_is_reused_and_shared_paths_live_in_it(spark):
     first = ensure_checkpoint_dir(spark)
     assert first and ensure_checkpoint_dir(spark) == first
     assert shared_path(spark, "x").startswith(first)
+
+
+def test_forest_queries_fit_the_tables_as_they_are(spark, monkeypatch):
+    """A later call in the session fits again and returns the new numbers."""
+    fits = iter([1.5, 2.5])
+    monkeypatch.setattr(M, "train_random_forest", lambda df: M.TrainResult(
+        None, "Random Forest", None, None, 7, 3, cv_mae=next(fits)))
+    monkeypatch.setattr(M, "save_model", lambda model, path: path)
+    got = [SPARK["M9_cv_mae_forest_ev"](spark, SF_SMALL).first().cv_mae for _ in range(2)]
+    assert got == [1.5, 2.5]
