@@ -1,9 +1,11 @@
 """Every stage of the pipeline against a brute-force version, on its own input."""
 
 import re
+from collections import Counter
 
 import corpus_pipeline as cp
 from llm import test_bagminhash, test_line_templates, test_packing, test_pii_anchors
+from pyspark.sql import Row
 
 from civicflow.llm.pii_anchors import spans
 
@@ -17,7 +19,8 @@ def rules(rows):
     for r in rows:
         w = [x for x in re.split("[ \t\n\x0b\x0c\r]+", r.text or "") if x]
         grams = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
-        cover = {i + o for i, g in enumerate(grams) if grams.count(g) > 1 for o in range(5)}
+        times = Counter(grams)
+        cover = {i + o for i, g in enumerate(grams) if times[g] > 1 for o in range(5)}
         if len(w) < 10 or 100 * len(cover) > 20 * len(w):
             failed.add(r.doc_id)
         symbols = len(re.findall(r"[#*$%&|<>]", r.text or ""))
@@ -31,9 +34,20 @@ def rules(rows):
     return {r.doc_id for r in rows if r.doc_id not in failed and r.source not in bad}
 
 
+def long_rows(docs):
+    """Two near copies of over 40,000 characters, with an address at the end."""
+    words = ["w" + "".join(chr(97 + int(c)) for c in f"{i:05d}") for i in range(6500)]
+    first = docs.orderBy("doc_id").first()
+    lines = [" ".join(words[i:i + 13]) for i in range(0, len(words), 13)]
+    texts = ["\n".join(lines + [f"write to {who} at {who}@mail.example.org"]) for who in ("ann", "bob")]
+    assert min(map(len, texts)) > 40_000
+    last = docs.selectExpr("max(doc_id)").first()[0]
+    return [Row(**{**first.asDict(), "doc_id": last + 1 + i, "text": t, "n_chars": len(t)}) for i, t in enumerate(texts)]
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    rows = [r for r in docs.collect() if len(r.text or "") < 40_000]
+    rows = docs.collect() + long_rows(docs)
     docs = spark.createDataFrame(rows, docs.schema).repartition(3)
     for name, stage in cp.STAGES:
         out = cp.write_out(stage(spark, docs, SF), "test")
