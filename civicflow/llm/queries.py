@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     q_imatch,
     q_line_templates,
     q_packing,
+    q_piece_bpe,
     q_pii_anchors,
     q_rule_ensemble,
     q_substring_blocks,
