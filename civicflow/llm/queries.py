@@ -12,5 +12,6 @@ from . import (  # noqa: F401
     q_rule_ensemble,
     q_substring_blocks,
     q_warc_shards,
+    q_whitening,
 )
 from .registry import QUERIES, SQL  # noqa: F401
