@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     q_piece_bpe,
     q_pii_anchors,
     q_rule_ensemble,
+    q_spelling,
     q_substring_blocks,
     q_warc_shards,
     q_whitening,
