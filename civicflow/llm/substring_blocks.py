@@ -17,10 +17,13 @@ that a third of all documents share costs one entry a task.  Step 1 compares
 shortened hashes; a chance agreement only makes a window that step 2 compares
 by 64 bits.
 
+A document is a doc_id with a text, known by both and a 64-bit hash of them.
+
 Defined cases: a null text has no words; a null doc_id sorts first; rows with
-equal doc_id count as one document, and equal ones get equal results; an empty
-table gives an empty result; an input column named like an output is dropped.
-Texts are read whole.
+equal doc_id and text count as one document and get equal results; different
+texts under one doc_id (or under null) are different documents, ordered by
+their hashes; an empty table gives an empty result; other columns than doc_id
+and text are not read.  Ids are integers.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from .common import U64, map_arrow, mix, span_hashes, text_chunks, window_hashes
 from .graph import map_groups
 
 BLOCK = 10
-FIRST_ID = -(1 << 63)  # stands for a null doc_id
+FIRST_ID = -(1 << 63)  # stands for a null doc_id in the order of documents
 TASK_WORDS = 4_000_000
 BUCKET_WORDS = 2_000_000
 
@@ -102,16 +105,16 @@ def _probe(block: int, buckets: int, bits: int):
         def flush():
             value = np.concatenate([h[0] for h in held])
             kinds, many = np.unique(value, return_counts=True)
-            asks, doc, number = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
+            asks, node, number = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
             alone = many[np.searchsorted(kinds, asks)] == 1
             rows: list[tuple[int, bytes]] = []
             if not alone.all():  # known to stand twice already: passed on
                 rows.append((int(kinds[0] % U64(buckets)), pack_arrays([
-                    np.zeros(0, U64), np.zeros(0, "<u1"), np.zeros(0, U64), doc[~alone].view(U64), number[~alone]])))
-            asks, doc, number = asks[alone], doc[alone], number[alone]
+                    np.zeros(0, U64), np.zeros(0, "<u1"), np.zeros(0, U64), node[~alone].view(U64), number[~alone]])))
+            asks, node, number = asks[alone], node[alone], number[alone]
             cut = np.searchsorted(kinds * U64(buckets) >> U64(bits), np.arange(buckets + 1, dtype=U64))
             order = np.argsort(asks)
-            asks, doc, number = asks[order], doc[order], number[order]
+            asks, node, number = asks[order], node[order], number[order]
             ask_cut = np.searchsorted(asks * U64(buckets) >> U64(bits), np.arange(buckets + 1, dtype=U64))
             for b in range(buckets):
                 lo, hi = cut[b], cut[b + 1]
@@ -120,7 +123,7 @@ def _probe(block: int, buckets: int, bits: int):
                 x, y = ask_cut[b], ask_cut[b + 1]
                 rows.append((b, pack_arrays([
                     _smallest(_differences(kinds[lo:hi])), np.packbits(many[lo:hi] > 1),
-                    _smallest(np.searchsorted(kinds[lo:hi], asks[x:y])), doc[x:y].view(U64), _smallest(number[x:y])])))
+                    _smallest(np.searchsorted(kinds[lo:hi], asks[x:y])), node[x:y].view(U64), _smallest(number[x:y])])))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                                pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
 
@@ -129,8 +132,8 @@ def _probe(block: int, buckets: int, bits: int):
             h, at = w.windows(block)
             value = h >> U64(64 - bits)
             own = w.place[at] % block == 0
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            held.append((value, value[own], ids[w.row[at[own]]], (w.place[at[own]] // block).astype("<u4")))
+            nodes = part.column(0).to_numpy(zero_copy_only=False)
+            held.append((value, value[own], nodes[w.row[at[own]]], (w.place[at[own]] // block).astype("<u4")))
             size += len(value)
             if size >= TASK_WORDS:
                 yield flush()
@@ -142,17 +145,17 @@ def _probe(block: int, buckets: int, bits: int):
 
 def _anchors(cols) -> list[np.ndarray] | None:
     """Answers one bucket: the asking blocks whose value stands at least twice."""
-    values, weights, asked, docs, numbers, known = [], [], [], [], [], []
+    values, weights, asked, nodes, numbers, known = [], [], [], [], [], []
     for raw in cols["blob"]:
-        diff, twice, ask, doc, number = unpack_arrays(raw)
+        diff, twice, ask, node, number = unpack_arrays(raw)
         if len(diff) == 0:
-            known.append((doc.view(np.int64), number.astype(np.int64)))
+            known.append((node.view(np.int64), number.astype(np.int64)))
             continue
         value = np.cumsum(diff, dtype=U64)
         values.append(value)
         weights.append(1 + np.unpackbits(twice, count=len(value)))
         asked.append(value[ask])
-        docs.append(doc.view(np.int64))
+        nodes.append(node.view(np.int64))
         numbers.append(number.astype(np.int64))
     if values:
         value, weight, ask = np.concatenate(values), np.concatenate(weights), np.concatenate(asked)
@@ -161,29 +164,36 @@ def _anchors(cols) -> list[np.ndarray] | None:
         value, total = value[order], np.concatenate([[0], np.cumsum(weight[order], dtype=np.int64)])
         many = total[np.searchsorted(value, ask, side="right")] - total[np.searchsorted(value, ask, side="left")]
         hot = many > 1
-        known.append((np.concatenate(docs)[hot], np.concatenate(numbers)[hot]))
+        known.append((np.concatenate(nodes)[hot], np.concatenate(numbers)[hot]))
     return [np.concatenate(x) for x in zip(*known)]
 
 
 # -- step 2: repeats ---------------------------------------------------------
 
 _DOC, _BUCKET, _LOCAL, _ANSWER = 0, 1, 2, 3  # kinds of rows
-_ROW = "bucket int, home int, kind int, doc bigint, blob binary"
+_ROW = "bucket int, home int, kind int, doc bigint, node bigint, blob binary"
+_DOCUMENT = np.dtype([("doc", "<i8"), ("node", "<i8")])  # compares by doc_id, then hash
 
 
-def _home(doc: np.ndarray, homes: int) -> np.ndarray:
+def _home(node: np.ndarray, homes: int) -> np.ndarray:
     """The group of documents that a document belongs to."""
-    return (mix(doc.view(U64)) % U64(homes)).astype(np.int64)
+    return (mix(node.view(U64)) % U64(homes)).astype(np.int64)
+
+
+def _documents(doc: np.ndarray, node: np.ndarray) -> np.ndarray:
+    out = np.empty(len(doc), _DOCUMENT)
+    out["doc"], out["node"] = doc, node
+    return out
 
 
-def _late(h: np.ndarray, doc: np.ndarray, start: np.ndarray):
+def _late(h: np.ndarray, who: np.ndarray, start: np.ndarray):
     """Sorted copies, marks of the first of each hash, and marks of those that start later than it."""
-    order = np.lexsort((start, doc, h))
-    h, doc, start = h[order], doc[order], start[order]
+    order = np.lexsort((start, who["node"], who["doc"], h))
+    h, who, start = h[order], who[order], start[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    return h, doc, start, new, (doc != doc[lead]) | (start != start[lead])
+    return h, who, start, new, (who != who[lead]) | (start != start[lead])
 
 
 def _look_up(block: int, buckets: int):
@@ -194,29 +204,32 @@ def _look_up(block: int, buckets: int):
         held, size = [], 0
 
         def flush():
-            h, doc, start, new, late = _late(*(np.concatenate([x[i] for x in held]) for i in range(3)))
+            h, who, start, new, late = _late(*(np.concatenate([x[i] for x in held]) for i in range(3)))
             # Later ones within the task are repeats already.
-            rows = [(-1, *x) for x in _sent_home(doc[late], start[late], buckets, _LOCAL)]
-            h, doc, start = h[new], doc[new], start[new]
-            names, which = np.unique(doc, return_inverse=True)
+            rows = [(-1, *x) for x in _sent_home(who[late], start[late], buckets, _LOCAL)]
+            h, who, start = h[new], who[new], start[new]
+            names, which = np.unique(who, return_inverse=True)
             cut = np.searchsorted((h >> U64(32)) * U64(buckets) >> U64(32), np.arange(buckets + 1, dtype=U64))
             for b in range(buckets):
                 lo, hi = cut[b], cut[b + 1]
                 if lo < hi:
                     used, short = np.unique(which[lo:hi], return_inverse=True)
-                    rows.append((b, -1, _BUCKET, 0, pack_arrays([
-                        _differences(h[lo:hi]), names[used].view(U64), _smallest(short.astype(U64)),
+                    rows.append((b, -1, _BUCKET, 0, 0, pack_arrays([
+                        _differences(h[lo:hi]), *_columns(names[used]), _smallest(short.astype(U64)),
                         _smallest(start[lo:hi].astype(U64))])))
             return _rows(rows)
 
         for part, data, offsets in text_chunks(batches, "__text"):
             w = Words(data, offsets)
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            homes = _home(ids, buckets).tolist()
-            anchors = part.column(1).to_pylist()
+            known = part.column(0).is_valid().to_numpy(zero_copy_only=False).tolist()
+            ids = part.column(0).fill_null(FIRST_ID).to_numpy(zero_copy_only=False)
+            nodes = part.column(1).to_numpy(zero_copy_only=False)
+            who = _documents(ids, nodes)
+            homes = _home(nodes, buckets).tolist()
+            anchors = part.column(2).to_pylist()
             raw, rows = data.tobytes(), []
             near = np.zeros(len(w.row) + 1, np.int64)
-            for i, (doc, own) in enumerate(zip(ids.tolist(), anchors)):
+            for i, (doc, node, own) in enumerate(zip(ids.tolist(), nodes.tolist(), anchors)):
                 lo, hi = w.bounds[i], w.bounds[i + 1]
                 text = b""
                 if own and hi - lo >= k:
@@ -224,12 +237,13 @@ def _look_up(block: int, buckets: int):
                     at = np.array(own, np.int64) * block
                     np.add.at(near, lo + np.maximum(at - block, 0), 1)
                     np.add.at(near, np.minimum(lo + at + 1, hi), -1)
-                rows.append((-1, homes[i], _DOC, doc, _doc_blob(w, raw, i, text)))
+                blob = (b"+" if known[i] else b"-") + _doc_blob(w, raw, i, text)
+                rows.append((-1, homes[i], _DOC, doc, node, blob))
             yield _rows(rows)
             h, at = w.windows(k)
             use = np.cumsum(near)[at] > 0
             at = at[use]
-            held.append((h[use], ids[w.row[at]], w.place[at]))
+            held.append((h[use], who[w.row[at]], w.place[at]))
             size += len(at)
             if size >= TASK_WORDS // 4:
                 yield flush()
@@ -249,42 +263,47 @@ def _doc_blob(w: Words, raw: bytes, i: int, text: bytes) -> bytes:
     return b"K" + int(hi - lo).to_bytes(8, "little") + digest
 
 
-def _sent_home(doc: np.ndarray, start: np.ndarray, homes: int, kind: int) -> list[tuple]:
-    """(home, kind, 0, blob): one row for each home of documents, with the starts of their repeats."""
-    home = _home(doc, homes)
-    order = np.lexsort((start, doc, home))
-    home, doc, start = home[order], doc[order], start[order]
+def _columns(who: np.ndarray) -> list[np.ndarray]:
+    return [np.ascontiguousarray(who[c]).view(U64) for c in ("doc", "node")]
+
+
+def _sent_home(who: np.ndarray, start: np.ndarray, homes: int, kind: int) -> list[tuple]:
+    """(home, kind, 0, 0, blob): one row for each home of documents, with the starts of their repeats."""
+    home = _home(np.ascontiguousarray(who["node"]), homes)
+    order = np.lexsort((start, who["node"], who["doc"], home))
+    home, who, start = home[order], who[order], start[order]
     cuts = np.flatnonzero(np.append(True, home[1:] != home[:-1])) if len(home) else np.zeros(0, np.int64)
     out = []
     for lo, hi in zip(cuts, np.append(cuts[1:], len(home))):
-        names, many = np.unique(doc[lo:hi], return_counts=True)
-        out.append((int(home[lo]), kind, 0, pack_arrays([
-            names.view(U64), _smallest(many.astype(U64)), _smallest(start[lo:hi].astype(U64))])))
+        names, many = np.unique(who[lo:hi], return_counts=True)
+        out.append((int(home[lo]), kind, 0, 0, pack_arrays([
+            *_columns(names), _smallest(many.astype(U64)), _smallest(start[lo:hi].astype(U64))])))
     return out
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * 5
-    types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    cols = list(zip(*rows)) if rows else [()] * 6
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                      names=["bucket", "home", "kind", "doc", "blob"])
+                                      names=["bucket", "home", "kind", "doc", "node", "blob"])
 
 
 def _answer(homes: int):
     """One bucket: the windows that are not the earliest of their words.  Other rows pass."""
     def fn(cols):
         if cols["deal"][0] < 0:
-            return [cols["home"], cols["kind"], cols["doc"], np.array(cols["blob"], object)]
+            return [cols["home"], cols["kind"], cols["doc"], cols["node"], np.array(cols["blob"], object)]
         held = [unpack_arrays(x) for x in cols["blob"]]
         h = np.concatenate([np.cumsum(x[0], dtype=U64) for x in held])
-        doc = np.concatenate([x[1].view(np.int64)[x[2]] for x in held])
-        start = np.concatenate([x[3].astype(np.int64) for x in held])
-        h, doc, start, _, late = _late(h, doc, start)
-        rows = _sent_home(doc[late], start[late], homes, _ANSWER)
+        who = np.concatenate([_documents(x[1].view(np.int64), x[2].view(np.int64))[x[3]] for x in held])
+        start = np.concatenate([x[4].astype(np.int64) for x in held])
+        h, who, start, _, late = _late(h, who, start)
+        rows = _sent_home(who[late], start[late], homes, _ANSWER)
         if not rows:
             return None
-        home, kind, doc, blob = zip(*rows)
-        return [np.array(home, np.int32), np.array(kind, np.int32), np.array(doc, np.int64), np.array(blob, object)]
+        home, kind, doc, node, blob = zip(*rows)
+        return [np.array(home, np.int32), np.array(kind, np.int32), np.array(doc, np.int64), np.array(node, np.int64),
+                np.array(blob, object)]
     return fn
 
 
@@ -293,35 +312,37 @@ def _finish(block: int):
 
     def fn(cols):
         """The documents of one home: joins their repeats and takes the words out."""
-        starts: dict[int, list[np.ndarray]] = {}
+        starts: dict[tuple[int, int], list[np.ndarray]] = {}
         for blob, kind in zip(cols["blob"], cols["kind"]):
             if kind != _DOC:
-                names, many, start = unpack_arrays(blob)
-                for doc, s in zip(names.view(np.int64).tolist(), np.split(start.astype(np.int64), np.cumsum(many.astype(np.int64))[:-1])):
-                    starts.setdefault(doc, []).append(s)
+                docs, nodes, many, start = unpack_arrays(blob)
+                parts = np.split(start.astype(np.int64), np.cumsum(many.astype(np.int64))[:-1])
+                for who, s in zip(zip(docs.view(np.int64).tolist(), nodes.view(np.int64).tolist()), parts):
+                    starts.setdefault(who, []).append(s)
         out = []
-        for doc, blob, kind in zip(cols["doc"].tolist(), cols["blob"], cols["kind"]):
+        for who, blob, kind in zip(zip(cols["doc"].tolist(), cols["node"].tolist()), cols["blob"], cols["kind"]):
             if kind != _DOC:
                 continue
+            (doc, _), known, blob = who, blob[:1] == b"+", blob[1:]
             if blob[:1] == b"K":
-                out.append((doc, int.from_bytes(blob[1:9], "little"), 0, blob[9:].hex(), ""))
+                out.append((doc, known, int.from_bytes(blob[1:9], "little"), 0, blob[9:].hex(), ""))
                 continue
             text = pa.decompress(blob[1:-8], decompressed_size=int.from_bytes(blob[-8:], "little"), codec="zstd", asbytes=True)
             found = text.split()
             cover = np.zeros(len(found) + 1, np.int64)
-            for s in starts.get(doc, ()):
+            for s in starts.get(who, ()):
                 s = s[s + k <= len(found)]
                 np.add.at(cover, s, 1)
                 np.add.at(cover, s + k, -1)
             gone = np.cumsum(cover[:-1]) > 0
             edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
             kept = b" ".join([w for w, g in zip(found, gone.tolist()) if not g])
-            out.append((doc, len(found), int(gone.sum()), hashlib.sha256(kept).hexdigest(),
+            out.append((doc, known, len(found), int(gone.sum()), hashlib.sha256(kept).hexdigest(),
                         ",".join(f"{a}:{b}" for a, b in edge.reshape(-1, 2).tolist())))
         if not out:
             return None
-        doc, n, gone, sha, removed = zip(*out)
-        return [np.array(doc, np.int64), np.array(n, np.int64), np.array(gone, np.int64),
+        doc, known, n, gone, sha, removed = zip(*out)
+        return [np.array(doc, np.int64), np.array(known, bool), np.array(n, np.int64), np.array(gone, np.int64),
                 np.array(sha, object), np.array(removed, object)]
     return fn
 
@@ -332,22 +353,24 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
 
     ``removed`` lists the maximal exact repeats as ``first:end`` word numbers.
     """
-    src = df.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(FIRST_ID)).alias("doc"),
+    src = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"),
+                    F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")).alias("node"),
                     F.col(f"`{text}`").alias("__text"))
     size = (src.agg(F.sum(F.octet_length("__text"))).first()[0] or 0) // 6 + 1
-    buckets = buckets or max(1, -(-size // BUCKET_WORDS))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(tasks, -(-size // BUCKET_WORDS))
     bits = max(32, size.bit_length() + 5)
 
-    sent = map_arrow(src, _probe(block, buckets, bits), "bucket int, blob binary")
-    hot = map_groups(sent, ["bucket"], _anchors, "doc bigint, number bigint", ("blob",))
-    hot = hot.groupBy("doc").agg(F.collect_set("number").alias("anchors"))
+    sent = map_arrow(src.select("node", "__text"), _probe(block, buckets, bits), "bucket int, blob binary")
+    hot = map_groups(sent, ["bucket"], _anchors, "node bigint, number bigint", ("blob",))
+    hot = hot.groupBy("node").agg(F.collect_set("number").alias("anchors"))
 
-    both = src.join(hot, "doc", "left").select("doc", "anchors", "__text")
+    both = src.join(hot, "node", "left").select("doc", "node", "anchors", "__text")
     rows = map_arrow(both, _look_up(block, buckets), _ROW)
     dealt = rows.withColumn("deal", F.when(F.col("kind") == _BUCKET, F.col("bucket")).otherwise(-1 - F.col("home")))
-    dealt = dealt.select("deal", "home", "kind", "doc", "blob")
-    answered = map_groups(dealt, ["deal"], _answer(buckets), "home int, kind int, doc bigint, blob binary", ("blob",))
+    dealt = dealt.select("deal", "home", "kind", "doc", "node", "blob")
+    answered = map_groups(dealt, ["deal"], _answer(buckets), "home int, kind int, doc bigint, node bigint, blob binary",
+                          ("blob",))
     done = map_groups(answered, ["home"], _finish(block),
-                      "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed string", ("blob",))
-    return done.select(F.when(F.col("doc") != FIRST_ID, F.col("doc")).alias(doc_id),
-                       "n_words", "n_removed", "kept_sha256", "removed")
+                      "doc bigint, known boolean, n_words bigint, n_removed bigint, kept_sha256 string, removed string", ("blob",))
+    return done.select(F.when(F.col("known"), F.col("doc")).alias(doc_id), "n_words", "n_removed", "kept_sha256", "removed")

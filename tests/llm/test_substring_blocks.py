@@ -75,6 +75,42 @@ def test_nulls_repeats_and_extra_columns(spark):
     assert remove_repeats(df.limit(0)).collect() == []
 
 
+def test_different_texts_under_one_id(spark):
+    """Under an id, under null and under the smallest long: every text is a document of its own."""
+    a, b = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(80)]
+    rnd = random.Random(9)
+    rows = [(5, " ".join(a + a)), (5, " ".join(b)), (5, " ".join(b)), (-(1 << 63), " ".join(b[:25]))]
+    for d in (None, None, None, 7, 7, 8):
+        at = rnd.randrange(0, 50)
+        rows.append((d, " ".join(rnd.choices(a, k=15) + b[at:at + 25] + rnd.choices(a, k=15))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = df.selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS node").distinct().collect()
+    # Documents in the order of the rule, as numbers.
+    order = sorted(order, key=lambda r: (-(1 << 63) if r.doc_id is None else r.doc_id, r.node))
+    want = brute([(i, r.text) for i, r in enumerate(order)])
+    want = {(r.doc_id, *want[i]) for i, r in enumerate(order)}
+    for buckets in (None, 1, 7):
+        got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(df, buckets=buckets).collect()]
+        assert len(got) == len(rows) and set(got) == want
+    two = spark.createDataFrame(rows[:2], "doc_id long, text string")
+    assert {(r.n_words, r.n_removed) for r in remove_repeats(two).collect()} == {(80, 40), (80, 0)}
+
+
+def test_many_rows_without_an_id(spark):
+    """A third of all rows has no id: their anchors are not gathered under one key."""
+    rnd = random.Random(11)
+    shared = [f"s{i}" for i in range(30)]
+    rows = [(None if i % 3 == 0 else i, " ".join(rnd.choices("abcdefghij", k=30) + (shared if i % 2 else []) + [str(i)]))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = remove_repeats(df).collect()
+    order = df.selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS node").collect()
+    order = sorted(order, key=lambda r: (-(1 << 63) if r.doc_id is None else r.doc_id, r.node))
+    want = brute([(i, r.text) for i, r in enumerate(order)])
+    assert sorted((str(order[i].doc_id), *v) for i, v in want.items()) == sorted(
+        (str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got)
+
+
 def test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     assert run(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
