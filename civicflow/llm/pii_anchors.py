@@ -54,6 +54,8 @@ LABEL = frozenset(_LETTERS + "0123456789-")
 ALNUM = frozenset(_LETTERS + "0123456789")
 NAME = ALNUM | {"_"}
 PHONE_FILL = DIGITS | frozenset(" ().-")
+URL_STOP = re.compile(r"[\s\"'<>()\[\]{}|]")
+HOST_STOP = re.compile("[/?#]")
 
 _MACHINE: list = []
 
@@ -153,17 +155,25 @@ def is_phone(span: str) -> bool:
     return 8 <= sum(c in DIGITS for c in span) <= 15
 
 
-def url_span(text: str, start: int, after: int) -> tuple[int, int] | None:
-    """A URL with user data or a numeric host: up to white space, quotes or brackets."""
-    end = after
-    while end < len(text) and not text[end].isspace() and text[end] not in "\"'<>()[]{}|":
-        end += 1
-    while end > after and text[end - 1] in ".,;:!?":
-        end -= 1
-    host = re.split("[/?#]", text[after:end], maxsplit=1)[0]
-    user, sign, name = host.rpartition("@")
-    numeric = len(p := name.split(":")[0].split(".")) == 4 and all(x and set(x) <= DIGITS and small(x) for x in p)
-    return (start, end) if (sign and user and name) or numeric else None
+class UrlRun:
+    """Where the run of URL signs around the current anchor ends; found once for all anchors in it."""
+
+    def __init__(self, text: str):
+        self.text, self.stop, self.end = text, -1, 0
+
+    def span(self, start: int, after: int) -> tuple[int, int] | None:
+        """A URL with user data or a numeric host: up to white space, quotes or brackets."""
+        text = self.text
+        if after > self.stop:
+            found = URL_STOP.search(text, after)
+            self.stop = self.end = found.start() if found else len(text)
+            while self.end > after and text[self.end - 1] in ".,;:!?":
+                self.end -= 1
+        end = max(self.end, after)
+        cut = HOST_STOP.search(text, after, end)
+        user, sign, name = text[after:cut.start() if cut else end].rpartition("@")
+        numeric = len(p := name.split(":")[0].split(".", 4)) == 4 and all(x and set(x) <= DIGITS and small(x) for x in p)
+        return (start, end) if (sign and user and name) or numeric else None
 
 
 def handle_span(text: str, at: int) -> tuple[int, int] | None:
@@ -227,6 +237,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     if not text:
         return []
+    urls = UrlRun(text)
     done = dict.fromkeys(KINDS, 0)  # where the last match of a kind ended, kept or not
 
     def add(kind: str, span: tuple[int, int] | None, ok: bool = True) -> None:
@@ -258,7 +269,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             if end is not None:
                 add("phone", (start, end), is_phone(text[start:end]))
         elif what == "url":
-            add("url", url_span(text, start, last + 1))
+            if start >= done["url"]:
+                add("url", urls.span(start, last + 1))
         elif what == "iban":
             add("iban", iban_span(text, last + 1))
         elif what == "account":

@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -75,6 +77,51 @@ def test_added_kinds():
     assert spans("plain prose without any of it") == [] == spans(None)
 
 
+def plain_url(text, start, after):
+    """The rule for one scheme, read on its own."""
+    end = after
+    while end < len(text) and not text[end].isspace() and text[end] not in "\"'<>()[]{}|":
+        end += 1
+    while end > after and text[end - 1] in ".,;:!?":
+        end -= 1
+    user, sign, name = re.split("[/?#]", text[after:end])[0].rpartition("@")
+    parts = name.split(":")[0].split(".")
+    numeric = len(parts) == 4 and all(re.fullmatch("[0-9]+", x) and int(x) <= 255 for x in parts)
+    return (start, end) if (sign and user and name) or numeric else None
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(st.sampled_from(["http://", "ftp://", "a", "@", ".", "1.2.3.4", ":", "/", "?", " ", ",", "\u2003", "'", "1"]), max_size=14).map("".join))
+def test_random_urls(t):
+    want, done = [], 0
+    for m in re.finditer("http://|ftp://", t):
+        span = plain_url(t, m.start(), m.end())
+        if span and span[0] >= done:
+            want.append(("url", *span))
+            done = span[1]
+    assert [s for s in spans(t) if s[0] == "url"] == want
+
+
+@pytest.mark.parametrize("unit", ["http://", "https://a.", "http://a@", "http://1.2.3.4/", "http://...", "a@", "@", "@ab ", "x@y.", "+1", "+1 (", "1 ", "1.", "1-",
+                                  "IBAN ", "IBAN DE89 ", "IBANDE", "account: 1 ", "account ", "account no ", "token=", "token = a1", "token:a.b/",
+                                  "secret is ", "a.@", "..", "9" * 7, "(+1)", "api_key==="])
+def test_time_grows_with_the_text(unit):
+    """Four times the text takes about four times as long, whatever anchor it repeats."""
+    times = []
+    for n in (10_000, 40_000):
+        t = unit * n
+        start = time.process_time()
+        spans(t)
+        times.append(time.process_time() - start)
+    assert times[1] < 8 * max(times[0], 0.05)
+
+
+def test_many_schemes_in_one_run():
+    start = time.process_time()
+    assert spans("http://" * 200_000) == []
+    assert time.process_time() - start < 4
+
+
 def test_table(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in QUERIES["op3_pii_anchors"](spark, sf).collect()}
