@@ -14,12 +14,14 @@ length c with words of length c and c + 1.
    two grams with ``e2 - p1 >= 2 q`` every edit leaves one as it is, at the same
    distance from the start (the first) or from the end (the second).  For each
    word the pair with the shortest lists is taken; its two lists, by gram, side
-   and distance, are merged.
-4. What the lists bring together is verified by edit distance, inside the join.
+   and distance, are merged.  By the same bounds the words also agree up to sign
+   ``p1 + q``, or from sign ``e2 - q`` on.
+4. What the lists bring together is verified by that and by edit distance,
+   inside the join.
 
 Words longer than ``LONG`` have their two halves as grams: one edit leaves one
-of them.  Long lists are split into blocks of ``BLOCK`` probing words, each
-meeting the whole list in a task of its own, so a common gram does not end in
+of them.  Long lists are cut into blocks of probing and of listed words, and
+each two blocks meet in a group of their own, so a common gram does not end in
 one task; no pair is lost and none is written before it is verified.
 
 A word's form is its near word of largest count (ties: the smallest in
@@ -42,7 +44,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, runs, span_hashes, text_chunks, write_out
 
-MIN_GRAM, MAX_GRAM, PRUNE, LONG, BLOCK = 2, 8, 50, 64, 500
+MIN_GRAM, MAX_GRAM, PRUNE, LONG = 2, 8, 50, 64
+PROBE_BLOCK, LIST_BLOCK = 500, 5000
 RATIO = 5
 OUT = ["form", "root", "n", "n_near", "form_n"]
 
@@ -114,90 +117,135 @@ def dictionary(grams: DataFrame, prune: int = PRUNE) -> DataFrame:
     return counts.filter(short).unionByName(longer.join(often, ["c", "stem"], "left_semi").drop("stem"))
 
 
-def decompose(places: list[int], sizes: list[int]) -> list[int]:
-    """Indexes of a word's variable grams: the longest at each place, none inside an earlier one."""
-    best: dict[int, int] = {}
-    for k, (p, q) in enumerate(zip(places, sizes)):
-        if p not in best or q > sizes[best[p]]:
-            best[p] = k
-    out, reach = [], -1
-    for p in sorted(best):
-        k = best[p]
-        if p + sizes[k] > reach:
-            reach = p + sizes[k]
-            out.append(k)
-    return out
+def decompose(row: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Indexes of the words' variable grams, in order: the longest at each place, none inside an earlier one.
 
-
-def probes(spans: list[tuple[int, int, int]], q: int) -> tuple[int, int]:
-    """Of (start, end, list length) by place, the pair that no edit affects together, with the shortest lists.
-
-    Gram [p, e) is affected by edits at ``e - q`` to ``p + q - 1`` only.
+    ``row`` numbers the words, ``p`` and ``q`` are places and lengths of the
+    dictionary's grams in them.
     """
-    best = None
-    for a, (p, _, f) in enumerate(spans):
-        for b in range(len(spans) - 1, a, -1):
-            if spans[b][1] - p < 2 * q:
-                break
-            if best is None or f + spans[b][2] < best[0]:
-                best = (f + spans[b][2], a, b)
-    return best[1], best[2]
+    order = np.lexsort((q, p, row))
+    row, p, q = row[order], p[order], q[order]
+    longest = np.ones(len(row), bool)
+    longest[:-1] = (row[1:] != row[:-1]) | (p[1:] != p[:-1])
+    order, end = order[longest], (row * 4 * LONG + p + q)[longest]
+    reach = np.maximum.accumulate(end)
+    fresh = np.ones(len(end), bool)
+    fresh[1:] = end[1:] > reach[:-1]
+    return order[fresh]
+
+
+def probes(row: np.ndarray, p: np.ndarray, e: np.ndarray, f: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word, the pair of its grams that no edit affects together, with the shortest lists.
+
+    ``row`` (ascending), starts, ends (ascending in a row), list lengths and
+    the longest gram's length.  Gram [p, e) is affected by edits at ``e - q`` to
+    ``p + q - 1`` only, so the second must end 2 q after the first begins.
+    """
+    at = np.arange(len(row))
+    # The shortest list so far in each row: later rows have smaller values.
+    rank = f + (row[-1] - row) * (1 << 41) if len(row) else f
+    low = np.minimum.accumulate(rank)
+    first = np.ones(len(row), bool)
+    first[1:] = low[1:] < low[:-1]
+    where = np.maximum.accumulate(np.where(first, at, 0))
+    # The last gram that begins early enough for each one to be the second.
+    limit = np.searchsorted(row * 4 * LONG + p, row * 4 * LONG + e - 2 * q, side="right") - 1
+    fits = (limit >= 0) & (row[limit] == row) & (limit < at)
+    left, right = where[limit[fits]], at[fits]
+    cost = f[left] + f[right]
+    order = np.lexsort((right, cost, row[right]))
+    left, right = left[order], right[order]
+    best = np.ones(len(right), bool)
+    best[1:] = row[right[1:]] != row[right[:-1]]
+    return left[best], right[best]
+
+
+_PLACE, _SIZE = 44, 40  # bits of a packed gram: place, length (4 bits), list length
 
 
 def _entries(words: DataFrame, prune: int) -> DataFrame:
-    """(c, gram, side, d, probe, word, n): every variable gram of every word, from both ends.
+    """(key, side, probe, keep, word, n): every variable gram of every word, from both ends.
 
-    ``probe`` marks the word's own two grams, in the class of its length.
+    ``key`` hashes class, gram, side and distance (a chance agreement only
+    brings words together that are then told apart).  ``probe`` marks the
+    word's own two grams, in the class of its length; ``keep`` is how many
+    signs on that side no edit can have changed that leaves the gram.
     """
-    short = words.filter(F.col("size") <= LONG)
-    grams = _grams(short)
+    grams = _grams(words.filter(F.col("size") <= LONG))
     known = write_out(dictionary(grams, prune), "grams")
-    found = grams.join(known, ["c", "gram"]).groupBy("c", "word", "n").agg(
-        F.collect_list(F.struct("p", "gram", "f")).alias("grams"))
+    packed = (F.shiftleft(F.col("p").cast("long"), _PLACE) + F.shiftleft(F.length("gram").cast("long"), _SIZE)
+              + F.least(F.col("f"), F.lit((1 << _SIZE) - 1)))
+    found = grams.join(known, ["c", "gram"]).groupBy("c", "word", "n").agg(F.collect_list(packed).alias("grams"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for c, word, n, grams in zip(*(x.to_pylist() for x in batch.columns)):
-                size, q = len(word), min(c // 2, MAX_GRAM)
-                chosen = decompose([g["p"] for g in grams], [len(g["gram"]) for g in grams])
-                spans = [(grams[k]["p"], grams[k]["p"] + len(grams[k]["gram"]), grams[k]["f"]) for k in chosen]
-                left, right = probes(spans, q) if c == size else (None, None)
-                for i, (k, (p, e, _)) in enumerate(zip(chosen, spans)):
-                    rows.append((c, grams[k]["gram"], "L", p, i == left, word, n))
-                    rows.append((c, grams[k]["gram"], "R", size - e, i == right, word, n))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.string(), pa.int32(),
-                                                                 pa.bool_(), pa.string(), pa.int64()))], names=names)
-
-    names = ["c", "gram", "side", "d", "probe", "word", "n"]
-    out = map_arrow(found, run, "c int, gram string, side string, d int, probe boolean, word string, n bigint")
+            if batch.num_rows == 0:
+                continue
+            words, listed = batch.column(1).to_pylist(), batch.column(3)
+            flat = listed.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(listed.offsets.to_numpy()))
+            p, q, f = flat >> _PLACE, (flat >> _SIZE) & 15, flat & ((1 << _SIZE) - 1)
+            use = decompose(row, p, q)
+            row, p, e, f = row[use], p[use], (p + q)[use], f[use]
+            c = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.array([len(w) for w in words], np.int64)
+            own = np.flatnonzero((c == size)[row])
+            left, right = probes(row[own], p[own], e[own], f[own], np.minimum(c // 2, MAX_GRAM)[row[own]])
+            marks = np.zeros((2, len(row)), bool)
+            marks[0, own[left]] = marks[1, own[right]] = True
+            take = pa.array(row)
+            text = [words[r][a:b] for r, a, b in zip(row.tolist(), p.tolist(), e.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), pa.array(text, pa.string()), pa.array(p.astype(np.int32)),
+                 pa.array((size[row] - e).astype(np.int32)), pa.array(marks[0]), pa.array(marks[1]),
+                 batch.column(1).take(take), batch.column(2).take(take)],
+                names=["c", "gram", "l", "r", "left", "right", "word", "n"])
+
+    out = map_arrow(found, run, "c int, gram string, l int, r int, left boolean, right boolean, word string, n bigint")
+    longest = F.least(F.expr("c div 2"), F.lit(MAX_GRAM)).cast("int")
+    out = out.filter(F.col("c") < LONG).withColumn("e", F.explode(F.array(
+        F.struct(F.lit("L").alias("side"), F.col("l").alias("d"), F.col("left").alias("probe"), (F.col("l") + longest).alias("keep")),
+        F.struct(F.lit("R").alias("side"), F.col("r").alias("d"), F.col("right").alias("probe"), (F.col("r") + longest).alias("keep")))))
+    out = out.select("c", "gram", "e.side", "e.d", "e.probe", "e.keep", "word", "n")
     # Halves of long words; a word of LONG + 1 signs is looked for among those of LONG as well.
     halves = words.filter(F.col("size") > LONG).withColumn("c", F.explode(F.array(F.col("size"), F.col("size") - 1)))
     edge = words.filter(F.col("size") == LONG).withColumn("c", F.col("size"))
-    halves = halves.unionByName(edge).filter(F.col("c") >= LONG).withColumn("h", F.expr("c div 2"))
+    halves = halves.unionByName(edge).filter(F.col("c") >= LONG).withColumn("h", F.expr("int(c div 2)"))
     halves = halves.withColumn("e", F.explode(F.array(
-        F.struct(F.lit("l").alias("side"), F.expr("substr(word, 1, h)").alias("gram")),
-        F.struct(F.lit("r").alias("side"), F.expr("substr(word, -h, h)").alias("gram")))))
-    halves = halves.select("c", F.md5(F.col("e.gram").cast("binary")).alias("gram"), F.col("e.side").alias("side"),
-                           F.lit(0).alias("d"), (F.col("c") == F.col("size")).alias("probe"), "word", "n")
-    return out.filter((F.col("c") < LONG)).unionByName(halves)
+        F.struct(F.lit("L").alias("side"), F.expr("substr(word, 1, h)").alias("gram")),
+        F.struct(F.lit("R").alias("side"), F.expr("substr(word, -h, h)").alias("gram")))))
+    halves = halves.select("c", "e.gram", "e.side", F.lit(-1).alias("d"), (F.col("c") == F.col("size")).alias("probe"),
+                           F.col("h").alias("keep"), "word", "n")
+    return out.unionByName(halves).select(
+        F.xxhash64("c", "gram", "side", "d").alias("key"), "side", "probe", "keep", "word", "n")
 
 
-def near_pairs(words: DataFrame, prune: int = PRUNE, block: int = BLOCK) -> DataFrame:
+def near_pairs(words: DataFrame, prune: int = PRUNE, probe_block: int = PROBE_BLOCK,
+               list_block: int = LIST_BLOCK) -> DataFrame:
     """(a, a_n, b, b_n): each two near words of ``words`` (word, n, size) once."""
     entries = write_out(_entries(words, prune), "gram-entries")
-    key = ["c", "gram", "side", "d"]
-    own = entries.filter("probe")
-    blocks = write_out(own.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "gram-lists")
-    # A list's words stand in every block of its probing words.
-    listed = entries.join(blocks, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    probing = own.join(blocks, key).withColumn("part", F.pmod(F.xxhash64("word"), F.col("blocks").cast("long")).cast("int"))
-    a = probing.select(*key, "part", F.col("word").alias("a"), F.col("n").alias("a_n"))
-    b = listed.select(*key, "part", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    sizes = entries.groupBy("key").agg(F.count_if("probe").alias("asking"), F.count(F.lit(1)).alias("listed"))
+    sizes = write_out(sizes.filter("asking > 0 AND listed > 1").select(
+        "key", F.ceil(F.col("asking") / probe_block).cast("int").alias("rows"),
+        F.ceil(F.col("listed") / list_block).cast("int").alias("cols")), "gram-lists")
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in its own block, for every block of the other kind."""
+        side = side.join(sizes, "key")
+        mine = F.pmod(F.xxhash64("word"), F.col(own).cast("long")).cast("int")
+        side = side.withColumn("mine", mine).withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        side = side.drop("rows", "cols").withColumnsRenamed({"mine": own, "theirs": other})
+        return side.repartition(parts, "key", "rows", "cols")
+
+    block = ["key", "rows", "cols"]
+    a = dealt(entries.filter("probe").select("key", "side", "keep", F.col("word"), F.col("n").alias("a_n")), "rows", "cols")
+    b = dealt(entries.select("key", "word", F.col("n").alias("b_n")), "cols", "rows")
+    a, b = a.withColumnRenamed("word", "a"), b.withColumnRenamed("word", "b")
     once = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
-    met = a.join(b, [*key, "part"]).filter(once & (F.levenshtein("a", "b", 1) == 1))
+    agree = F.when(F.col("side") == "L", F.expr("substr(a, 1, keep) = substr(b, 1, keep)")).otherwise(
+        F.expr("substr(a, -keep, keep) = substr(b, -keep, keep)"))
+    met = a.join(b.hint("merge"), block).filter(once & agree & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 

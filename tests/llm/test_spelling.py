@@ -106,7 +106,7 @@ def test_hot_lists_are_split(spark):
     words = {"pre" + "".join(rnd.choice("ab") for _ in range(7)) + "ing" for _ in range(90)}
     words |= {"".join(rnd.choice("abcdefgh") for _ in range(9)) for _ in range(150)}
     df = spark.createDataFrame([(w, 9, len(w)) for w in words], "word string, n long, size int")
-    got = [(r.a, r.b) for r in near_pairs(df, block=7).collect()]
+    got = [(r.a, r.b) for r in near_pairs(df, probe_block=7, list_block=11).collect()]
     assert len(got) == len(set(map(frozenset, got)))
     near = brute(dict.fromkeys(words, 9))
     assert Counter(w for p in got for w in p) == Counter({w: v[3] for w, v in near.items() if v[3]})
@@ -128,11 +128,31 @@ def test_one_of_the_two_grams_survives_every_edit(word, data):
     known = {w[:k] for w in longer for k in range(3, len(w) + 1) if k <= q}
 
     def grams(w):
-        spots = [(p, k) for p in range(len(w)) for k in range(2, q + 1) if p + k <= len(w) and (k == 2 or w[p:p + k] in known)]
-        return [spots[i] for i in decompose([p for p, _ in spots], [k for _, k in spots])]
+        """Read plainly: the longest gram at each place, unless an earlier one covers it."""
+        out, reach = [], -1
+        for p in range(len(w) - 1):
+            k = max(k for k in range(2, q + 1) if p + k <= len(w) and (k == 2 or w[p:p + k] in known))
+            if p + k > reach:
+                out.append((p, k))
+                reach = p + k
+        return out
 
     own = grams(word)
-    a, b = probes([(p, p + k, data.draw(st.integers(1, 9))) for p, k in own], q)
+    spots = np.array([(p, k) for p in range(len(word)) for k in range(2, q + 1)
+                      if p + k <= len(word) and (k == 2 or word[p:p + k] in known)])
+    both = np.vstack([spots, spots])[np.random.default_rng(1).permutation(2 * len(spots))]
+    two = np.repeat([0, 1], len(spots))[np.random.default_rng(1).permutation(2 * len(spots))]
+    chosen = decompose(two, both[:, 0], both[:, 1])
+    assert [tuple(x) for x in both[chosen].tolist()] == own + own
+    p, e = both[chosen][:, 0], both[chosen].sum(axis=1)
+    f = np.array([data.draw(st.integers(1, 9)) for _ in chosen])
+    lefts, rights = probes(two[chosen], p, e, f, np.full(len(p), q))
+    assert two[chosen][lefts].tolist() == two[chosen][rights].tolist() == [0, 1]
+    for x, y in zip(lefts, rights):
+        cheapest = min(f[i] + f[j] for i in range(len(p)) for j in range(len(p))
+                       if two[chosen][i] == two[chosen][j] == two[chosen][x] and e[j] - p[i] >= 2 * q)
+        assert f[x] + f[y] == cheapest and e[y] - p[x] >= 2 * q
+    a, b = int(lefts[0]), int(rights[0])
     left = (word[own[a][0]:][:own[a][1]], own[a][0])
     right = (word[own[b][0]:][:own[b][1]], len(word) - own[b][0] - own[b][1])
     for i in range(len(word) + 1):
