@@ -12,16 +12,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.expressions import day_period
 from ..operators.cleaning import floor_prediction, model_rows, off_hours, response_class
+from . import bundle as B
+from .forest import MIN_SPLIT, node_memory_mb, with_min_split
 
 LABEL = "response_time_days"
 FEATURES = S.BASE_FEATURES + S.ENGINEERED_FEATURES
@@ -131,14 +131,14 @@ def encode(train: DataFrame) -> PipelineModel:
 
 
 def forest(num_trees: int = 100, max_depth: int = 15, min_leaf: int = 2, seed: int = 42,
-           max_bins: int = 64, max_memory_mb: int = 64) -> RandomForestRegressor:
+           max_bins: int = 64, max_memory_mb: int = 256) -> RandomForestRegressor:
     """M7: random forest regressor with the reference's sizes.
 
     ``max_memory_mb`` bounds the node statistics of one task; it decides how
-    many nodes a pass over the data trains, not the trees.
-
-    ``min_samples_split`` has no Spark counterpart; ``minInstancesPerNode``
-    carries the leaf minimum.  Node ids are cached and checkpointed to the
+    many nodes a pass over the data trains, not the trees (see
+    ``forest.node_memory_mb``).  ``minInstancesPerNode`` carries the leaf
+    minimum; the minimum split is applied to the fitted trees
+    (``forest.with_min_split``).  Node ids are cached and checkpointed to the
     shared checkpoint folder so deep trees do not grow an endless lineage.
     """
     return RandomForestRegressor(
@@ -189,48 +189,86 @@ def prepare(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     return with_split(engineer_features(model_rows(df)), test_size, seed)
 
 
-def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42,
-                        num_trees: int = 100, max_depth: int = 15, cv_folds: int = FOLDS,
-                        max_memory_mb: int = 64, parallelism: int = 2) -> TrainResult:
-    """Split, fit, metrics on both parts, k-fold CV MAE, importances.
+_MODEL_COLUMNS = [f"{c}_txt" for c in S.CATEGORICAL_FEATURES] + [
+    f"{c}_num" if c in S.BOOLEAN_FEATURES else c for c in FEATURES if c not in S.CATEGORICAL_FEATURES]
+
 
-    The prepared rows are cached while the fits read them and released at the
-    end.  ``cv_folds`` is 0 (no cross-validation) or up to ``FOLDS``.
+def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, num_trees: int = 100,
+                        max_depth: int = 15, min_split: int = MIN_SPLIT, min_leaf: int = 2,
+                        cv_folds: int = FOLDS, max_memory_mb: int | None = None) -> TrainResult:
+    """Split, fit, minimum split, metrics on both parts, k-fold CV MAE, importances.
+
+    The prepared rows are scanned once; all fits, folds and metrics read one
+    cached table of encoded vectors, which is released at the end.
+    ``cv_folds`` is 0 (no cross-validation) or up to ``FOLDS``.
+    ``max_memory_mb`` defaults to what the widest level's nodes need
+    (``forest.node_memory_mb``), so a level takes few passes over the vectors.
     """
-    data = prepare(df, test_size, seed).cache()
+    spark = df.sparkSession
+    data = prepare(df, test_size, seed).select(*_MODEL_COLUMNS, LABEL, "is_test", "fold").cache()
+    encoded = None
     try:
-        train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-        enc = encode(train)
-        rf = forest(num_trees, max_depth, seed=seed, max_memory_mb=max_memory_mb)
-        encoded = enc.transform(train).select("features", LABEL, "fold")
-        rf_model = rf.fit(encoded)
-        model = PipelineModel(stages=list(enc.stages) + [rf_model])
-        cv_mae = cross_validated_mae(encoded, rf, cv_folds, parallelism) if cv_folds > 1 else None
+        enc = encode(data.filter(~F.col("is_test")))
+        encoded = enc.transform(data).select("features", LABEL, "is_test", "fold").cache()
+        n_train, n_test = split_sizes(encoded)
+        data.unpersist()
+        train, test = encoded.filter(~F.col("is_test")), encoded.filter(F.col("is_test"))
+        if max_memory_mb is None:
+            max_memory_mb = node_memory_mb(_bins(enc), num_trees, max_depth, n_train, min_leaf)
+        rf = forest(num_trees, max_depth, min_leaf, seed, max_memory_mb=max_memory_mb)
+
+        def finish(fitted):
+            return with_min_split(fitted, spark, min_split)
+
+        rf_model = finish(rf.fit(train))
+        cv_mae = cross_validated_mae(train, rf, cv_folds, finish) if cv_folds > 1 else None
         imp = rf_model.featureImportances.toArray().tolist()
-        importance = df.sparkSession.createDataFrame(
+        importance = spark.createDataFrame(
             [(f, float(v)) for f, v in zip(FEATURES, imp)], "feature string, importance double")
-        n_train, n_test = split_sizes(data)
         return TrainResult(
-            model=model, model_type="Random Forest", train_metrics=_told(metrics(model.transform(train))),
-            test_metrics=_told(metrics(model.transform(test))),
-            train_size=n_train, test_size=n_test, cv_mae=cv_mae, importance=importance)
+            model=PipelineModel(stages=list(enc.stages) + [rf_model]), model_type="Random Forest",
+            train_metrics=_told(metrics(rf_model.transform(train))),
+            test_metrics=_told(metrics(rf_model.transform(test))),
+            train_size=n_train, test_size=n_test, cv_mae=cv_mae, importance=importance,
+            extra={"label_maps": label_maps(enc), "split": {"test_size": test_size, "seed": seed},
+                   "sizes": {"num_trees": num_trees, "max_depth": max_depth, "min_split": min_split, "min_leaf": min_leaf}})
     finally:
         data.unpersist()
+        if encoded is not None:
+            encoded.unpersist()
+
+
+def label_maps(enc: PipelineModel) -> dict[str, list[str]]:
+    """Feature -> labels in the order of their codes, from a fitted encoding."""
+    return {c: list(labels) for c, labels in zip(S.CATEGORICAL_FEATURES, enc.stages[0].labelsArray)}
+
+
+def _bins(enc: PipelineModel, max_bins: int = 64) -> int:
+    """Bins of all features: labels, months, hours, quarters and two for each flag."""
+    labels = sum(min(max_bins, len(x) + 1) for x in enc.stages[0].labelsArray)
+    return labels + 24 + 12 + 4 + 2 * len(S.BOOLEAN_FEATURES)
 
 
-def cross_validated_mae(train: DataFrame, estimator, folds: int = FOLDS, parallelism: int = 2) -> float:
-    """M9: k-fold CV mean absolute error with a one-point grid.
+def cross_validated_mae(train: DataFrame, estimator, folds: int = FOLDS, finish=None) -> float:
+    """M9: k-fold CV mean absolute error.
 
     Folds are the rows' own ``fold`` (with fewer folds, modulo their number),
-    so they repeat under any partitioning.
+    so they repeat under any partitioning.  ``finish`` is applied to every
+    fold's fitted model, as to the model itself.  A fold without rows of its
+    own does not count.
     """
     if not 2 <= folds <= FOLDS:
         raise ValueError(f"folds must be 2 to {FOLDS}")
     rows = train.withColumn("fold", F.col("fold") % folds)
-    ev = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mae")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        numFolds=folds, foldCol="fold", parallelism=parallelism)
-    return float(cv.fit(rows).avgMetrics[0])
+    errors = []
+    for k in range(folds):
+        model = estimator.fit(rows.filter(F.col("fold") != k))
+        model = finish(model) if finish else model
+        held = model.transform(rows.filter(F.col("fold") == k))
+        mae = held.agg(F.avg(F.abs(F.col(LABEL) - F.col("prediction")))).first()[0]
+        if mae is not None:
+            errors.append(mae)
+    return float(sum(errors) / len(errors))
 
 
 def top_features(importance: DataFrame, n: int = 5) -> DataFrame:
@@ -280,15 +318,21 @@ def score(model: PipelineModel, tickets: DataFrame, floor: float = 0.1,
     )
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    """IO9: persist the whole pipeline (encoders + model)."""
-    model.write().overwrite().save(path)
-    return path
+def save_model(result: TrainResult, path: str) -> str:
+    """IO9: persist the whole pipeline (encoders + model) with its manifest."""
+    manifest = B.Manifest(
+        model_type=result.model_type, features=list(FEATURES), label=LABEL,
+        label_maps=result.extra.get("label_maps", {}), split=result.extra.get("split", {}),
+        sizes=result.extra.get("sizes", {}), train_size=result.train_size, test_size=result.test_size,
+        importance=[[r.feature, r.importance] for r in result.importance.collect()] if result.importance is not None else [],
+        inputs=B.inputs_digest(S.CLEAN))
+    return B.save(result.model, manifest, path)
 
 
-def load_model(path: str) -> PipelineModel:
-    """IO9: load a persisted pipeline."""
-    return PipelineModel.load(path)
+def load_model(spark, path: str) -> PipelineModel:
+    """IO9: load a persisted pipeline whose manifest fits this library's features and input schema."""
+    model, _ = B.load(spark, path, features=list(FEATURES), label=LABEL, inputs=B.inputs_digest(S.CLEAN))
+    return model
 
 
 def model_report(result: TrainResult) -> DataFrame:
@@ -312,7 +356,7 @@ def run_model_job(df: DataFrame, model_path: str | None = None, **kw) -> dict:
     """Train, save, report and score the clean table."""
     result = train_random_forest(df, **kw)
     if model_path:
-        save_model(result.model, model_path)
+        save_model(result, model_path)
     return {
         "result": result,
         "report": model_report(result),

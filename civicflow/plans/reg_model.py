@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..session import shared_path
+from . import bundle as B
+from . import forest as N
 from . import model as M
 from . import oracle_sql as O
 from .registry import CK, R, cont, ev_clean, register, round_doubles, sql_round
@@ -70,9 +72,10 @@ register("M1_M6_feature_matrix_ev", cont(O.with_ev_clean(
     _FEATURE_SQL + f"\nSELECT {', '.join(_MATRIX)} FROM mx")))(
     lambda s, d: _model_frame(s, d)[0].select(*_MATRIX))
 
-register("M4_label_codes_ev", cont(O.with_ev_clean(_FEATURE_SQL + "\n" + "\nUNION ALL\n".join(
+_LABEL_SQL = cont(O.with_ev_clean(_FEATURE_SQL + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, v AS value, CAST(code AS BIGINT) AS code FROM codes_{c}"
-    for c in S.CATEGORICAL_FEATURES))))(
+    for c in S.CATEGORICAL_FEATURES)))
+register("M4_label_codes_ev", _LABEL_SQL)(
     lambda s, d: M.label_codes(M.prepare(ev_clean(s, d)).filter(~F.col("is_test")))
     .withColumn("code", F.col("code").cast("long")))
 
@@ -147,27 +150,27 @@ err AS (SELECT tr.fold, AVG(abs(y - a - b * x)) AS e FROM tr JOIN fit ON tr.fold
 # The 13-feature scaled baseline with both parts' metrics.
 register("M12_linear_baseline_ev")(lambda s, d: M.model_report(M.train_linear_regression(ev_clean(s, d))))
 
-# Each query fits the forest on the tables as they are then.
-def _forest(s, d):
-    return M.train_random_forest(ev_clean(s, d))
+# Each query fits the forest on the tables as they are then; only M9 and M14 need the folds' fits.
+def _forest(s, d, cv_folds=0):
+    return M.train_random_forest(ev_clean(s, d), cv_folds=cv_folds)
 
 
 def _saved_forest(s, d):
     """(path of the saved model, its result)."""
     result = _forest(s, d)
-    return M.save_model(result.model, f"{shared_path(s, 'forest')}-{uuid.uuid4().hex}"), result
+    return M.save_model(result, f"{shared_path(s, 'forest')}-{uuid.uuid4().hex}"), result
 
 
 def _scored(s, d):
     """The forest saved, loaded again and applied to every clean ticket."""
-    return M.score(M.load_model(_saved_forest(s, d)[0]), ev_clean(s, d))
+    return M.score(M.load_model(s, _saved_forest(s, d)[0]), ev_clean(s, d))
 
 
-register("M7_M14_forest_report_ev")(lambda s, d: M.model_report(_forest(s, d)))
+register("M7_M14_forest_report_ev")(lambda s, d: M.model_report(_forest(s, d, M.FOLDS)))
 
 
 def _forest_cv(s, d):
-    result = _forest(s, d)
+    result = _forest(s, d, M.FOLDS)
     return s.createDataFrame([("Random Forest", M.FOLDS, result.cv_mae, result.train_size)],
                              "model string, folds int, cv_mae double, train_rows long")
 
@@ -177,11 +180,61 @@ register("M10_top_features_ev")(lambda s, d: M.top_features(_forest(s, d).import
 register("M13_batch_scoring_ev")(
     lambda s, d: _scored(s, d).select("unique_key", "predicted_days", "predicted_class", "off_hours"))
 
-# One importance for each feature, none negative, together 1.
-register("M10_importance_sums_ev", "SELECT CAST(13 AS BIGINT) AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS n_negative")(
-    lambda s, d: _forest(s, d).importance.agg(
+# The importances equal those worked out from the saved node table, one for each feature.
+def _importances(s, d):
+    path, result = _saved_forest(s, d)
+    names = s.createDataFrame(list(enumerate(M.FEATURES)), "feature_no int, feature string")
+    own = N.importances(_nodes(s, path)).withColumnRenamed("feature", "feature_no").withColumnRenamed("importance", "own")
+    both = result.importance.join(names, "feature").join(own, "feature_no", "left")
+    agrees = F.abs(F.col("importance") - F.coalesce(F.col("own"), F.lit(0.0))) < 1e-9
+    return both.agg(
         F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
-        F.count_if(F.col("importance") < 0).alias("n_negative")))
+        F.count_if(F.col("importance") < 0).alias("n_negative"), F.count_if(agrees).alias("n_recomputed"),
+        F.lit(result.train_size).cast("long").alias("train_rows"))
+
+
+def _nodes(s, path):
+    """The node table of a saved bundle's forest (its last stage)."""
+    stage = len(B.read_manifest(s, path).stages) - 1
+    return N.node_table(f"{path}/pipeline/stages/{stage}_*", s)
+
+
+register("M10_importance_sums_ev", cont(O.with_ev_clean(
+    _FEATURE_SQL + f"\nSELECT CAST({len(M.FEATURES)} AS BIGINT) AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS n_negative, "
+    f"CAST({len(M.FEATURES)} AS BIGINT) AS n_recomputed, COUNT(*) FILTER (WHERE NOT is_test) AS train_rows FROM m0")))(_importances)
+
+
+# M7: in the saved node table no node under the minimum split has children, leaves keep the leaf
+# minimum, every tree's leaves hold its root's rows, and node numbers are places in preorder.
+def _node_rules(s, d):
+    path, result = _saved_forest(s, d)
+    flat = _nodes(s, path).select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    tree = flat.groupBy("treeID").agg(
+        F.count_if(inner & (F.col("rawCount") < N.MIN_SPLIT)).alias("small"),
+        F.count_if(~inner & (F.col("rawCount") < 2)).alias("thin"),
+        (F.sum(F.when(~inner, F.col("rawCount"))) == F.max(F.when(F.col("id") == 0, F.col("rawCount")))).alias("whole"),
+        ((F.max("id") + 1 == F.count(F.lit(1))) & F.bool_and(~inner | (F.col("leftChild") == F.col("id") + 1))).alias("numbered"))
+    return tree.agg(
+        F.count(F.lit(1)).alias("n_trees"), F.sum("small").alias("n_small_inner"), F.sum("thin").alias("n_thin_leaves"),
+        F.bool_and("whole").alias("leaves_hold_all"), F.bool_and("numbered").alias("numbered"),
+        F.lit(result.train_size).cast("long").alias("train_rows"))
+
+
+register("M7_min_split_nodes_ev", cont(O.with_ev_clean(
+    _FEATURE_SQL + "\nSELECT 100::BIGINT AS n_trees, 0::BIGINT AS n_small_inner, 0::BIGINT AS n_thin_leaves, true AS leaves_hold_all, "
+    "true AS numbered, COUNT(*) FILTER (WHERE NOT is_test) AS train_rows FROM m0")))(_node_rules)
+
+
+# IO9: the saved manifest's label maps are the label codes of the training rows.
+def _label_maps(s, d):
+    path, _ = _saved_forest(s, d)
+    maps = B.read_manifest(s, path).label_maps
+    return s.createDataFrame([(f, v, i) for f, labels in maps.items() for i, v in enumerate(labels)],
+                             "feature string, value string, code long")
+
+
+register("IO9_bundle_label_maps_ev", _LABEL_SQL)(_label_maps)
 
 # M13 + P21-P23: scores of every ticket keep the floor, their class follows
 # from the days, and the hour flag is the ticket's own.
@@ -203,7 +256,7 @@ register("M13_scoring_rules_ev", O.with_ev_clean(
 def _reload(s, d):
     path, result = _saved_forest(s, d)
     fitted = M.score(result.model, ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("a"))
-    loaded = M.score(M.load_model(path), ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("b"))
+    loaded = M.score(M.load_model(s, path), ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("b"))
     both = fitted.join(loaded, "unique_key")
     return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
 
@@ -215,7 +268,7 @@ register("M15_IO9_model_job_ev", O.with_ev_clean("SELECT COUNT(*) AS n_scored, 0
 def _metric_check(s, d):
     path, result = _saved_forest(s, d)
     test = M.prepare(ev_clean(s, d)).filter("is_test")
-    pred = M.load_model(path).transform(test)
+    pred = M.load_model(s, path).transform(test)
     e = F.abs(F.col(R) - F.col("prediction"))
     own = pred.agg(F.sum(e).alias("s"), F.sum(e * e).alias("q"), F.count(F.lit(1)).alias("n"))
     told = result.test_metrics.select("mae", "rmse", F.col("n").alias("told_n"))

@@ -80,8 +80,8 @@ def test_forest_beats_mean_and_persists(spark):
     top = [r.feature for r in M.top_features(res.importance, 2).collect()]
     assert "complaint_category" in top or "created_hour" in top
     p = os.path.join(_tmp(), "model")
-    M.save_model(res.model, p)
-    scored = M.score(M.load_model(p), df)
+    M.save_model(res, p)
+    scored = M.score(M.load_model(spark, p), df)
     assert scored.count() == df.count()
     assert scored.filter(F.col("predicted_days") < 0.1).count() == 0
 
@@ -175,7 +175,7 @@ def test_jobs_clean_sql_model(spark):
     out = jobs.model_job(spark, f"{d}/ev", f"{d}/model", f"{d}/m", num_trees=5, max_depth=4,
                          cv_folds=2)
     assert {r["metric"] for r in out["report"]} == {"mae", "rmse", "r2", "size"}
-    assert M.load_model(f"{d}/model") is not None
+    assert M.load_model(spark, f"{d}/model") is not None
 
 
 def test_filters_and_columns_reach_the_clean_scan(spark):
@@ -202,8 +202,8 @@ def test_checkpoint_folder_is_reused_and_shared_paths_live_in_it(spark):
 def test_forest_queries_fit_the_tables_as_they_are(spark, monkeypatch):
     """A later call in the session fits again and returns the new numbers."""
     fits = iter([1.5, 2.5])
-    monkeypatch.setattr(M, "train_random_forest", lambda df: M.TrainResult(
+    monkeypatch.setattr(M, "train_random_forest", lambda df, cv_folds: M.TrainResult(
         None, "Random Forest", None, None, 7, 3, cv_mae=next(fits)))
-    monkeypatch.setattr(M, "save_model", lambda model, path: path)
+    monkeypatch.setattr(M, "save_model", lambda result, path: path)
     got = [SPARK["M9_cv_mae_forest_ev"](spark, SF_SMALL).first().cv_mae for _ in range(2)]
     assert got == [1.5, 2.5]
