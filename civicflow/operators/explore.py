@@ -165,23 +165,30 @@ def density_grid(df: DataFrame, cell: float = 0.01, digits: int | None = None) -
     )
 
 
+_ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id: the row's number within its task
+MERGE_TASKS = 64
+
+
+def _smallest(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The ``n`` first rows of every task's own rows."""
+    ranked = df.sortWithinPartitions(*order).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
+    return ranked.filter(F.col("_i") < n).drop("_i")
+
+
 def seeded_sample(df: DataFrame, n: int = 5000, seed: int = 42, key: str = "unique_key") -> DataFrame:
     """A fixed-size, repeatable sample: the ``n`` rows with the smallest
     ``md5(seed:key)`` (ties by key); all rows where there are no more than ``n``.
 
-    Independent of partitioning.  A plain top-k would send every partition's
-    ``n`` best rows to one task, so a histogram of the hash's first four
-    digits (65,536 rows at most) first finds the prefix that ``n`` rows do not
-    exceed, and only rows up to it are ordered.  One lazy plan.
+    Independent of partitioning, in one pass over the input.  Every task keeps
+    its own ``n`` smallest; these meet in ``MERGE_TASKS`` tasks, which keep
+    theirs again, and only their rows are ordered at the end.  So no task gets
+    ``n`` rows from every other one.
     """
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     scored = df.withColumn("_h", F.coalesce(h, F.lit("")))
-    prefix = F.substring("_h", 1, 4)
-    running = F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    edge = scored.groupBy(prefix.alias("_p")).count().withColumn("_cum", running).filter(F.col("_cum") >= n)
-    edge = edge.agg(F.coalesce(F.min("_p"), F.lit("~")).alias("_edge"))  # "~": above any prefix
-    near = scored.crossJoin(F.broadcast(edge)).filter(prefix <= F.col("_edge"))
-    return near.orderBy("_h", key).limit(n).select(*df.columns)
+    order = ["_h", key]
+    kept = _smallest(scored, order, n).repartition(MERGE_TASKS, "_h")
+    return _smallest(kept, order, n).orderBy(*order).limit(n).select(*df.columns)
 
 
 def summary_stats(df: DataFrame, digits: int | None = None, approx: bool = False) -> DataFrame:

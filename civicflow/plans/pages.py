@@ -62,13 +62,19 @@ def response_page(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def diagnostics_page(df: DataFrame) -> dict[str, DataFrame]:
-    """Diagnostics page."""
+    """Diagnostics page (D1-D5): the rate table is worked out once and all five read it.
+
+    It has a row for each borough, each category and the total, and stays
+    cached (``page["rates"].unpersist()`` releases it).
+    """
+    rates = D.rate_table(df).cache()
     return {
-        "kpis": D.headline_kpis(df),
-        "boroughs": D.borough_scorecard(df),
-        "attention": D.category_attention(df),
-        "recommendations": D.recommendations(df),
-        "score": D.system_score(df),
+        "kpis": D.headline_kpis(rates),
+        "boroughs": D.borough_scorecard(rates),
+        "attention": D.category_attention(rates),
+        "recommendations": D.recommendations(rates),
+        "score": D.system_score(rates),
+        "rates": rates,
     }
 
 
