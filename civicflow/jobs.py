@@ -17,13 +17,13 @@ import json
 
 from pyspark.sql import SparkSession
 
-from .operators import cleaning as C
 from .operators import explore as X
+from .operators.observed import observe_cleaning
 from .plans import model as M
 from .plans import performance as P
 from .session import build_session, configure
 from .sources import export_results, read_clean, requests_ev, requests_ord
-from .sources.tickets import load_table, write_table, write_with_count
+from .sources.tickets import load_table, write_table
 
 VIEWS = {"ev": requests_ev, "ord": requests_ord}
 
@@ -31,29 +31,20 @@ VIEWS = {"ev": requests_ev, "ord": requests_ord}
 def clean_job(spark: SparkSession, sf_dir: str, out: str, view: str = "ev",
               max_days: float = 90) -> dict:
     """Build the view, clean it (P18), write it partitioned by year/month (IO4)
-    and return the cleaning report's small parts (P8, A14, A18).
+    and return the cleaning report (P8, A12, A14, A17, A18).
 
-    The outlier count (P8) is observed on the chain just before the outlier
-    filter, so it comes out of the same job as the write: one pass over the
-    view.
+    Everything but the exact median comes out of the write's own job: NULL
+    counts before and after, outliers removed, profile and closed times are
+    observed on the chain (``operators.observed``).  The median reads one
+    column of the written table.
     """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-    timed = C.calculate_response_time(C.normalize_dates(VIEWS[view](spark, sf_dir)))
-    obs = Observation("outliers")
-    timed = timed.observe(obs, F.count_if(C.outlier_predicate(max_days)).alias("outliers"))
-    clean = (timed.transform(C.translate_data)
-                  .transform(C.clean_outliers, max_days)
-                  .transform(C.standardize_categories)
-                  .transform(C.handle_missing_values)
-                  .transform(C.add_derived_features))
-    rows = write_with_count(clean, out, partition_by=["created_year", "created_month"])
-    written = read_clean(spark, out)
-    profile = X.dataset_profile(written).first().asDict()
-    times = X.closed_time_stats(written).first().asDict()
-    return {"rows_written": rows, "outliers_removed": int(obs.get["outliers"]),
-            "profile": {k: str(v) for k, v in profile.items()},
-            "response_time": times}
+    observed = observe_cleaning(VIEWS[view](spark, sf_dir), max_days)
+    write_table(observed.clean, out, partition_by=["created_year", "created_month"], rebalance=False)
+    report = observed.report()
+    median = X.closed_time_stats(read_clean(spark, out)).select("median_days").first()[0]
+    report["response_time"] |= {"median_days": median}
+    report["profile"] = {k: str(v) for k, v in report["profile"].items()}
+    return report
 
 
 def sql_job(spark: SparkSession, clean_path: str, out_dir: str,

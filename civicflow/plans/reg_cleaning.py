@@ -189,14 +189,67 @@ def _durable_table(s, d):
     return load_table(s, ev_clean(s, d), name, durable=True)
 
 
-def _export_round_trip(s, d):
+def _exported(s, d):
+    """IO8: all six named results written as CSV, every file read back in its declared types."""
     from ..sources.tickets import export_results
-    from .performance import borough_performance, resolution_percentages
-    clean = ev_clean(s, d)
-    results = {"borough_performance": borough_performance(clean), "resolution_percentages": resolution_percentages(clean)}
+    from .performance import run_all
+    results = run_all(ev_clean(s, d), monthly_input=ord_clean(s, d))
     written = export_results(results, _io_path(s, "export"))
-    schema = results["borough_performance"].schema
-    return s.read.schema(schema).option("header", True).csv(written["borough_performance"])
+    return {name: s.read.schema(results[name].schema).option("header", True)
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path) for name, path in written.items()}
+
+
+def _exported_values(s, d):
+    from .performance import long_form
+    return long_form(_exported(s, d))
+
+
+def _replaced_table(s, d):
+    """IO5: a table loaded with the closed tickets, then replaced by all of them."""
+    import uuid
+    from ..functions.expressions import is_closed
+    from ..sources.tickets import drop_old_loads, load_table
+    name = f"tickets_{uuid.uuid4().hex}"
+    clean = ev_clean(s, d)
+    before = load_table(s, clean.filter(is_closed("status")), name, durable=True)
+    load_table(s, clean, name, durable=True)
+    # The reader of the first load still finds its rows.
+    old = before.groupBy("borough").agg(F.count(F.lit(1)).alias("n")).withColumn("load", F.lit("first"))
+    new = s.table(name).groupBy("borough").agg(F.count(F.lit(1)).alias("n")).withColumn("load", F.lit("second"))
+    return new.unionByName(old).select("load", "borough", "n")
+
+
+def _observed_census(s, d):
+    """A17 around the cleaning, P8 and A14, all observed on the write."""
+    from ..operators.observed import observe_cleaning
+    from ..sources.tickets import write_table
+    observed = observe_cleaning(requests_ev(s, d))
+    write_table(observed.clean, _io_path(s, "observed"), partition_by=["created_year", "created_month"], rebalance=False)
+    r = observed.report()
+    rows = [("before", c, n) for c, n in r["nulls_before"].items()] + [("after", c, n) for c, n in r["nulls_after"].items()]
+    rows += [("before", "total", r["null_total_before"]), ("after", "total", r["null_total_after"]),
+             ("rows", "read", r["rows_read"]), ("rows", "written", r["rows_written"]), ("rows", "outliers", r["outliers_removed"])]
+    rows += [("profile", k, r["profile"][k]) for k in ("closed_records", "n_boroughs", "n_complaint_types")]
+    return s.createDataFrame(rows, "stage string, column_name string, n long")
+
+
+def _clean_by_selection(s, d):
+    """P17 on files clustered by borough and category: the filter skips row groups."""
+    from ..sources.tickets import read_clean, write_table
+    path = write_table(ev_clean(s, d), _io_path(s, "clustered"), partition_by=["created_year", "created_month"],
+                       cluster_by=["borough", "complaint_category"])
+    return C.filter_selection(read_clean(s, path), "Queens", "Ruído").select("unique_key", "borough", "complaint_category")
+
+
+def _stored_distinct(s, d):
+    """A14 from stored monthly sketches beside the exact numbers."""
+    from ..sources.sketches import COLUMNS, distinct_estimates, write_sketches
+    clean = ev_clean(s, d)
+    path = write_sketches(clean, _io_path(s, "sketches"))
+    exact = clean.agg(*[F.count_distinct(c).alias(c) for c in COLUMNS]).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_exact")) for c in COLUMNS])).alias("e")).select("e.*")
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.02 * F.col("n_exact")
+    return distinct_estimates(s, path).join(exact, "column_name").select("column_name", "n_exact", near.alias("within_2_percent"))
 
 
 register("IO1_IO3_raw_parquet_round_trip_ev", O.with_ev_raw("SELECT * FROM raw"))(
@@ -206,4 +259,36 @@ register("IO2_IO4_clean_csv_round_trip_ev", O.with_ev_clean("SELECT * FROM clean
 register("IO2_IO4_clean_csv_round_trip_ord", O.with_ord_clean("SELECT * FROM clean"))(
     _clean_csv_round_trip(ord_clean))
 register("IO5_durable_table_ev", O.with_ev_clean("SELECT * FROM clean"))(_durable_table)
-register("IO8_export_round_trip_ev", SQL["Q4_borough_performance"])(_export_round_trip)
+register("IO5_replaced_table_ev", O.with_ev_clean(
+    "SELECT 'second' AS load, borough, COUNT(*) AS n FROM clean GROUP BY borough UNION ALL "
+    f"SELECT 'first', borough, COUNT(*) FROM clean WHERE {O.CLOSED} GROUP BY borough"))(_replaced_table)
+register("IO8_export_round_trip_ev", SQL["Q4_borough_performance"])(lambda s, d: _exported(s, d)["borough_performance"])
+register("IO8_export_all_values", SQL["Q7_run_all_values"])(_exported_values)
+
+_RAW_NAMES = ["unique_key", "created_date", "closed_date", "complaint_type", "borough", "zip_code", "latitude", "longitude", "status"]
+
+
+def _nulls(stage: str, names: list[str], source: str) -> str:
+    each = [f"SELECT '{stage}' AS stage, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS n FROM {source}" for c in names]
+    total = " + ".join(f"COUNT(*) - COUNT({c})" for c in names)
+    return "\nUNION ALL\n".join(each + [f"SELECT '{stage}', 'total', {total} FROM {source}"])
+
+
+def _census_oracle() -> str:
+    from .. import schema as S
+    return O.with_ev_clean("\nUNION ALL\n".join([
+        _nulls("before", _RAW_NAMES, "raw"), _nulls("after", _RAW_NAMES + [f.name for f in S.CLEAN_ADDED.fields], "clean"),
+        "SELECT 'rows', 'read', COUNT(*) FROM raw", "SELECT 'rows', 'written', COUNT(*) FROM clean",
+        "SELECT 'rows', 'outliers', COUNT(*) FROM raw WHERE date_diff('microsecond', created_date, closed_date) / 86400000000.0::DOUBLE > 90",
+        f"SELECT 'profile', 'closed_records', COUNT(*) FROM clean WHERE {O.CLOSED}",
+        "SELECT 'profile', 'n_boroughs', COUNT(DISTINCT borough) FROM clean",
+        "SELECT 'profile', 'n_complaint_types', COUNT(DISTINCT complaint_type) FROM clean"]))
+
+
+register("A14_A17_P8_observed_cleaning_ev", _census_oracle())(_observed_census)
+register("P17_filter_clustered_ev", O.with_ev_clean(
+    "SELECT unique_key, borough, complaint_category FROM clean WHERE borough = 'Queens' AND complaint_category = 'Ruído'"))(
+    _clean_by_selection)
+register("A14_A19_stored_distinct_ev", O.with_ev_clean("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_exact, true AS within_2_percent FROM clean"
+    for c in ("borough", "complaint_type", "complaint_category", "zip_code", "unique_key"))))(_stored_distinct)

@@ -7,6 +7,7 @@ and cast to the declared types; types are never inferred from values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,19 +65,29 @@ def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: Sequence[str] | None = None) -> str:
+                partition_by: Sequence[str] | None = None, rebalance: bool = True,
+                cluster_by: Sequence[str] | None = None, block_bytes: int | None = None) -> str:
     """IO3 / IO4: overwrite a ticket table.
 
     A clean table partitioned by ``created_year, created_month`` lets later
     date filters prune whole folders.  Its rows are first dealt out by those
     columns, hot ones to several tasks (a rebalance), so the number of files
-    follows the data's size instead of tasks times folders.
+    follows the data's size instead of tasks times folders; ``rebalance=False``
+    leaves rows that were dealt out before as they are.
+
+    ``cluster_by`` orders the rows inside each file, so that a filter on those
+    columns skips the row groups (of ``block_bytes``) and pages whose ranges
+    do not hold its value (P17: borough and category).
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
+    if cluster_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *cluster_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if block_bytes:
+        w = w.option("parquet.block.size", block_bytes)
     if fmt == "csv":
         w.option("header", True) \
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
@@ -87,10 +98,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 def write_with_count(df: DataFrame, path: str, fmt: str = "parquet",
                      partition_by: Sequence[str] | None = None) -> int:
-    """IO3/IO4 + IO6: write and return the row count from the same job."""
+    """IO3/IO4 + IO6: write and return the row count from the same job.
+
+    Rows are counted in the stage that writes, after they are dealt out: a
+    task before that shuffle may run twice where an executor is lost.
+    """
     from pyspark.sql import Observation
     obs = Observation("rows")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by, rebalance=False)
     return int(obs.get["rows"])
 
 
@@ -98,16 +115,48 @@ def load_table(spark: SparkSession, df: DataFrame, name: str = "tickets",
                durable: bool = False, location: str | None = None) -> DataFrame:
     """IO5: register a table under ``name``, replacing any previous one.
 
-    A durable table's files go to ``location`` (default: the shared folder).
+    A durable table's files go below ``location`` (default: the shared
+    folder).  Every load writes a folder of its own, and the catalog's table is
+    pointed at it once the write has succeeded: readers that started before
+    keep the old files, and a failed write leaves the table as it was.
+    ``drop_old_loads`` removes what no reader needs any more.
     """
-    if durable:
-        where = location or shared_path(spark, f"tables/{name}")
-        df.write.mode("overwrite").option("path", where).saveAsTable(name)
+    if not durable:
+        df.createOrReplaceTempView(name)
         return spark.table(name)
-    df.createOrReplaceTempView(name)
+    where = f"{(location or shared_path(spark, f'tables/{name}')).rstrip('/')}/load-{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=where, source="parquet")
+    elif spark.table(name).schema.jsonValue() == spark.read.parquet(where).schema.jsonValue():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{where}'")
+        spark.catalog.refreshTable(name)
+    else:  # other columns: the catalog entry itself is made anew, the old files stay
+        spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=where, source="parquet")
     return spark.table(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder of the current load of a durable table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def drop_old_loads(spark: SparkSession, name: str) -> list[str]:
+    """Removes the folders of earlier loads beside the current one; returns them."""
+    jvm = spark.sparkContext._jvm
+    current = jvm.org.apache.hadoop.fs.Path(table_location(spark, name))
+    fs = current.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in fs.listStatus(current.getParent()):
+        found = status.getPath()
+        if found.getName().startswith("load-") and found.getName() != current.getName():
+            fs.delete(found, True)
+            gone.append(found.toString())
+    return gone
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """IO6: post-load row count as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -85,7 +85,7 @@ def test_q7_keeps_the_windows(spark):
 
 def test_durable_table(spark, clean, tmp_path):
     back = load_table(spark, clean, "tickets_durable", durable=True, location=str(tmp_path / "t"))
-    assert back.count() == clean.count() and glob.glob(f"{tmp_path}/t/*.parquet")
+    assert back.count() == clean.count() and glob.glob(f"{tmp_path}/t/load-*/*.parquet")
     spark.sql("DROP TABLE tickets_durable")
 
 
