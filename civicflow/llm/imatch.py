@@ -17,7 +17,8 @@ that are not empty in both.
 Defined cases: a null text is empty; an empty fingerprint has likeness 1 to an
 empty one and 0 to others; null ids come first in the order of documents;
 repeated rows count each (one follows the other); a single document follows
-itself; other columns are not read.  Texts are read whole.
+itself; other columns are not read.  Ids are integers of up to 64 bits, however
+they lie; rows with one id stay in one range.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .id_ranges import id_ranges, let, numbers
+
 MIN_RATIO, MAX_RATIO = 10, 100
 FAMILIES, RATES = 4, 9
-BUCKET_ROWS = 512
+CELL_ROWS, MOST_CELL_ROWS, CELLS = 32, 100_000, 8192
 SUBSETS = [(f, f"{65536 >> r:04x}") for f in range(FAMILIES) for r in range(1, RATES + 1)]
 NO_TERMS = "-"
 
@@ -45,11 +48,6 @@ def lexicon(df: DataFrame, text: str = "text") -> list[str]:
     return sorted(r["term"] for r in band.collect())
 
 
-def let(value: Column, use) -> Column:
-    """``use`` of a value that is worked out once, however often it is named there."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def signature(text: Column, words: list[str]) -> Column:
     """The 36 subset hashes of a text (``-``: no term in the subset)."""
     specs = F.array(*[F.struct(F.lit(a).alias("family"), F.lit(b).alias("below")) for a, b in SUBSETS])
@@ -80,31 +78,36 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(equal / either)
 
 
-def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text", cell_rows: int = CELL_ROWS,
+              also: dict[str, Column] | None = None) -> DataFrame:
     """(doc_id, text, next_text): each document beside the next by id, the last beside the first.
 
-    Ids are dealt into buckets of consecutive ids with about ``bucket_rows``
-    rows; the next text comes from a window in the bucket.  Only the last row
-    of a bucket joins the first of the next one.  Texts are shuffled once.
+    Ids are cut into cells of about ``cell_rows`` rows or 1/``CELLS`` of all;
+    a window in the cell gives the next text.  The rows with a cell's smallest
+    id, which the cut tells, also stand at the end of the cell before, so no
+    join is needed and texts are shuffled once.  Rows without an id come first,
+    in cells by the hash of their text.  ``also`` names further values of a row
+    that are wanted of the next row as well (``next_<name>``); they are worked
+    out before the shuffle, once a row.
     """
-    key = F.col(f"`{doc_id}`").cast("long")
-    low, high, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
-    low, high = low or 0, high or 0
-    span = max(1, (high - low + 1) * bucket_rows // max(n, 1))
-    base = df.select(F.coalesce(F.floor((key - F.lit(low)) / span), F.lit(-1)).alias("bucket"),
-                     key.alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    w = Window.partitionBy("bucket").orderBy(F.col("id").asc_nulls_first(), "text")
-    lined = base.withColumn("next_text", F.lead("text").over(w)).withColumn("place", F.row_number().over(w))
-    inner = lined.filter(F.col("next_text").isNotNull()).select("id", "text", "next_text")
-    # A row for each bucket: few, and numbers only.
-    order = Window.orderBy("bucket")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follow = base.select("bucket").distinct().select(
-        "bucket", F.coalesce(F.lead("bucket").over(order), F.min("bucket").over(whole)).alias("next_bucket"))
-    first = lined.filter("place = 1").select(F.col("bucket").alias("next_bucket"), F.col("text").alias("next_text"))
-    last = lined.filter(F.col("next_text").isNull()).select("bucket", "id", "text")
-    last = last.join(follow, "bucket").join(first, "next_bucket").select("id", "text", "next_text")
-    return inner.unionByName(last).withColumnRenamed("id", doc_id)
+    id_, body = F.col(f"`{doc_id}`").cast("long"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    n = df.count()
+    cells = max(CELLS, n // MOST_CELL_ROWS)
+    no_id = id_ranges(df.filter(id_.isNull()), F.xxhash64(body), cell_rows, cells)
+    ids = id_ranges(df, id_, cell_rows, cells)
+    lows = [c[0] for c in no_id.cells + ids.cells]
+    names = ["text", *(also or {})]
+    base = df.select(id_.alias("id"), body.alias("text"), *[v.alias(k) for k, v in (also or {}).items()],
+                     F.coalesce(id_, F.xxhash64(body)).alias("key"))
+    own = F.when(F.col("id").isNull(), no_id.cell(F.col("key"))).otherwise(ids.cell(F.col("key")) + len(no_id.cells))
+    placed = base.withColumn("cell", own)
+    first = F.col("key") == F.get(numbers(lows or [0], "bigint"), F.col("cell"))
+    here = F.struct("cell", F.lit(False).alias("again"))
+    before = F.struct(F.pmod(F.col("cell") - 1, F.lit(max(1, len(lows)))).alias("cell"), F.lit(True).alias("again"))
+    dealt = placed.withColumn("at", F.explode(F.when(first, F.array(here, before)).otherwise(F.array(here))))
+    w = Window.partitionBy("at.cell").orderBy("at.again", "key", "text")
+    lined = dealt.withColumn("next", F.lead(F.struct(*names)).over(w)).filter(~F.col("at.again"))
+    return lined.select(F.col("id").alias(doc_id), *names, *[F.col(f"next.{c}").alias(f"next_{c}") for c in names])
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -124,15 +127,14 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, and two likenesses."""
     words = lexicon(df, text)
-    rows = with_next(df, doc_id, text).select(
-        doc_id, "text", "next_text", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    # The lexicon stands in the plan once: one expression signs all three texts.
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = with_next(df, doc_id, text, also={"fingerprint": F.array_join(signature(body, words), ".")})
+    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     signed = rows.select(doc_id, F.length("text").cast("long").alias("n_chars"),
-                         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-                         F.transform(F.array("text", "edited", "next_text"), lambda t: signature(t, words)).alias("sig"))
-    own, changed, following = (F.col("sig")[i] for i in range(3))
-    return signed.select(doc_id, "n_chars", "edited_sha256",
-                         F.array_join(own, ".").alias("fingerprint"),
-                         F.array_join(changed, ".").alias("edited_fingerprint"),
-                         likeness(own, changed).alias("near_edited"),
-                         likeness(own, following).alias("near_next"))
+                         F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint",
+                         F.array_join(signature(F.col("edited"), words), ".").alias("edited_fingerprint"), "next_fingerprint")
+
+    def near(other: str) -> Column:
+        return likeness(F.split("fingerprint", r"\."), F.split(other, r"\."))
+    return signed.select(doc_id, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                         near("edited_fingerprint").alias("near_edited"), near("next_fingerprint").alias("near_next"))

@@ -14,7 +14,8 @@ Of pages with equal payloads of at least ``min_bytes``, the one with the
 smallest page_id is a response and the others revisit it.
 
 Defined cases: a null html is an empty payload; a null url becomes a URN; a
-null page_id has no id header, sorts first and is never referred to; rows with
+null page_id has no id header, sorts first and is never referred to; ids are
+integers of up to 64 bits; other columns are not read; rows with
 the smallest page_id of their payload are all responses; an empty table gives
 no files.
 """
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, shared_folder, write_out
+from .id_ranges import id_ranges
 
 MIN_BYTES = 100
 SHARD_ROWS = 2048
@@ -172,17 +174,16 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
                    min_bytes: int = MIN_BYTES, shard_rows: int = SHARD_ROWS, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Writes ``folder``/shard-*.warc.gz and returns the committed manifest.
 
-    Bodies are shuffled once.  A shard's width in ids comes from the ids'
-    density, so a shard has about ``shard_rows`` pages.
+    Bodies are shuffled once.  Shards are ranges of ids cut where the pages
+    are, of about ``shard_rows`` pages each; those without an id are dealt to
+    shards of their own by digest.
     """
     spark = pages.sparkSession
     where, path = pafs.FileSystem.from_uri(folder)
     where.create_dir(f"{path}/_temporary", recursive=True)
     key = F.col(f"`{page_id}`").cast("long")
-    low, high, n = pages.agg(F.min(key), F.max(key), F.count(key)).first()
-    low, high = low or 0, high or 0
-    width = max(1, (high - low + 1) * shard_rows // max(n, 1))
-    shard = F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / width) + 1, F.lit(0))
+    ranges = id_ranges(pages, key, shard_rows)
+    shard = ranges.number(F.col("page_id"), F.col("digest"))
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     rows = pages.select(key.alias("page_id"), F.sha2(body, 256).alias("digest"), F.lit(1).alias("kind"),
                         F.lit(None).cast("long").alias("refers_to"), F.col(f"`{url}`").alias("url"),

@@ -20,15 +20,21 @@ def test_edits_are_nearer_than_neighbours(spark):
     assert sum(r.near_edited for r in rows) > 5 * sum(r.near_next for r in rows)
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 3, 512])
-def test_next_document_with_gaps(spark, bucket_rows):
+@pytest.mark.parametrize("cell_rows", [1, 3, 512])
+def test_next_document_with_gaps(spark, cell_rows):
     ids = [5, -3, 100, 101, 102, 4000, None, 7]
     df = spark.createDataFrame([(i, f"t{i}", 0) for i in ids], "doc_id long, text string, bucket int")
-    got = {r.doc_id: r.next_text for r in with_next(df, bucket_rows=bucket_rows).collect()}
+    got = {r.doc_id: r.next_text for r in with_next(df, cell_rows=cell_rows).collect()}
     order = [None, -3, 5, 7, 100, 101, 102, 4000]
     assert got == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
 
 
+def test_texts_are_shuffled_once(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    plan = edit_likeness(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
 def test_nulls_repeats_and_odd_texts(spark):
     rows = [(1, None), (2, ""), (3, "Été ÉTÉ été, 12"), (4, "été 12"), (5, "x " * 100_000), (5, "x " * 100_000), (6, "!?")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
