@@ -74,7 +74,7 @@ def box_summary(df: DataFrame, by: str = "complaint_category", value: str = DAYS
     stats = stats.withColumns(fences)
     # Whiskers and outliers come from the same value counts as the quartiles.
     v, c, low, high = F.col("c._v"), F.col("c._c"), F.col("s.lower_fence"), F.col("s.upper_fence")
-    out = counts.counts.alias("c").join(stats.alias("s"), F.col("c._g0").eqNullSafe(F.col(f"s.{by}"))).groupBy(
+    out = counts.counts.alias("c").join(stats.alias("s"), F.col("c._g.g0").eqNullSafe(F.col(f"s.{by}"))).groupBy(
         *[F.col(f"s.{x}").alias(x) for x in (by, "n", *cols[:7])]).agg(
         F.coalesce(F.sum(F.when((v < low) | (v > high), c)), F.lit(0)).alias("n_outliers"),
         F.min(F.when(v >= low, v)).alias("lower_whisker"),

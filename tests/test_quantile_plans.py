@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from civicflow.functions import quantiles as Q
 from civicflow.functions.quantiles import ValueCounts, bucket, grouped_quantiles
 from civicflow.operators import cleaning as C
 from civicflow.operators import explore as X
@@ -56,7 +57,7 @@ def test_missing_rank_raises(spark):
 
     class Broken(ValueCounts):
         def _pick(self, hist, probs, few):
-            return super()._pick(hist, probs, few).filter("_x0 = 123.0")
+            return super()._pick(hist, probs, few).filter("_v = 123.0")
 
     for by in (["g"], []):
         with pytest.raises(Exception, match="a rank was not found"):
@@ -76,3 +77,42 @@ def test_no_rows_and_null_values(spark):
     assert [tuple(r) for r in got] == [(None, 2, 1, 1.0)]
     one = grouped_quantiles(df.limit(0), [], "v", [0.5], ["q"], extra={"rows": "rows", "m": "mean"}).collect()
     assert [tuple(r) for r in one] == [(0, None, None)]
+
+
+def test_ten_million_values_in_one_bucket(spark, monkeypatch):
+    """No window sees over 1 % of the values, and the ranks are exact."""
+    n = 10_000_000
+    lo, width = 10.0, 10.0 / (4 * Q.PER_E)  # one bucket is about 10 / 4096 wide
+    df = spark.range(0, n, 1, 16).select((F.lit(lo) + (F.col("id") * 7919 % n) * (width / n)).alias("v"))
+    assert df.select(bucket(F.col("v")).alias("b")).distinct().count() <= 2
+    seen = []
+    chosen = Q.ValueCounts._part_of_rank
+
+    def watched(self, near, few):
+        out = chosen(self, near, few)
+        seen.extend([near, out])
+        return out
+    monkeypatch.setattr(Q.ValueCounts, "_part_of_rank", watched)
+    got = grouped_quantiles(df, [], "v", [0.5, 0.9], ["a", "b"]).first()
+    values = sorted(lo + (i * 7919 % n) * (width / n) for i in range(n))
+    for p, q in ((0.5, got.a), (0.9, got.b)):
+        at = p * (n - 1)
+        a, b = values[int(at)], values[-int(-at // 1)] if at != int(at) else values[int(at)]
+        assert q == pytest.approx((1 - at % 1) * a + at % 1 * b, abs=1e-15)
+    near, last = seen
+    assert near.groupBy("_i").count().agg(F.max("count")).first()[0] > n // 3  # the bucket itself
+    assert near.select("_i", "_part").distinct().groupBy("_i").count().agg(F.max("count")).first()[0] <= n // 100
+    assert last.groupBy("_i").count().agg(F.max("count")).first()[0] <= n // 100
+
+
+def test_clustered_values_in_one_bucket(spark):
+    """Values that lie ever closer together, in two groups."""
+    values = [1000.0 + 0.2 * 4.0 ** -(i % 24) + i * 2.0 ** -42 for i in range(5000)]
+    df = spark.createDataFrame([(("a", "b")[i % 2], v) for i, v in enumerate(values)] + [(None, 3.0)], "g string, v double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    names = [f"q{i}" for i in range(7)]
+    got = {r.g: [r[x] for x in names] for r in grouped_quantiles(df, ["g"], "v", probs, names).collect()}
+    want = {r.g: list(r.q) for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    assert got.keys() == want.keys()
+    for g in got:
+        assert got[g] == pytest.approx(want[g], rel=1e-15)
