@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, join_hash, map_arrow, mix, span_hashes, text_chunks, windows, words, write_out
+from .common import U64, join_hash, map_arrow, mix, sheltered, span_hashes, text_chunks, windows, words, write_out
 from .graph import block_pairs, components, local_roots, map_groups
 
 SHINGLE = 5
@@ -299,6 +299,7 @@ def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(raw, pa.binary())], names=["node", "bag"])
 
 
+@sheltered()
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``df`` that stand for their class: the one with the smallest id.
 

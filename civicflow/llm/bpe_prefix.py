@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, text_chunks
+from .common import map_arrow, sheltered, text_chunks
 from .pieces import PieceCache, gather, read_ranks
 
 OUT = ["n_tokens", "ids_sha256", "decoded_sha256"]
@@ -178,6 +178,7 @@ def _ready(path: str):
     return _READY[path]
 
 
+@sheltered(lambda a: OUT + ["ids"] * a["with_ids"])
 def encode(df: DataFrame, vocabulary: str, text: str = "text", with_ids: bool = False) -> DataFrame:
     """``df`` without its texts, plus token count and digests of ids and decoded bytes.
 

@@ -7,6 +7,8 @@ so the byte rule equals the code-point rule ``[^\\x20\\x09-\\x0D]+``.
 
 from __future__ import annotations
 
+import functools
+import inspect
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -201,3 +203,38 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
+
+
+# -- column names ------------------------------------------------------------
+
+_OWN = ("doc_id", "text", "host", "vector")  # parameters that name a column
+
+
+def sheltered(outputs: Callable[[dict], list[str]] | tuple[str, ...] = ()):
+    """For functions of a table that pass its other columns on: no input name can clash.
+
+    Inside, the columns that the parameters name have the parameters' own
+    names and all others are called ``col0``, ``col1``, ...; the result has the
+    callers' names again.  An input column named like one of ``outputs`` (a
+    function of the arguments, or a tuple) is dropped.
+    """
+    def deco(fn: Callable) -> Callable:
+        signature = inspect.signature(fn)
+
+        @functools.wraps(fn)
+        def run(*args, **kw) -> DataFrame:
+            bound = signature.bind(*args, **kw)
+            bound.apply_defaults()
+            given = bound.arguments
+            df = given["df"]
+            made = set(outputs(given) if callable(outputs) else outputs)
+            own = {given[p]: p for p in _OWN if p in given}
+            inside = [own.get(c, f"col{i}") for i, c in enumerate(df.columns)]
+            back = dict(zip(inside, df.columns))
+            given["df"] = df.toDF(*inside).drop(*[n for n, c in back.items() if c in made and c not in own])
+            for p in own.values():
+                given[p] = p
+            out = fn(*bound.args, **bound.kwargs)
+            return out.toDF(*[back.get(c, c) for c in out.columns])
+        return run
+    return deco

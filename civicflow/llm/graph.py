@@ -12,27 +12,48 @@ from pyspark.sql import functions as F
 from .common import map_arrow, write_out
 
 
+HOT_KEYS, HOT_ROWS = 10_000, 500
+
+
+def join_weighted(big: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``big`` joined with ``small`` (written, one row a key, ``weight``: its rows in ``big``).
+
+    Keys with over 1/``HOT_KEYS`` of all rows (and over ``HOT_ROWS``) are fewer
+    than ``HOT_KEYS``: they are broadcast, so their rows stay in the tasks that
+    hold them.  All others meet in a shuffle join.
+    """
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) > max(HOT_ROWS, total // HOT_KEYS)
+    few = F.broadcast(small.filter(hot).drop(weight))
+    rest = small.filter(~hot).drop(weight)
+    here = big.join(few, keys)
+    return here.unionByName(big.join(few.select(*keys), keys, "left_anti").join(rest, keys).select(*here.columns))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``links``; root is the smallest node it reaches.
 
     Alternates two steps until nothing changes: every node points its larger
     neighbours at its smallest neighbour, then its smaller neighbours likewise.
-    Each round is written to the shared folder; the driver sees two numbers.
-    Links of a node with very many neighbours meet only in partial minima and
-    in a join that Spark can split.
+    Each round is written to the shared folder; the driver sees a few numbers.
+    A node's minimum comes from partial minima and is written first; the links
+    of a node with very many neighbours get it where they are
+    (``join_weighted``), so they never meet in one task.
     """
     edges = links.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).filter("u < v").distinct()
     edges = write_out(edges, "edges")
     state = _state(edges)
     for _ in range(max_rounds):
         # A node's larger neighbours point at the smallest of its neighbours and itself.
-        both = edges.select("v", "u").unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        low = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.filter("u > v").join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        large = large.filter("u < v").distinct()
+        larger = edges.select(F.col("u").alias("v"), F.col("v").alias("u"))
+        both = edges.select("v", "u").unionByName(larger)
+        low = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"), F.count_if(F.col("u") > F.col("v")).alias("n"))
+        low = write_out(low.filter("n > 0"), "minima")
+        large = join_weighted(larger, low, ["v"], "n").select(F.col("u").alias("v"), F.col("m").alias("u"))
+        large = write_out(large.filter("u < v").distinct(), "edges")
         # A node's smaller neighbours, and it, point at the smallest of them.
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(low, "v").select(F.explode(F.array(
+        low = write_out(large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")), "minima")
+        small = join_weighted(large, low, ["v"], "n").select(F.explode(F.array(
             F.struct(F.col("v"), F.col("m").alias("u")),
             F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")).select("e.*")
         edges = write_out(small.filter("u < v").distinct(), "edges")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, U64, join_hash, map_arrow, span_hashes, text_chunks, windows, words, write_out
+from .common import IS_SPACE, U64, join_hash, map_arrow, sheltered, span_hashes, text_chunks, windows, words, write_out
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -62,6 +62,7 @@ def _dup_lines(texts: list[str | None]) -> np.ndarray:
     return out
 
 
+@sheltered(lambda a: [a["prefix"] + c for c in COUNTS])
 def rule_counts(df: DataFrame, text: str = "text", prefix: str = "", keep_text: bool = False) -> DataFrame:
     """``df`` with its text column replaced by the five rule counts (no shuffle).
 
@@ -126,6 +127,7 @@ def host_verdicts(counts: DataFrame, host: str = "source", host_limit: float = H
                        (shrunk >= host_limit).alias("host_rejected"))
 
 
+@sheltered((*COUNTS, "base_failed", "host_rejected", "kept"))
 def judge(df: DataFrame, text: str = "text", host: str = "source",
           host_limit: float = HOST_LIMIT) -> DataFrame:
     """Every row's counts, base verdict, host verdict and ``kept``.
@@ -144,6 +146,7 @@ def judge(df: DataFrame, text: str = "text", host: str = "source",
                          (~base_failed() & ~rejected).alias("kept"))
 
 
+@sheltered()
 def keep_good(df: DataFrame, text: str = "text", host: str = "source",
               host_limit: float = HOST_LIMIT) -> DataFrame:
     """The rows of ``df`` that pass their own rules and whose host passes.

@@ -13,13 +13,15 @@ however often each occurs in a large corpus.  A line whose cluster has under
 smallest doc_id and are dropped from all others.  Counts are the leaf's: a
 field's value that is common at its place in other lines of the leaf is fixed.
 
-Leaves, places and templates are counted by partial sums; no leaf or template
-is gathered in one task.
+Leaves, places and templates are counted by partial sums, and the counts are
+written.  The rows of a leaf, line, token or template that is very frequent get
+them where they are (``join_weighted``): none is gathered in one task.
 
 Defined cases: a null text stays null and has no lines; lines without tokens
 are kept; a null doc_id is a document that comes first; rows with equal doc_id
 are one document; an empty table gives an empty result; columns other than the
-text are passed through.  Texts are read whole.
+text are passed through, whatever their names (n_lines and n_dropped give way
+to the counts where these are wanted).  Ids are integers.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, join_hash, map_arrow, mix, span_hashes, text_chunks, words, write_out
+from .common import U64, join_hash, map_arrow, mix, sheltered, span_hashes, text_chunks, words, write_out
+from .graph import join_weighted
 
 DEPTH = 3
 MIN_DOCS = 3
@@ -88,11 +91,18 @@ def _first_of(*cols: np.ndarray) -> np.ndarray:
 
 
 def _leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different leaves of each document."""
+    """The different leaves of each document, and each one's different lines."""
     for part, data, offsets in text_chunks(batches, "__text"):
         x = Lines(data, offsets)
-        at = _first_of(x.leaf, x.doc)
-        yield pa.RecordBatch.from_arrays([_signed(x.leaf[at])], names=["leaf"])
+        at = _first_of(x.key, x.doc)
+        leaf, doc = x.leaf[at], x.doc[at]
+        order = np.lexsort((leaf, doc))
+        leaf, doc = leaf[order], doc[order]
+        new = np.ones(len(leaf), bool)
+        new[1:] = (leaf[1:] != leaf[:-1]) | (doc[1:] != doc[:-1])
+        first = np.flatnonzero(new)
+        yield pa.RecordBatch.from_arrays(
+            [_signed(leaf[first]), pa.array(np.diff(np.append(first, len(leaf))))], names=["leaf", "n"])
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +139,11 @@ def line_templates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     """
     src = df.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(FIRST_ID)).alias("doc"),
                     F.col(f"`{text}`").alias("__text"))
-    leaves = map_arrow(src, _leaf_rows, "leaf bigint").groupBy("leaf").count()
-    leaves = leaves.filter(F.col("count") >= min_docs).select("leaf")
+    leaves = map_arrow(src, _leaf_rows, "leaf bigint, n bigint").groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n"))
+    leaves = write_out(leaves.filter(F.col("docs") >= min_docs).select("leaf", "n"), "leaves")
     rows = map_arrow(src, _line_rows, "leaf bigint, line bigint, doc bigint, size int, rest binary")
-    lines = write_out(rows.join(leaves, "leaf"), "lines")
+    lines = write_out(join_weighted(rows, leaves, ["leaf"], "n"), "lines")
 
     kinds = lines.groupBy("leaf", "line").agg(
         F.count(F.lit(1)).alias("n"), F.min("rest").alias("rest"), F.first("size").alias("size"))
@@ -141,23 +152,27 @@ def line_templates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     mixed = kinds.join(several, "leaf", "left_semi").filter(F.octet_length("rest") > 0)
     places = map_arrow(mixed.select("leaf", "line", "n", "rest"), _places,
                        "leaf bigint, line bigint, n bigint, place int, token bigint")
-    shared = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("m")).filter(F.col("m") >= min_docs)
+    shared = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("m"), F.count(F.lit(1)).alias("k"))
+    shared = write_out(shared.filter(F.col("m") >= min_docs), "line-tokens")
     # Each line's shared tokens, most frequent first; the last that the template needs bounds the cluster.
-    own = places.join(shared, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(F.sort_array(
+    own = join_weighted(places, shared, ["leaf", "place", "token"], "k").groupBy("leaf", "line").agg(F.sort_array(
         F.collect_list(F.struct("m", F.xxhash64("place", "token").alias("h"))), asc=False).alias("own"))
     need = F.greatest(F.lit(1), F.ceil(MIN_SHARE * F.col("size")).cast("int") - DEPTH)
     bound = FIELD_SHARE * F.get("own", need - 1)["m"]
     fixed = F.array_sort(F.transform(F.filter("own", lambda t: t["m"] >= F.col("bound")), lambda t: t["h"]))
     template = F.when(F.col("bound").isNotNull(), F.xxhash64("leaf", fixed)).otherwise(F.xxhash64("leaf", "line"))
-    named = kinds.select("leaf", "line", "size").join(own, ["leaf", "line"], "left").withColumn(
-        "bound", bound).select("leaf", "line", template.alias("template"))
-    told = write_out(lines.select("leaf", "line", "doc").join(named, ["leaf", "line"]).select("doc", "line", "template"),
-                     "line-templates")
-    counts = told.select("template", "doc").distinct().groupBy("template").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc"))
-    return told.join(counts, "template").select("doc", "line", "template", "n_docs", "first_doc")
-
-
+    named = kinds.select("leaf", "line", "size", "n").join(own, ["leaf", "line"], "left").withColumn(
+        "bound", bound).select("leaf", "line", "n", template.alias("template"))
+    named = write_out(named, "line-names")
+    told = join_weighted(lines.select("leaf", "line", "doc"), named, ["leaf", "line"], "n").select("doc", "line", "template")
+    told = write_out(told, "line-templates")
+    counts = told.groupBy("template", "doc").agg(F.count(F.lit(1)).alias("n")).groupBy("template").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc"), F.sum("n").alias("n"))
+    counts = write_out(counts, "template-counts")
+    return join_weighted(told, counts, ["template"], "n").select("doc", "line", "template", "n_docs", "first_doc")
+
+
+@sheltered(lambda a: ["n_lines", "n_dropped"] if a["counts"] else [])
 def drop_recurring_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
                          counts: bool = False) -> DataFrame:
     """``df`` with recurring template lines dropped from its texts.

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, text_chunks, write_out
+from .common import map_arrow, sheltered, text_chunks, write_out
 from .pieces import PieceCache
 
 CAPACITY = 1024
@@ -177,6 +177,7 @@ def token_pieces(df: DataFrame, vocabulary: str, text: str = "text", capacity: i
     return map_arrow(src, run, schema)
 
 
+@sheltered(tuple(OUT))
 def pack(df: DataFrame, vocabulary: str, text: str = "text", capacity: int = CAPACITY,
          end_id: int = END_ID, planner: Callable = plan) -> DataFrame:
     """Every piece with its sequence and its offset there.

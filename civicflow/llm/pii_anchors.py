@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, text_chunks
+from .common import map_arrow, sheltered, text_chunks
 
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("url", "handle", "iban", "account", "secret")
@@ -299,6 +299,7 @@ def redact(text: str, found: list[tuple[str, int, int]]) -> str:
 FOUND = [f"n_{k}" for k in BASE] + ["base_sha256", "spans"]
 
 
+@sheltered(tuple(FOUND))
 def find(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` without its texts, plus counts of the base kinds, their digest and all spans.
 
@@ -326,6 +327,7 @@ def find(df: DataFrame, text: str = "text") -> DataFrame:
     return map_arrow(src, run, schema)
 
 
+@sheltered()
 def redact_texts(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with personal data in its texts replaced by ``<KIND>``."""
     names = df.columns

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, sheltered
 
 SCALE, OFFSET = 64, 1_000_000
 BOUND = 1 << 60
@@ -310,14 +310,12 @@ def _identity_error(rows: DataFrame, vector: str, w: Whitening) -> float:
 
 # -- the operator ------------------------------------------------------------
 
+@sheltered(tuple(OUT))
 def apply(df: DataFrame, w: Whitening | None, vector: str = "embedding") -> DataFrame:
     """One row for each usable vector and component, with the other columns of ``df``."""
     keep = [c for c in df.columns if c != vector and c not in OUT]
-    name = "__vector"
-    while name in keep:
-        name += "_"
     src = df.filter(usable(F.col(f"`{vector}`"))).select(
-        *[F.col(f"`{c}`") for c in keep], F.col(f"`{vector}`").cast("array<double>").alias(name))
+        *[F.col(f"`{c}`") for c in keep], F.col(f"`{vector}`").cast("array<double>").alias("__vector"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
                        + ["component int, n bigint, deviation bigint, whitened double, explained double, "
                           "identity_error double"])

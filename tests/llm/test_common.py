@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import span_hashes, text_chunks, utf8, window_hashes, words, write_out
-from civicflow.llm.graph import block_pairs, local_roots, map_groups
+from civicflow.llm.graph import block_pairs, components, join_weighted, local_roots, map_groups
 
 TEXT = st.text(alphabet=st.sampled_from("ab é日😀 \t\n\x0b\x0c\r\x1c "), max_size=40)
 
@@ -90,3 +90,24 @@ def test_written_table_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     out = write_out(df, "test")
     assert out.schema == df.schema and sorted(out.collect()) == sorted(df.collect())
+
+
+def test_hot_keys_are_joined_where_they_are(spark):
+    """A key with a third of all rows and a node with a third of all links."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 4000).alias("k"), F.col("id").alias("v"))
+    small = write_out(df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")), "test")
+    out = join_weighted(df.repartition(9), small, ["k"], "n")
+    assert sorted(out.select("k", "v", "m").collect()) == sorted(df.join(small, "k").select("k", "v", "m").collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2 and "LeftAnti" in plan
+    assert join_weighted(df, small.limit(0), ["k"], "n").collect() == []
+
+
+def test_components_of_a_hub(spark):
+    """One node has a third of all links; the other links are chains."""
+    hub = [(5000 + i, 3) for i in range(1500)]
+    chains = [(20_000 + 10 * i + j, 20_000 + 10 * i + j + 1) for i in range(400) for j in range(8)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(hub + chains, "a long, b long").repartition(7)).collect()}
+    want = {3: 3} | {5000 + i: 3 for i in range(1500)}
+    want |= {20_000 + 10 * i + j: 20_000 + 10 * i for i in range(400) for j in range(9)}
+    assert got == want
