@@ -93,3 +93,32 @@ def test_empty_table(spark):
         docs = stage(spark, docs, SF)
         assert docs.collect() == []
         docs = spark.createDataFrame([], docs.schema)
+
+
+def test_odd_tables(spark):
+    """Null ids and texts, repeated rows, ties, a long text and clashing names, through every stage."""
+    prose = "the quick brown fox jumps over a lazy dog near an old river bank while two birds sing"
+    rows = [(i, f"{prose} {'abcdefghij'[i % 10] * 3} number{i} {'x y z '[i % 3] * 2}") for i in range(40)]
+    rows += [(3, rows[3][1]), (3, rows[3][1]), (None, f"no id {prose} one two three"), (None, f"no id {prose} one two three"), (None, None), (50, None),
+             (51, ""), (52, f"mail me at a.b@c.org {prose}"), (7, "another text under the same id of seven " + prose.upper()),
+             (60, " ".join(f"{w}{k}" for k in range(4000) for w in prose.split()))]
+    extra = ["__gone", "__doc", "__id", "__task", "n_words", "kept", "class_id", "line", "col0", "length"]
+    docs = spark.createDataFrame([(d, t, "en", "h", None if t is None else len(t), *["own"] * len(extra)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{c} string" for c in extra)).repartition(4)
+    names = docs.columns
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, SF)
+        got = out.collect()
+        assert got, name
+        if name != "packing":
+            assert out.columns == names, name
+            assert all(r[c] == "own" for r in got for c in extra)
+            docs = spark.createDataFrame(got, docs.schema).repartition(3)
+        kept = {r.doc_id for r in got}
+        assert {50, 51}.isdisjoint(kept) and {52, 60} <= kept, name
+        if name == "near_dedup":
+            assert sum(r.doc_id == 3 for r in got) <= 1 and sum(r.doc_id is None for r in got) <= 1
+        if name == "pii":
+            assert "<EMAIL>" in next(r.text for r in got if r.doc_id == 52)
+    assert all(r.length <= 1024 for r in got)
