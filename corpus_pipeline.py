@@ -5,6 +5,13 @@ and works on all rows that the stage before it kept.  All but the last return
 the columns of ``documents``.  ``run`` writes every stage's result as Parquet
 in the shared folder and reads it again as the next stage's input.
 
+Defined cases, for every stage: a null text counts as empty and stays null
+where the document stays; rows without an id take part as documents of their
+own; repeated rows are judged alike, and near-dedup leaves one; of equally good
+candidates the smallest doc_id (then the smallest digest) wins; very long texts
+are read whole; an empty table gives an empty result; further columns are
+passed through up to packing, whatever their names.  Ids are integers.
+
 No stage has SQL for its whole result (hash-based templates, connected
 components, check sums, tokenizer), so ``ORACLE_SQL`` is None; a test compares
 each stage with a brute-force version.
