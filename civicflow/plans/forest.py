@@ -34,15 +34,16 @@ def prune_nodes(nodes: DataFrame, min_split: int = MIN_SPLIT) -> DataFrame:
     for its tree, with repeats.
     """
     inner = (F.col("leftChild") >= 0) & (F.col("rawCount") >= min_split)
-    flat = nodes.select("treeID", "nodeData.*").withColumn("inner", inner)
+    flat = nodes.select("treeID", "nodeData.*")
+    links = flat.select("treeID", "id", "leftChild", "rightChild", inner.alias("inner"))
     # A node stays if its parent stays inner; counts only fall on the way down.
-    below = flat.filter("inner").select("treeID", F.explode(F.array("leftChild", "rightChild")).alias("id"))
-    roots = flat.filter("id = 0").select("treeID", "id")
-    kept = flat.join(below.unionByName(roots), ["treeID", "id"], "left_semi")
+    below = links.filter("inner").select("treeID", F.explode(F.array("leftChild", "rightChild")).alias("id"))
+    roots = links.filter("id = 0").select("treeID", "id")
     place = F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1
-    kept = kept.withColumn("place", place)
+    kept = links.join(below.unionByName(roots), ["treeID", "id"], "left_semi").withColumn("place", place)
     right = kept.select("treeID", F.col("id").alias("rightChild"), F.col("place").alias("rightPlace"))
-    joined = kept.join(right, ["treeID", "rightChild"], "left")
+    numbered = kept.join(right, ["treeID", "rightChild"], "left").select("treeID", "id", "inner", "place", "rightPlace")
+    joined = flat.join(numbered, ["treeID", "id"])
 
     def either(yes, no):
         return F.when(F.col("inner"), yes).otherwise(no)

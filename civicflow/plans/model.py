@@ -29,6 +29,7 @@ FEATURES = S.BASE_FEATURES + S.ENGINEERED_FEATURES
 # Priority types in both languages: raw tickets carry English names, clean ones Portuguese.
 MODEL_PRIORITY_TYPES = ["Heat/Hot Water", "Water System", "UNSANITARY CONDITION"] + S.PRIORITY_TYPES
 FOLDS = 5
+PARTITION_ROWS = 200_000
 
 
 def supply_missing_features(df: DataFrame) -> DataFrame:
@@ -199,19 +200,21 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, n
     """Split, fit, minimum split, metrics on both parts, k-fold CV MAE, importances.
 
     The prepared rows are scanned once; all fits, folds and metrics read one
-    cached table of encoded vectors, which is released at the end.
+    cached table of encoded vectors, which is released at the end.  It is dealt
+    out by ticket key, so every core has a share of a small table too, and the
+    rows drawn for a tree do not depend on the input's files.
     ``cv_folds`` is 0 (no cross-validation) or up to ``FOLDS``.
     ``max_memory_mb`` defaults to what the widest level's nodes need
     (``forest.node_memory_mb``), so a level takes few passes over the vectors.
     """
     spark = df.sparkSession
-    data = prepare(df, test_size, seed).select(*_MODEL_COLUMNS, LABEL, "is_test", "fold").cache()
+    data = prepare(df, test_size, seed).select("unique_key", *_MODEL_COLUMNS, LABEL, "is_test", "fold").cache()
     encoded = None
     try:
+        n_train, n_test = split_sizes(data)
         enc = encode(data.filter(~F.col("is_test")))
-        encoded = enc.transform(data).select("features", LABEL, "is_test", "fold").cache()
-        n_train, n_test = split_sizes(encoded)
-        data.unpersist()
+        parts = max(spark.sparkContext.defaultParallelism, -(-(n_train + n_test) // PARTITION_ROWS))
+        encoded = enc.transform(data).repartition(parts, "unique_key").select("features", LABEL, "is_test", "fold").cache()
         train, test = encoded.filter(~F.col("is_test")), encoded.filter(F.col("is_test"))
         if max_memory_mb is None:
             max_memory_mb = node_memory_mb(_bins(enc), num_trees, max_depth, n_train, min_leaf)
