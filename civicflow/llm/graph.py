@@ -19,15 +19,25 @@ def join_weighted(big: DataFrame, small: DataFrame, keys: list[str], weight: str
     """``big`` joined with ``small`` (written, one row a key, ``weight``: its rows in ``big``).
 
     Keys with over 1/``HOT_KEYS`` of all rows (and over ``HOT_ROWS``) are fewer
-    than ``HOT_KEYS``: they are broadcast, so their rows stay in the tasks that
-    hold them.  All others meet in a shuffle join.
+    than ``HOT_KEYS``: they are broadcast and their rows matched where they
+    are.  All others meet in a shuffle join; rows that are matched already go
+    through it by a hash of the whole row, so they are spread evenly.  ``big`` is
+    worked out once.  The first key is a long.
     """
     total = small.agg(F.sum(weight)).first()[0] or 0
     hot = F.col(weight) > max(HOT_ROWS, total // HOT_KEYS)
-    few = F.broadcast(small.filter(hot).drop(weight))
-    rest = small.filter(~hot).drop(weight)
-    here = big.join(few, keys)
-    return here.unionByName(big.join(few.select(*keys), keys, "left_anti").join(rest, keys).select(*here.columns))
+    values = [c for c in small.columns if c not in keys and c != weight]
+    found = F.struct(F.lit(True).alias("hit"), *values)
+    few = small.filter(hot).select(*keys, found.alias("__hot"))
+    rest = small.filter(~hot).select(*[F.col(k).alias(f"__{k}") for k in keys], found.alias("__rest"))
+    open_ = F.col("__hot").isNull()
+    near = big.join(F.broadcast(few), keys, "left").withColumn(
+        "__to", F.when(open_, F.col(keys[0])).otherwise(F.xxhash64(*big.columns)))
+    same = (F.col("__to") == F.col(f"__{keys[0]}")) & open_
+    for k in keys[1:]:
+        same = same & (F.col(k) == F.col(f"__{k}"))
+    got = near.join(rest, same, "left").withColumn("__got", F.coalesce("__hot", "__rest"))
+    return got.filter(F.col("__got").isNotNull()).select(*big.columns, *[F.col(f"__got.{c}").alias(c) for c in values])
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
