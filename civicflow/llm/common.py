@@ -62,9 +62,26 @@ def write_out(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, label)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_written(spark: SparkSession) -> list[str]:
+    """Removes the intermediate tables that this driver has written so far; returns their folders.
+
+    For a job's end: results that were not written or collected yet still read them.
+    """
+    gone = []
+    while _WRITTEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN[-1])
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gone.append(_WRITTEN.pop())
+    return gone
+
+
 # -- Arrow batches -----------------------------------------------------------
 
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str,

@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import span_hashes, text_chunks, utf8, window_hashes, words, write_out
+from civicflow.llm import common
+from civicflow.llm.common import drop_written, span_hashes, text_chunks, utf8, window_hashes, words, write_out
 from civicflow.llm.graph import block_pairs, components, join_weighted, local_roots, map_groups
 
 TEXT = st.text(alphabet=st.sampled_from("ab é日😀 \t\n\x0b\x0c\r\x1c "), max_size=40)
@@ -115,3 +116,13 @@ def test_components_of_a_hub(spark):
     want = {3: 3} | {5000 + i: 3 for i in range(1500)}
     want |= {20_000 + 10 * i + j: 20_000 + 10 * i for i in range(400) for j in range(9)}
     assert got == want
+
+
+def test_written_tables_can_be_dropped(spark, monkeypatch):
+    import os
+    monkeypatch.setattr(common, "_WRITTEN", [])
+    write_out(spark.range(3), "test")
+    write_out(spark.range(4), "test")
+    folders = drop_written(spark)
+    assert len(folders) == 2 and drop_written(spark) == []
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in folders)
