@@ -28,10 +28,13 @@ def rate_table(df: DataFrame) -> DataFrame:
 
     ``level`` tells the three apart (a NULL borough or category is a group of
     its own).  One scan with partial aggregation, then one roll-up of at most
-    boroughs x categories rows.
+    boroughs x categories rows.  A table without one of the group columns or
+    the priority flag counts as one with NULLs there.
     """
     if df.columns == RATES:
         return df
+    absent = {"borough": "string", "complaint_category": "string", "is_priority": "boolean"}
+    df = df.withColumns({c: F.lit(None).cast(t) for c, t in absent.items() if c not in df.columns})
     closed = is_closed("status")
     prio = F.coalesce(F.col("is_priority"), F.lit(False))
     cells = df.groupBy("borough", "complaint_category").agg(
