@@ -73,8 +73,10 @@ def requests_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ev_view(events: DataFrame, customer: DataFrame, nation: DataFrame,
             region: DataFrame) -> DataFrame:
     """Raw tickets, one per event, from the four tables."""
+    # As a generator's output k is read once a row: filters on the ticket's status
+    # are pushed below a projection, with its expression copied into each of them.
     ev = events.select("event_id", "ts", "user_id", "event_type", "value",
-                       F.get_json_object("props", "$.k").cast("int").alias("k"))
+                       F.explode(F.array(F.get_json_object("props", "$.k").cast("int"))).alias("k"))
     # Join the customer projection first: its size estimate is then the plain
     # scan size, so a small customer table is broadcast at planning time and
     # a large one gets a (skew-aware) sort-merge join.

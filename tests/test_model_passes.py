@@ -1,0 +1,48 @@
+"""Passes over the tickets: the view's JSON is parsed once a row, the model queries read their view a fixed number of times."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from civicflow.plans import model as M
+from civicflow.plans import reg_model as RM
+from civicflow.plans.catalog import SPARK
+from civicflow.plans.registry import ev_clean
+from civicflow.sources import bindings as V
+from conftest import SF_SMALL
+
+
+@pytest.fixture()
+def rows_read(spark, monkeypatch):
+    """Rows that leave the clean view in all passes of a query, as a share of the view."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(s, d):
+        df = ev_clean(s, d)
+
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return df.mapInArrow(run, df.schema)
+    monkeypatch.setattr(RM, "ev_clean", counted)
+    return lambda: seen.value / ev_clean(spark, SF_SMALL).count()
+
+
+def test_json_is_read_once_a_row(spark):
+    plan = M.prepare(ev_clean(spark, SF_SMALL)).filter("NOT is_test")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1
+
+
+def test_odd_json_keeps_its_tickets(spark):
+    props = ['{"k": 5}', '{"k": "80"}', '{"k": null}', "{}", None, "", "x", '[{"k": 1}]', '{"k": 1, "k": 90}', '{"k": 99', '{"j": {"k": 4}}']
+    want = ["Closed", "Open"] + ["In Progress"] * 6 + ["Closed"] + ["In Progress"] * 2
+    t = {n: V.table(spark, SF_SMALL, n) for n in ("customer", "nation", "region")}
+    events = V.table(spark, SF_SMALL, "events").limit(1).drop("props", "event_id").crossJoin(
+        spark.createDataFrame(list(enumerate(props)), "event_id long, props string"))
+    got = V.ev_view(events, **t).orderBy("unique_key").collect()
+    assert [r.status for r in got] == want
+
+
+def test_line_folds_read_the_view_once(spark, rows_read):
+    assert SPARK["M9_cv_mae_line_ev"](spark, SF_SMALL).first().folds == M.FOLDS
+    assert rows_read() == 1
