@@ -31,10 +31,11 @@ def prune_nodes(nodes: DataFrame, min_split: int = MIN_SPLIT) -> DataFrame:
 
     Node numbers stay the places in preorder: a left child follows its parent,
     a right child's new number is looked up.  Rows of a node are those drawn
-    for its tree, with repeats.
+    for its tree, with repeats: the first of its statistics, also where the
+    tree was fitted on weighted points (``cells``).
     """
     inner = (F.col("leftChild") >= 0) & (F.col("rawCount") >= min_split)
-    flat = nodes.select("treeID", "nodeData.*")
+    flat = nodes.select("treeID", "nodeData.*").withColumn("rawCount", F.round(F.element_at("impurityStats", 1)).cast("long"))
     links = flat.select("treeID", "id", "leftChild", "rightChild", inner.alias("inner"))
     # A node stays if its parent stays inner; counts only fall on the way down.
     below = links.filter("inner").select("treeID", F.explode(F.array("leftChild", "rightChild")).alias("id"))

@@ -21,6 +21,7 @@ from .. import schema as S
 from ..functions.expressions import day_period
 from ..operators.cleaning import floor_prediction, model_rows, off_hours, response_class
 from . import bundle as B
+from .cells import CellForest
 from .forest import MIN_SPLIT, node_memory_mb, with_min_split
 
 LABEL = "response_time_days"
@@ -201,11 +202,12 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, n
 
     The prepared rows are scanned once; all fits, folds and metrics read one
     cached table of encoded vectors, which is released at the end.  It is dealt
-    out by ticket key, so every core has a share of a small table too, and the
-    rows drawn for a tree do not depend on the input's files.
+    out by ticket key, so every core has a share of a small table too.  Each
+    fit draws its rows by that key and trains on distinct vectors
+    (``cells.CellForest``).
     ``cv_folds`` is 0 (no cross-validation) or up to ``FOLDS``.
-    ``max_memory_mb`` defaults to what the widest level's nodes need
-    (``forest.node_memory_mb``), so a level takes few passes over the vectors.
+    ``max_memory_mb`` defaults to what the widest level of one tree needs
+    (``forest.node_memory_mb``), so a level is one pass over the vectors.
     """
     spark = df.sparkSession
     data = prepare(df, test_size, seed).select("unique_key", *_MODEL_COLUMNS, LABEL, "is_test", "fold").cache()
@@ -214,11 +216,11 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, n
         n_train, n_test = split_sizes(data)
         enc = encode(data.filter(~F.col("is_test")))
         parts = max(spark.sparkContext.defaultParallelism, -(-(n_train + n_test) // PARTITION_ROWS))
-        encoded = enc.transform(data).repartition(parts, "unique_key").select("features", LABEL, "is_test", "fold").cache()
+        encoded = enc.transform(data).repartition(parts, "unique_key").select("unique_key", "features", LABEL, "is_test", "fold").cache()
         train, test = encoded.filter(~F.col("is_test")), encoded.filter(F.col("is_test"))
         if max_memory_mb is None:
-            max_memory_mb = node_memory_mb(_bins(enc), num_trees, max_depth, n_train, min_leaf)
-        rf = forest(num_trees, max_depth, min_leaf, seed, max_memory_mb=max_memory_mb)
+            max_memory_mb = node_memory_mb(_bins(enc), 1, max_depth, n_train, min_leaf)
+        rf = CellForest(forest(num_trees, max_depth, min_leaf, seed, max_memory_mb=max_memory_mb))
 
         def finish(fitted):
             return with_min_split(fitted, spark, min_split)
