@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterator, Mapping
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, sheltered, text_chunks, write_out
-from .pieces import PieceCache
+from .pieces import PieceCache, gather
 
 CAPACITY = 1024
 END_ID = 2
@@ -102,6 +103,59 @@ def slots(bins: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
 # -- pieces ------------------------------------------------------------------
 
 _TOKENIZERS: dict[str, tuple] = {}
+_LINE = 128  # pieces encoded as one text
+
+
+class LineEncoder:
+    """Ids of many pieces by few calls of the tokenizer.
+
+    Pieces are joined to lines that the pattern cuts into the same pieces: one
+    that begins with a space as it is, another after a line feed, white space
+    alone.  The bytes of the tokens tell where a piece ends; where they do not
+    meet the pieces' ends, each piece is encoded by itself.
+    """
+
+    def __init__(self, tok):
+        self.tok = tok
+        self.size = np.zeros(max(tok.get_vocab(with_added_tokens=True).values()) + 1, np.int64)
+        for token, i in tok.get_vocab(with_added_tokens=False).items():
+            self.size[i] = len(token)
+        self.size[list(tok.get_added_tokens_decoder())] = 0
+        self.feed = (tok.encode("\n", add_special_tokens=False).ids or [-1])[0]
+
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and the number of each piece's."""
+        texts = [p.decode("utf-8") for p in pieces]
+        blank = np.fromiter(map(str.isspace, texts), bool, len(texts))
+        flat, begins, sizes = self._lines([t for t, b in zip(texts, blank) if not b])
+        alone, own_begins, own_sizes = self._each([t for t, b in zip(texts, blank) if b])
+        order = np.empty(len(texts), np.int64)
+        order[np.concatenate([np.flatnonzero(~blank), np.flatnonzero(blank)])] = np.arange(len(texts))
+        sizes = np.concatenate([sizes, own_sizes])
+        return gather(np.concatenate([flat, alone]), np.concatenate([begins, len(flat) + own_begins]),
+                      sizes, order)[0], sizes[order]
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids; where each text's begin, and how many they are."""
+        found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), np.cumsum(sizes) - sizes, sizes
+
+    def _lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not texts:
+            return self._each(texts)
+        parts = [t if t[0] == " " else "\n" + t for t in texts]
+        flat = self._each(["".join(parts[i:i + _LINE]) for i in range(0, len(parts), _LINE)])[0]
+        led = np.fromiter((p[0] == "\n" for p in parts), np.int64, len(parts))
+        stop = np.cumsum(np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts)))
+        done = np.cumsum(self.size[flat])
+        if done[-1] != stop[-1]:
+            return self._each(texts)
+        ends = np.searchsorted(done, stop)
+        begins = np.append(0, ends[:-1] + 1) + led
+        if (done[ends] != stop).any() or (flat[begins[led > 0] - 1] != self.feed).any():
+            return self._each(texts)
+        return flat, begins, ends + 1 - begins
 
 
 def _tokenizer(path: str):
@@ -110,13 +164,8 @@ def _tokenizer(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-
-        def encode(pieces: list[bytes]) -> list[tuple[int, ...]]:
-            found = tok.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
-            return [tuple(e.ids) for e in found]
-
         special = [t.content.encode() for t in tok.get_added_tokens_decoder().values()]
-        _TOKENIZERS[path] = (tok, PieceCache(encode), special)
+        _TOKENIZERS[path] = (tok, PieceCache(LineEncoder(tok)), special)
     return _TOKENIZERS[path]
 
 

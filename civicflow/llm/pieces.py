@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from array import array
+from itertools import chain
 
 import numpy as np
 
@@ -84,36 +84,78 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.nd
     return flat[shift + np.arange(bounds[-1])], bounds
 
 
+def _append(buffer: np.ndarray, filled: int, more: np.ndarray) -> np.ndarray:
+    """``buffer`` with ``more`` after its first ``filled`` items; doubled where it is full."""
+    if filled + len(more) > len(buffer):
+        buffer = np.concatenate([buffer[:filled], np.zeros(max(filled, len(more)), buffer.dtype)])
+    buffer[filled:filled + len(more)] = more
+    return buffer
+
+
 class PieceCache:
-    """Ids of pieces, encoded once each; at most ``limit`` pieces are kept.
+    """Ids of pieces, encoded once each; at most ``limit`` pieces and ``8 * limit`` ids are kept.
 
-    ``encode`` maps a list of piece bytes to their id tuples; kept are four
-    bytes an id, about 130 bytes a piece in all.  A full cache is emptied,
-    which costs time only.
+    ``encode`` maps a list of piece bytes to their ids, a sequence each, or to
+    all ids and the number of each piece's (two arrays).  Kept are 24 bytes a
+    piece and four an id: the sorted hashes, each with its slot, and by slot
+    the bounds in the ids and the last chunk that had the piece.  Of a full
+    cache the half used last stays, which costs time only.
     """
 
-    def __init__(self, encode, limit: int = 250_000):
-        self.encode, self.limit, self.kept = encode, limit, {}
+    def __init__(self, encode, limit: int = 1_000_000):
+        self.encode, self.limit, self.chunk = encode, limit, 0
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.bounds, self.used, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows (int64, concatenated) and the n + 1 row bounds."""
         starts, ends = split(data, offsets)
         keys, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        keys = keys.tolist()
-        missing = [i for i, k in enumerate(keys) if k not in self.kept]
-        if len(self.kept) + len(missing) > self.limit:
-            self.kept = {}
-            missing = range(len(keys))
-        lo, hi = starts[where].tolist(), ends[where].tolist()
-        found = self.encode([raw[lo[i]:hi[i]] for i in missing])
-        self.kept.update((keys[i], array("I", ids).tobytes()) for i, ids in zip(missing, found))
-        own = [self.kept[k] for k in keys]
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        flat = np.frombuffer(b"".join(own), np.uint32).astype(np.int64)
-        begins = np.cumsum(sizes) - sizes
-        ids, bounds = gather(flat, begins, sizes, which)
-        return ids, bounds[np.searchsorted(starts, offsets)]
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        if new.any():
+            raw = data.tobytes()
+            first = where[new]
+            self._add(keys[new], at[new], [raw[lo:hi] for lo, hi in zip(starts[first].tolist(), ends[first].tolist())])
+            at += np.cumsum(new) - new
+        slot = self.slot[at]
+        self.chunk += 1
+        self.used[slot] = self.chunk
+        begins = self.bounds[slot]
+        ids, bounds = gather(self.flat, begins, self.bounds[slot + 1] - begins, which)
+        if len(self.keys) > self.limit or self.bounds[len(self.keys)] > 8 * self.limit:
+            self._halve()
+        return ids.astype(np.int64), bounds[np.searchsorted(starts, offsets)]
+
+    def _add(self, keys: np.ndarray, at: np.ndarray, pieces: list[bytes]) -> None:
+        found = self.encode(pieces)
+        if isinstance(found, tuple):
+            flat, sizes = found
+        else:
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
+        n = len(self.keys)
+        filled = self.bounds[n]
+        self.flat = _append(self.flat, filled, flat)
+        self.bounds = _append(self.bounds, n + 1, filled + np.cumsum(sizes))
+        self.used = _append(self.used, n, np.zeros(len(keys), np.int32))
+        self.keys = np.insert(self.keys, at, keys)
+        self.slot = np.insert(self.slot, at, np.arange(n, n + len(keys), dtype=np.int32))
+
+    def _halve(self) -> None:
+        n = len(self.keys)
+        sizes = np.diff(self.bounds[:n + 1])
+        recent = np.argsort(-self.used[:n], kind="stable")
+        fit = np.searchsorted(np.cumsum(sizes[recent]), 4 * self.limit, side="right")
+        stay = np.sort(recent[:min(fit, self.limit // 2)])
+        self.flat, self.bounds = gather(self.flat, self.bounds[:n], sizes, stay)
+        self.used = self.used[stay]
+        moved = np.full(n, -1, np.int32)
+        moved[stay] = np.arange(len(stay))
+        slot = moved[self.slot]
+        self.keys, self.slot = self.keys[slot >= 0], slot[slot >= 0]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

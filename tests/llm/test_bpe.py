@@ -81,6 +81,52 @@ def test_small_piece_cache_gives_the_same():
     assert a.tolist() == [i for t in texts for i in LIB.encode_ordinary(t)]
 
 
+def counted(limit=None):
+    seen = []
+
+    def encode(pieces):
+        seen.extend(pieces)
+        return BPE.encode_pieces(pieces)
+    return PieceCache(encode, *[limit] * (limit is not None)), seen
+
+
+def test_full_cache_keeps_the_pieces_in_use():
+    cache, seen = counted(64)
+    for i in range(200):
+        text = " the of and" + "".join(f" {c}{'xyz'[i % 3]}{'q' * (i % 11)}{'j' * (i // 11)}" for c in "abcdefg")
+        data, offsets = utf8(pa.array([text]))
+        assert cache.ids(data, offsets)[0].tolist() == LIB.encode_ordinary(text)
+    assert len(cache.keys) <= 64
+    assert [seen.count(p) for p in (b" the", b" of", b" and")] == [1, 1, 1]
+
+
+def test_long_pieces_fill_the_cache_by_their_ids():
+    cache, _ = counted(8)
+    for i in range(1, 60):
+        text = "ab" * (7 * i) + " x"
+        data, offsets = utf8(pa.array([text]))
+        assert cache.ids(data, offsets)[0].tolist() == LIB.encode_ordinary(text)
+        assert cache.bounds[len(cache.keys)] <= 8 * 8
+
+
+def test_cache_holds_the_words_of_a_large_table():
+    """300,000 different pieces, twice: none is encoded again."""
+    made = []
+
+    def encode(pieces):
+        made.append(len(pieces))
+        return [(len(p),) for p in pieces]
+    cache = PieceCache(encode)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for _ in range(2):
+        for a in letters[:18]:
+            text = "".join(f" {a}{b}{c}{d}" for b in letters for c in letters for d in letters[:25])
+            data, offsets = utf8(pa.array([text]))
+            ids, bounds = cache.ids(data, offsets)
+            assert len(ids) == 26 * 26 * 25 and set(ids.tolist()) == {5}
+    assert sum(made) == 18 * 26 * 26 * 25
+
+
 def test_tokenizers_rows_with_added_tokens():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))

@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from civicflow.llm.packing import OUT, fullest, pack, plan, slots
+from civicflow.llm.packing import OUT, LineEncoder, fullest, pack, plan, slots
 
 VOCAB = P.path("byte_bpe_50k.json")
 SF = "/root/testdata/sf0.001"
@@ -93,3 +93,56 @@ def test_nulls_repeats_long_texts_and_extra_columns(spark):
     again = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b")], "doc_id long, text string")
     assert sorted((r.offset, r.length) for r in pack(again, VOCAB).collect()) == [(0, 3), (3, 3), (6, 3)]
     assert pack(again.limit(0), VOCAB).collect() == []
+
+
+class Counted:
+    """The tokenizer, with the number of texts that it was given."""
+
+    def __init__(self, tok):
+        self.tok, self.texts = tok, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tok, name)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += len(texts)
+        return self.tok.encode_batch_fast(texts, **kw)
+
+
+def some_pieces():
+    rnd = random.Random(8)
+    signs = ["abcxyz", "é日本ßж", "0٣½", "!'.%<|>#😀\x1c\u200b", " \t\n\x85　"]
+    out = [" <|", "endoftext", "|>", "'s", "'", " '", "'ll", " ", "\n", "  ", " \n ", "\x1c", " \x1c", "a" * 3000]
+    for _ in range(5000):
+        lead = rnd.choice(["", " ", " "])
+        kind = rnd.randrange(5)
+        out.append((lead if kind < 4 else "") + "".join(rnd.choices(signs[kind], k=rnd.randint(1, 9))))
+    return [p.encode() for p in out]
+
+
+def alone(tok, pieces):
+    return [tok.encode(p.decode(), add_special_tokens=False).ids for p in pieces]
+
+
+def cut(found):
+    return [x.tolist() for x in np.split(found[0], np.cumsum(found[1])[:-1])]
+
+
+def test_lines_of_pieces_encode_like_each_piece():
+    tok, pieces = Counted(Tokenizer.from_file(VOCAB)), some_pieces()
+    got = LineEncoder(tok)(pieces)
+    blank = sum(p.decode().isspace() for p in pieces)
+    assert tok.texts <= blank + (len(pieces) - blank) // 100 + 1
+    assert cut(got) == alone(tok, pieces)
+    assert [len(x) for x in LineEncoder(tok)([])] == [0, 0]
+
+
+def test_lines_whose_tokens_do_not_meet_the_pieces_are_encoded_by_piece():
+    tok, pieces = Tokenizer.from_file(VOCAB), some_pieces()
+    for wrong in (1, 2):
+        encoder = LineEncoder(tok)
+        encoder.size = encoder.size * wrong + (wrong == 1)
+        assert cut(encoder(pieces)) == alone(tok, pieces)
+    tok.add_tokens(["x\ny", "b c"])
+    pieces = [b"x", b"y", b" b", b" c", b" d"]
+    assert cut(LineEncoder(tok)(pieces)) == alone(tok, pieces)
