@@ -66,17 +66,28 @@ def with_min_split(model: RandomForestRegressionModel, spark, min_split: int = M
     Loading reads the whole model, so the folder is dropped again.
     """
     base = f"{shared_path(spark, 'forest')}-{uuid.uuid4().hex}"
-    grown, cut = f"{base}/grown", f"{base}/cut"
-    model.write().save(grown)
-    prune_nodes(node_table(grown, spark), min_split).write.parquet(f"{cut}/data")
-    spark.read.parquet(f"{grown}/treesMetadata").write.parquet(f"{cut}/treesMetadata")
-    spark.read.text(f"{grown}/metadata").coalesce(1).write.text(f"{cut}/metadata")
-    loaded = RandomForestRegressionModel.load(cut)
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    model.write().save(f"{base}/grown")
+    cut = with_nodes(spark, f"{base}/grown", prune_nodes(node_table(f"{base}/grown", spark), min_split), f"{base}/cut")
+    drop(spark, base)
+    return cut
+
+
+def with_nodes(spark, saved: str, nodes: DataFrame, path: str) -> RandomForestRegressionModel:
+    """The forest saved at ``saved`` with other nodes, by way of the folder ``path``, which is dropped again."""
+    nodes.write.parquet(f"{path}/data")
+    spark.read.parquet(f"{saved}/treesMetadata").write.parquet(f"{path}/treesMetadata")
+    spark.read.text(f"{saved}/metadata").coalesce(1).write.text(f"{path}/metadata")
+    loaded = RandomForestRegressionModel.load(path)  # reads the whole model
+    drop(spark, path)
     return loaded
 
 
+def drop(spark, path: str) -> None:
+    """Removes a folder of the shared store."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def importances(nodes: DataFrame) -> DataFrame:
     """(feature, importance) from a node table: gain times rows of each tree's splits, as shares, averaged."""
     splits = nodes.filter("nodeData.leftChild >= 0").select(

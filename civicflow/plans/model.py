@@ -217,23 +217,22 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, n
         enc = encode(data.filter(~F.col("is_test")))
         parts = max(spark.sparkContext.defaultParallelism, -(-(n_train + n_test) // PARTITION_ROWS))
         encoded = enc.transform(data).repartition(parts, "unique_key").select("unique_key", "features", LABEL, "is_test", "fold").cache()
-        train, test = encoded.filter(~F.col("is_test")), encoded.filter(F.col("is_test"))
+        train = encoded.filter(~F.col("is_test"))
         if max_memory_mb is None:
             max_memory_mb = node_memory_mb(_bins(enc), 1, max_depth, n_train, min_leaf)
         rf = CellForest(forest(num_trees, max_depth, min_leaf, seed, max_memory_mb=max_memory_mb))
-
-        def finish(fitted):
-            return with_min_split(fitted, spark, min_split)
-
-        rf_model = finish(rf.fit(train))
-        cv_mae = cross_validated_mae(train, rf, cv_folds, finish) if cv_folds > 1 else None
+        fitted = rf.fit_folds(encoded, cv_folds if cv_folds > 1 else 0, min_split)
+        rf_model = fitted.model
+        cv_mae = cross_validated_mae(train, rf, cv_folds, lambda m: with_min_split(m, spark, min_split), fitted.errors) if cv_folds > 1 else None
         imp = rf_model.featureImportances.toArray().tolist()
         importance = spark.createDataFrame(
             [(f, float(v)) for f, v in zip(FEATURES, imp)], "feature string, importance double")
+        # What the cells tell is what the model would, without sending all trees to every executor.
+        pred = rf_model.transform(encoded) if fitted.predicted is None else fitted.predicted
         return TrainResult(
             model=PipelineModel(stages=list(enc.stages) + [rf_model]), model_type="Random Forest",
-            train_metrics=_told(metrics(rf_model.transform(train))),
-            test_metrics=_told(metrics(rf_model.transform(test))),
+            train_metrics=_told(metrics(pred.filter(~F.col("is_test")))),
+            test_metrics=_told(metrics(pred.filter(F.col("is_test")))),
             train_size=n_train, test_size=n_test, cv_mae=cv_mae, importance=importance,
             extra={"label_maps": label_maps(enc), "split": {"test_size": test_size, "seed": seed},
                    "sizes": {"num_trees": num_trees, "max_depth": max_depth, "min_split": min_split, "min_leaf": min_leaf}})
@@ -254,25 +253,25 @@ def _bins(enc: PipelineModel, max_bins: int = 64) -> int:
     return labels + 24 + 12 + 4 + 2 * len(S.BOOLEAN_FEATURES)
 
 
-def cross_validated_mae(train: DataFrame, estimator, folds: int = FOLDS, finish=None) -> float:
+def cross_validated_mae(train: DataFrame, estimator, folds: int = FOLDS, finish=None, errors=None) -> float:
     """M9: k-fold CV mean absolute error.
 
     Folds are the rows' own ``fold`` (with fewer folds, modulo their number),
     so they repeat under any partitioning.  ``finish`` is applied to every
-    fold's fitted model, as to the model itself.  A fold without rows of its
-    own does not count.
+    fold's fitted model, as to the model itself.  ``errors`` has the folds' errors
+    where one pass has worked them all out (``cells.CellForest.fit_folds``).  A
+    fold without rows of its own does not count.
     """
     if not 2 <= folds <= FOLDS:
         raise ValueError(f"folds must be 2 to {FOLDS}")
-    rows = train.withColumn("fold", F.col("fold") % folds)
-    errors = []
-    for k in range(folds):
-        model = estimator.fit(rows.filter(F.col("fold") != k))
-        model = finish(model) if finish else model
-        held = model.transform(rows.filter(F.col("fold") == k))
-        mae = held.agg(F.avg(F.abs(F.col(LABEL) - F.col("prediction")))).first()[0]
-        if mae is not None:
-            errors.append(mae)
+    if errors is None:
+        rows, errors = train.withColumn("fold", F.col("fold") % folds), []
+        for k in range(folds):
+            model = estimator.fit(rows.filter(F.col("fold") != k))
+            model = finish(model) if finish else model
+            held = model.transform(rows.filter(F.col("fold") == k))
+            errors.append(held.agg(F.avg(F.abs(F.col(LABEL) - F.col("prediction")))).first()[0])
+    errors = [e for e in errors if e is not None]
     return float(sum(errors) / len(errors))
 
 

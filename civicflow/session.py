@@ -94,3 +94,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if base is None:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the session was started."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
