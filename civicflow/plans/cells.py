@@ -234,8 +234,9 @@ def _predicted(batches: Iterator[pa.RecordBatch], codes: np.ndarray, told: np.nd
 
 @dataclass
 class Fitted:
-    """A forest with what its cells tell of the rows: ``predicted`` has label, prediction and the test flag, ``errors`` each
-    fold's mean absolute error under the forest on the other folds' rows (a fold without rows has none).
+    """A forest with what its cells tell of the rows: ``predicted`` has label, prediction and the test flag (cached until the
+    caller releases it), ``errors`` each fold's mean absolute error under the forest on the other folds' rows (a fold without
+    rows has none).
 
     Both are None where the vectors are too many and Spark ML fitted the trees.
     """
@@ -296,8 +297,8 @@ class CellForest:
         if tell:
             told = self._predictions(grown, codes, folds)
             pred = coded.mapInArrow(functools.partial(_predicted, codes=codes, told=told), "y double, fold int, whole double, outside double")
-            fitted.predicted = pred.select(F.col("y").alias(label), F.col("whole").alias("prediction"), (F.col("fold") < 0).alias("is_test"))
-            fitted.errors = self._fold_errors(pred, folds)
+            fitted.predicted = pred.select(F.col("y").alias(label), F.col("whole").alias("prediction"), "fold", "outside", (F.col("fold") < 0).alias("is_test")).cache()
+            fitted.errors = self._fold_errors(fitted.predicted, folds)
         N.drop(spark, base)
         return fitted
 
@@ -325,7 +326,7 @@ class CellForest:
         return told
 
     def _fold_errors(self, pred: DataFrame, folds: int) -> list[float | None]:
-        off = F.abs(F.col("y") - F.col("outside"))
+        off = F.abs(F.col(self.estimator.getLabelCol()) - F.col("outside"))
         found = {r["fold"]: r["error"] for r in pred.filter("fold >= 0").groupBy("fold").agg(F.avg(off).alias("error")).collect()} if folds else {}
         if any(math.isnan(e) for e in found.values()):
             raise ValueError("no rows to fit a forest on")

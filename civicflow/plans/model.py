@@ -9,6 +9,7 @@ model parameter (a few numbers per feature), never rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.expressions import day_period
 from ..operators.cleaning import floor_prediction, model_rows, off_hours, response_class
+from ..session import ensure_checkpoint_dir, shared_path
 from . import bundle as B
 from .cells import CellForest
 from .forest import MIN_SPLIT, node_memory_mb, with_min_split
@@ -31,6 +33,7 @@ FEATURES = S.BASE_FEATURES + S.ENGINEERED_FEATURES
 MODEL_PRIORITY_TYPES = ["Heat/Hot Water", "Water System", "UNSANITARY CONDITION"] + S.PRIORITY_TYPES
 FOLDS = 5
 PARTITION_ROWS = 200_000
+MAX_VECTORS = 200_000  # distinct model inputs whose predictions are sent to every executor
 
 
 def supply_missing_features(df: DataFrame) -> DataFrame:
@@ -209,7 +212,7 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, n
     ``max_memory_mb`` defaults to what the widest level of one tree needs
     (``forest.node_memory_mb``), so a level is one pass over the vectors.
     """
-    spark = df.sparkSession
+    spark, fitted = df.sparkSession, None
     data = prepare(df, test_size, seed).select("unique_key", *_MODEL_COLUMNS, LABEL, "is_test", "fold").cache()
     encoded = None
     try:
@@ -240,6 +243,8 @@ def train_random_forest(df: DataFrame, test_size: float = 0.2, seed: int = 42, n
         data.unpersist()
         if encoded is not None:
             encoded.unpersist()
+        if fitted is not None and fitted.predicted is not None:
+            fitted.predicted.unpersist()
 
 
 def label_maps(enc: PipelineModel) -> dict[str, list[str]]:
@@ -310,10 +315,22 @@ def score(model: PipelineModel, tickets: DataFrame, floor: float = 0.1,
     """Batch scoring of a ticket DataFrame with each ticket's own date.
 
     Adds ``predicted_days`` (floored at ``floor``, ``default`` when no
-    prediction, P21), its class (P22) and the context flags (P23).
+    prediction, P21), its class (P22) and the context flags (P23).  The model
+    is applied to the tickets' distinct inputs, which are written once to the
+    shared folder; where these are many, to every ticket.
     """
+    spark, inputs = tickets.sparkSession, F.struct(*_MODEL_COLUMNS).alias("model_inputs")
     feats = engineer_features(tickets)
-    pred = model.transform(feats)
+    pred = None
+    if ensure_checkpoint_dir(spark) is not None:
+        path = f"{shared_path(spark, 'inputs')}-{uuid.uuid4().hex}"
+        feats.select(*_MODEL_COLUMNS).distinct().write.parquet(path)
+        vectors = spark.read.parquet(path)
+        if vectors.count() <= MAX_VECTORS:
+            told = model.transform(vectors).select(inputs, "prediction")
+            pred = feats.withColumn("model_inputs", inputs).join(F.broadcast(told), "model_inputs", "left")
+    if pred is None:
+        pred = model.transform(feats)
     return pred.select(
         *tickets.columns,
         floor_prediction("prediction", floor, default).alias("predicted_days"),

@@ -260,11 +260,18 @@ register("M13_scoring_rules_ev", O.with_ev_clean(
 
 # M15 + IO9: train, save, load, score; the loaded model predicts as the fitted one.
 def _reload(s, d):
-    path, result = _saved_forest(s, d)
-    fitted = M.score(result.model, ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("a"))
-    loaded = M.score(M.load_model(s, path), ev_clean(s, d)).select("unique_key", F.col("predicted_days").alias("b"))
-    both = fitted.join(loaded, "unique_key")
-    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
+    # The view is worked out once; training and both scores read the kept columns.
+    tickets = ev_clean(s, d).select("unique_key", *S.BASE_FEATURES, "status", M.LABEL).cache()
+    try:
+        result = M.train_random_forest(tickets, cv_folds=0)
+        path = M.save_model(result, f"{shared_path(s, 'forest')}-{uuid.uuid4().hex}")
+        fitted = M.score(result.model, tickets).select("unique_key", F.col("predicted_days").alias("a"))
+        loaded = M.score(M.load_model(s, path), tickets).select("unique_key", F.col("predicted_days").alias("b"))
+        both = fitted.join(loaded, "unique_key")
+        found = both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
+        return s.createDataFrame(found.collect(), found.schema)
+    finally:
+        tickets.unpersist()
 
 
 register("M15_IO9_model_job_ev", O.with_ev_clean("SELECT COUNT(*) AS n_scored, 0::BIGINT AS n_different FROM clean"))(_reload)

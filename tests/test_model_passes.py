@@ -46,3 +46,22 @@ def test_odd_json_keeps_its_tickets(spark):
 def test_line_folds_read_the_view_once(spark, rows_read):
     assert SPARK["M9_cv_mae_line_ev"](spark, SF_SMALL).first().folds == M.FOLDS
     assert rows_read() == 1
+
+
+def test_model_job_reads_the_view_once(spark, rows_read):
+    """Training, the fitted model's scores and the loaded one's: a pass over the view each before."""
+    row = SPARK["M15_IO9_model_job_ev"](spark, SF_SMALL).first()
+    assert row.n_scored == ev_clean(spark, SF_SMALL).count() and row.n_different == 0
+    assert rows_read() == 1
+
+
+def test_scores_of_distinct_inputs_are_those_of_the_tickets(spark, monkeypatch):
+    """Missing inputs too; the model sees each combination once."""
+    tickets = ev_clean(spark, SF_SMALL).limit(300).withColumns({
+        "borough": F.when(F.col("unique_key") % 7 > 0, F.col("borough")), "created_hour": F.when(F.col("unique_key") % 5 > 0, F.col("created_hour"))}).cache()
+    model = M.train_random_forest(tickets, num_trees=3, max_depth=4, cv_folds=0).model
+    few = sorted(map(tuple, M.score(model, tickets).select("unique_key", "predicted_days", "predicted_class", "off_hours").collect()), key=str)
+    monkeypatch.setattr(M, "MAX_VECTORS", 0)
+    every = M.score(model, tickets).select("unique_key", "predicted_days", "predicted_class", "off_hours").collect()
+    tickets.unpersist()
+    assert few == sorted(map(tuple, every), key=str) and len(few) == 300
