@@ -65,3 +65,14 @@ def test_scores_of_distinct_inputs_are_those_of_the_tickets(spark, monkeypatch):
     every = M.score(model, tickets).select("unique_key", "predicted_days", "predicted_class", "off_hours").collect()
     tickets.unpersist()
     assert few == sorted(map(tuple, every), key=str) and len(few) == 300
+
+
+def test_forest_folds_take_a_fixed_number_of_jobs(spark):
+    """Six forests of 100 trees took a job or more for each tree's level."""
+    spark.sparkContext.setJobGroup("folds", "folds")
+    try:
+        row = SPARK["M9_cv_mae_forest_ev"](spark, SF_SMALL).first()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert row.folds == M.FOLDS and 0 < row.cv_mae < 90
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("folds")) <= 100
